@@ -222,7 +222,7 @@ def cdc_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cdc_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cdc.rejected_events(t.events(spark, sf_dir))
+    return cdc.rejected_events(t.events(spark, sf_dir)).select("event_id", "motif")
 
 
 def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
