@@ -9,7 +9,7 @@ _NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 _BASE64 = r"^([A-Za-z0-9+/]{4})*([A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?$"
 
 
-def _bytes(text: Column) -> Column:
+def number_bytes(text: Column) -> Column:
     """Base64 text to bytes after dropping characters outside the alphabet; null when malformed."""
     kept = F.regexp_replace(text, "[^A-Za-z0-9+/=]", "")
     return F.when(kept.rlike(_BASE64), F.try_to_binary(kept, F.lit("base64")))
@@ -50,14 +50,14 @@ def _twos_complement(data: Column, value: Column) -> Column:
     return F.when(value * 2 >= span, value - span).otherwise(value)
 
 
-def decode_number(text: Column, scale: int = 2, signed: bool = False) -> Column:
+def decode_number(text: Column, data: Column, scale: int = 2, signed: bool = False) -> Column:
     """A number sent as plain text or as base64 bytes; anything else is 0.0.
 
-    Eight bytes are a big-endian double, any other length a big-endian integer with ``scale``
-    decimals. Integers are read unsigned unless ``signed``. Text that is a valid number is taken
-    as one even if it would also be valid base64.
+    ``data`` is :func:`number_bytes` of ``text``, best kept in a column because it is looked at
+    many times. Eight bytes are a big-endian double, any other length a big-endian integer with
+    ``scale`` decimals. Integers are read unsigned unless ``signed``. Text that is a valid number
+    is taken as one even if it would also be valid base64.
     """
-    data = _bytes(text)
     size = F.length(data)
     integer = F.when(size > 8, _wide_unsigned(data)).otherwise(
         F.when(size > 0, F.when(size < 8, _unsigned(data))).otherwise(0).cast("double")

@@ -14,20 +14,18 @@ _SPLITTER = 134217729.0
 def round_binary(x: Column, digits: int) -> Column:
     """Round a double half-even on its exact binary value, as ``round(x, digits)`` does in Python.
 
-    Spark's own ``round`` works on the shortest decimal form, where 12.35 is a tie; as a double
-    it is below the tie and rounds to 12.3. The product ``x * 10**digits`` is computed together
-    with its rounding error (Dekker's exact product), which decides such cases without a UDF.
+    Spark's own ``round`` works on the shortest decimal form, where 12.35 is a tie; as a double it
+    is below the tie and gives 12.3. Only when ``x * 10**digits`` comes out as a tie can its
+    nearest whole number be the wrong one; the product's own rounding error (Dekker's exact
+    product) then decides, without a UDF.
     """
     scale = float(10**digits)
     product = x * F.lit(scale)
     high = x * F.lit(_SPLITTER) - (x * F.lit(_SPLITTER) - x)
     error = (high * F.lit(scale) - product) + (x - high) * F.lit(scale)
-    below = F.floor(product)
-    rest = product - below
-    goes_up = (rest > 0.5) | (
-        (rest == 0.5) & ((error > 0.0) | ((error == 0.0) & (F.pmod(below, F.lit(2)) == 1)))
-    )
-    return (below + F.when(goes_up, 1).otherwise(0)) / F.lit(scale)
+    nearest = F.rint(product)
+    misled = (F.abs(product - nearest) == 0.5) & (error * (nearest - product) < 0.0)
+    return F.when(misled, product + product - nearest).otherwise(nearest) / F.lit(scale)
 
 
 def decimal_text(x: Column, digits: int) -> Column:

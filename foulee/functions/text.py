@@ -12,6 +12,11 @@ _WHITE_SPACE = (
 )
 
 
+def text(*parts: Column | str) -> Column:
+    """Literal and computed parts joined; null when a computed part is null."""
+    return F.concat(*[F.lit(part) if isinstance(part, str) else part for part in parts])
+
+
 def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(_WHITE_SPACE))
 

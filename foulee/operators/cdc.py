@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foulee.functions.cdc_codec import decode_number
+from foulee.functions.cdc_codec import decode_number, number_bytes
 
 _ENVELOPE = "payload struct<op: string, after: map<string, string>>, _illisible string"
 _JSON_OPTIONS = {"columnNameOfCorruptRecord": "_illisible", "allowSingleQuotes": "false"}
@@ -26,29 +26,41 @@ def decode_events(events: DataFrame, scale: int = 2, signed: bool = False) -> Da
     motif ``json``; an announced event with a null sport ``type_sport``, with a duration that is
     no number ``temps_ecoule_s``. Tombstones (null values) are dropped.
     """
-    parsed = events.filter(F.col("value").isNotNull()).withColumn(
-        "_json", F.from_json("value", _ENVELOPE, _JSON_OPTIONS)
+    # Exploding the one parsed value keeps later filters above it: pushed below a plain column they
+    # would parse the text again for every condition.
+    envelope = F.from_json("value", _ENVELOPE, _JSON_OPTIONS)
+    parsed = events.filter(F.col("value").isNotNull()).select(
+        *events.columns, F.explode(F.array(envelope)).alias("_json")
     )
     after = F.col("_json.payload.after")
-    announced = F.coalesce(
-        F.col("_json.payload.op").isin(*ANNOUNCED_OPS) & (F.size(after) > 0), F.lit(False)
+    fields = parsed.select(
+        *events.columns,
+        F.coalesce(F.col("_json.payload.op").isin(*ANNOUNCED_OPS) & (F.size(after) > 0), F.lit(False)).alias("annonce"),
+        F.col("_json.payload.op").alias("op"),
+        after["id_salarie"].alias("_id"),
+        after["type_sport"].alias("_sport"),
+        (F.map_contains_key(after, "type_sport") & after["type_sport"].isNull()).alias("_sport_nul"),
+        after["distance_m"].alias("_distance"),
+        number_bytes(after["distance_m"]).alias("_octets"),
+        F.coalesce(after["temps_ecoule_s"], F.lit("0")).try_cast("double").alias("_secondes"),
+        after["commentaire"].alias("commentaire"),
+        F.col("_json._illisible").isNotNull().alias("_illisible"),
     )
-    seconds = F.coalesce(after["temps_ecoule_s"], F.lit("0"))
     reason = (
-        F.when(F.col("_json._illisible").isNotNull() | F.col("_json").isNull(), "json")
-        .when(announced & F.map_contains_key(after, "type_sport") & after["type_sport"].isNull(), "type_sport")
-        .when(announced & seconds.try_cast("double").isNull(), "temps_ecoule_s")
+        F.when(F.col("_illisible"), "json")
+        .when(F.col("annonce") & F.col("_sport_nul"), "type_sport")
+        .when(F.col("annonce") & F.col("_secondes").isNull(), "temps_ecoule_s")
     )
-    return parsed.select(
+    return fields.select(
         *events.columns,
-        announced.alias("annonce"),
-        F.col("_json.payload.op").alias("op"),
-        after["id_salarie"].try_cast("long").alias("id_salarie"),
-        F.coalesce(after["id_salarie"], F.lit("None")).alias("id_texte"),
-        F.coalesce(after["type_sport"], F.lit(DEFAULT_SPORT)).alias("type_sport"),
-        decode_number(after["distance_m"], scale, signed).alias("distance_m"),
-        seconds.try_cast("double").try_cast("long").alias("temps_ecoule_s"),
-        after["commentaire"].alias("commentaire"),
+        "annonce",
+        "op",
+        F.col("_id").try_cast("long").alias("id_salarie"),
+        F.coalesce("_id", F.lit("None")).alias("id_texte"),
+        F.coalesce("_sport", F.lit(DEFAULT_SPORT)).alias("type_sport"),
+        decode_number(F.col("_distance"), F.col("_octets"), scale, signed).alias("distance_m"),
+        F.col("_secondes").try_cast("long").alias("temps_ecoule_s"),
+        "commentaire",
         reason.alias("motif"),
     )
 

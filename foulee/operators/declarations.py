@@ -6,11 +6,14 @@ further columns pass through.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foulee.functions.numeric import decimal_text
-from foulee.functions.text import blank_to_null, day_first
+from foulee.functions.text import blank_to_null, day_first, text
 from foulee.operators.lookup import left_lookup
 from foulee.reference import SHORTEST_SESSION_S, UNKNOWN_SPORT_MAX_S
 
@@ -26,67 +29,58 @@ def speed_kmh(distance_m: Column, seconds: Column) -> Column:
     return F.when(seconds > 0, (distance_m / F.lit(1000.0)) / (seconds / F.lit(3600.0)))
 
 
-def _errors(sport: Column, distance: Column, duration: Column, speed_unit: str) -> Column:
+def declaration_errors(declarations: DataFrame, limits: DataFrame, speed_unit: str = "kmh") -> DataFrame:
+    """Declarations with ``valide`` and ``erreurs``, the list of what is wrong with each.
+
+    Bounds are strict, so a value equal to a limit passes. A missing duration counts as 0. The
+    speed limits are compared in km/h as they are; ``speed_unit="ms"`` reads them as metres per
+    second instead. ``limits`` has one row per sport.
+    """
+    if speed_unit not in ("kmh", "ms"):
+        raise ValueError(f"speed_unit must be 'kmh' or 'ms', not {speed_unit!r}")
+    limited = left_lookup(declarations, limits.select("type_sport", *_LIMITS), ["type_sport"], unique=True)
+    sport = F.coalesce("type_sport", F.lit(""))
+    metres, longest_m = F.col("distance_m"), F.col("dist_max")
+    seconds, longest_s = F.coalesce("duree_s", F.lit(0)), F.coalesce("duree_max", F.lit(UNKNOWN_SPORT_MAX_S))
+    speed, unit = speed_kmh(metres, seconds), "km/h"
+    if speed_unit == "ms":
+        speed, unit = speed / F.lit(3.6), "m/s"
+    moving = metres > 0
+    hours = lambda s: decimal_text(s / F.lit(3600.0), 1)
+    km = lambda m, digits: decimal_text(m / F.lit(1000.0), digits)
+    limit = lambda column: F.col(column).cast("string")
     # The message texts, in the order in which errors are listed.
-    longest = F.coalesce(F.col("duree_max"), F.lit(UNKNOWN_SPORT_MAX_S))
-    hours = lambda seconds: decimal_text(seconds / F.lit(3600.0), 1)
-    has_distance = F.col("dist_max").isNotNull() & (distance > 0)
-    kmh = speed_kmh(distance, duration)
-    speed = kmh if speed_unit == "kmh" else kmh / F.lit(3.6)
-    unit = "km/h" if speed_unit == "kmh" else "m/s"
-    lines = [
-        (duration <= 0, ["La duree doit etre superieure a 0 seconde."]),
+    rules = [
+        (seconds <= 0, ["La duree doit etre superieure a 0 seconde."]),
         (
-            duration > longest,
-            ["Duree trop longue pour ", sport, " : max ", hours(longest), "h (vous avez saisi ", hours(duration), "h)."],
+            seconds > longest_s,
+            ["Duree trop longue pour ", sport, " : max ", hours(longest_s), "h (vous avez saisi ", hours(seconds), "h)."],
         ),
-        (duration < SHORTEST_SESSION_S, ["Duree trop courte : minimum 5 minutes."]),
+        (seconds < SHORTEST_SESSION_S, ["Duree trop courte : minimum 5 minutes."]),
         (
-            has_distance & (distance > F.col("dist_max")),
-            [
-                "Distance impossible pour ", sport, " : max ",
-                decimal_text(F.col("dist_max") / F.lit(1000.0), 0),
-                " km (vous avez saisi ", decimal_text(distance / F.lit(1000.0), 1), " km).",
-            ],
+            moving & (metres > longest_m),
+            ["Distance impossible pour ", sport, " : max ", km(longest_m, 0), " km (vous avez saisi ", km(metres, 1), " km)."],
         ),
         (
-            has_distance & (speed > F.col("vitesse_max")),
-            [
-                "Vitesse impossible : ", decimal_text(speed, 1), f" {unit} pour ", sport, " (max realiste : ",
-                F.col("vitesse_max").cast("string"), f" {unit}). Verifiez distance/duree.",
-            ],
+            moving & (speed > F.col("vitesse_max")),
+            ["Vitesse impossible : ", decimal_text(speed, 1), f" {unit} pour ", sport,
+             " (max realiste : ", limit("vitesse_max"), f" {unit}). Verifiez distance/duree."],
         ),
         (
-            has_distance & (speed < F.col("vitesse_min")),
-            [
-                "Vitesse trop lente : ", decimal_text(speed, 2), f" {unit} pour ", sport, " (min : ",
-                F.col("vitesse_min").cast("string"), f" {unit}). Verifiez distance/duree.",
-            ],
+            moving & (speed < F.col("vitesse_min")),
+            ["Vitesse trop lente : ", decimal_text(speed, 2), f" {unit} pour ", sport,
+             " (min : ", limit("vitesse_min"), f" {unit}). Verifiez distance/duree."],
         ),
     ]
-    texts = [
-        F.when(condition, F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts]))
-        for condition, parts in lines
-    ]
-    return F.array_compact(F.array(*texts))
-
-
-def declaration_errors(declarations: DataFrame, limits: DataFrame, speed_unit: str = "kmh") -> DataFrame:
-    """Declarations with ``erreurs``, the list of what is wrong with each; empty when accepted.
-
-    Bounds are strict, so a value equal to a limit passes. A missing duration counts as 0. The
-    speed limits are compared in km/h as they are; ``speed_unit="ms"`` reads them as metres per
-    second instead.
-    """
-    if speed_unit not in ("kmh", "ms"):
-        raise ValueError(f"speed_unit must be 'kmh' or 'ms', not {speed_unit!r}")
-    duration = F.coalesce(F.col("duree_s"), F.lit(0))
-    limited = left_lookup(declarations, limits.select("type_sport", *_LIMITS), ["type_sport"])
-    sport = F.coalesce(F.col("type_sport"), F.lit(""))
+    none = F.array().cast("array<string>")
+    broken = [F.coalesce(condition, F.lit(False)) for condition, _ in rules]
     return limited.select(
         *declarations.columns,
-        F.col("dist_max").isNotNull().alias("avec_distance"),
-        _errors(sport, F.col("distance_m"), duration, speed_unit).alias("erreurs"),
+        longest_m.isNotNull().alias("avec_distance"),
+        (~reduce(or_, broken)).alias("valide"),
+        F.concat(*[F.when(condition, F.array(text(*parts))).otherwise(none) for condition, parts in rules]).alias(
+            "erreurs"
+        ),
     )
 
 
@@ -105,14 +99,14 @@ def _shape(declarations: DataFrame, distance: Column, duration: Column) -> DataF
 def accepted(checked: DataFrame) -> DataFrame:
     """Activity rows for the declarations without errors. The end is start plus duration; a zero
     distance, or one for a sport that has none, is null; a blank comment is null."""
-    valid = checked.filter(F.size("erreurs") == 0)
+    valid = checked.filter("valide")
     distance = F.when(F.col("avec_distance") & (F.col("distance_m") != 0), F.col("distance_m"))
     return _shape(valid, distance, F.col("duree_s"))
 
 
 def refused(checked: DataFrame) -> DataFrame:
     """The declarations with at least one error."""
-    return checked.filter(F.size("erreurs") > 0)
+    return checked.filter("NOT valide")
 
 
 def declarations_accepted(declarations: DataFrame, limits: DataFrame, speed_unit: str = "kmh") -> DataFrame:
@@ -132,8 +126,8 @@ def declaration_recap(activities: DataFrame) -> DataFrame:
         "id_salarie",
         "type_sport",
         decimal_text(distance / F.lit(1000.0), 1).alias("distance_km"),
-        F.floor(seconds / 3600).alias("duree_h"),
-        F.floor(seconds % 3600 / 60).alias("duree_min"),
+        F.call_function("div", seconds, F.lit(3600)).alias("duree_h"),
+        F.call_function("div", seconds % 3600, F.lit(60)).alias("duree_min"),
         (seconds % 60).alias("duree_s"),
         decimal_text(speed_kmh(distance, seconds), 1).alias("vitesse_kmh"),
         day_first(F.col("date_debut")).alias("date"),

@@ -7,18 +7,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foulee.functions.numeric import decimal_text, whole_minutes
-from foulee.functions.text import full_name, quoted_comment
+from foulee.functions.numeric import decimal_text, round_binary, whole_minutes
+from foulee.functions.text import full_name, quoted_comment, text
 from foulee.operators.lookup import keep_one, left_lookup
 from foulee.operators.ranking import newest_first
 from foulee.reference import DEFAULT_EMOJI, DEFAULT_TEMPLATES, message_templates
 from foulee.session import cut_lineage
 
 
-def _text(*parts: Column | str) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
-
-
 def event_messages(normalised: DataFrame, employees: DataFrame) -> DataFrame:
     """Normalised events with the ``message`` announcing them.
 
@@ -26,24 +22,24 @@ def event_messages(normalised: DataFrame, employees: DataFrame) -> DataFrame:
     know is called by id.
     """
     names = employees.select("id_salarie", full_name(F.col("prenom"), F.col("nom")).alias("_nom"))
-    named = left_lookup(normalised, names, ["id_salarie"])
+    named = left_lookup(normalised, names, ["id_salarie"]).withColumn(
+        "_km", decimal_text(F.col("distance_m") / F.lit(1000.0), 1)
+    )
     name = F.coalesce("_nom", F.concat(F.lit("Salarié "), F.col("id_texte")))
     sport = F.col("type_sport")
-    km = F.coalesce(
-        decimal_text(F.col("distance_m") / F.lit(1000.0), 1), F.lower(F.col("distance_m").cast("string"))
-    )
+    km = F.coalesce("_km", (F.col("distance_m") / F.lit(1000.0)).cast("string"))
     minutes = whole_minutes(F.col("temps_ecoule_s")).cast("string")
     # The three texts of the live feed and the words that select them.
     body = (
         F.when(
             sport.contains("Course") | sport.contains("Run"),
-            _text("Bravo *", name, "* ! Tu viens de courir ", km, " km en ", minutes, " min ! Quelle énergie ! 🏃‍♂️🔥"),
+            text("Bravo *", name, "* ! Tu viens de courir ", km, " km en ", minutes, " min ! Quelle énergie ! 🏃‍♂️🔥"),
         )
         .when(
             sport.contains("Rando"),
-            _text("Magnifique *", name, "* ! Une randonnée de ", km, " km terminée ! 🥾"),
+            text("Magnifique *", name, "* ! Une randonnée de ", km, " km terminée ! 🥾"),
         )
-        .otherwise(_text("Bravo *", name, "* ! ", km, " km de ", sport, " en ", minutes, " min ! 🏅"))
+        .otherwise(text("Bravo *", name, "* ! ", km, " km de ", sport, " en ", minutes, " min ! 🏅"))
     )
     message = F.concat(body, quoted_comment(F.col("commentaire")))
     return named.select(*normalised.columns, message.alias("message"))
@@ -51,7 +47,7 @@ def event_messages(normalised: DataFrame, employees: DataFrame) -> DataFrame:
 
 def _fill(template: Column, values: dict[str, Column]) -> Column:
     return reduce(
-        lambda text, item: F.replace(text, F.lit("{" + item[0] + "}"), item[1]), values.items(), template
+        lambda filled, item: F.replace(filled, F.lit("{" + item[0] + "}"), item[1]), values.items(), template
     )
 
 
@@ -63,15 +59,19 @@ def activity_messages(named: DataFrame) -> DataFrame:
     templates speak of metres and get metres. A missing or zero distance shows as a question mark.
     """
     templates = message_templates(named.sparkSession)
-    chosen = left_lookup(named, templates, ["type_sport"])
+    chosen = left_lookup(named, templates, ["type_sport"], unique=True).withColumns(
+        {
+            "_km": round_binary(F.col("distance_m") / F.lit(1000.0), 1),
+            "_metres": round_binary(F.col("distance_m"), 0),
+        }
+    )
     first = F.pmod(F.coalesce(F.col("id"), F.lit(0)), F.lit(2)) == 0
     template = F.when(first, F.coalesce("modele_1", F.lit(DEFAULT_TEMPLATES[0]))).otherwise(
         F.coalesce("modele_2", F.lit(DEFAULT_TEMPLATES[1]))
     )
-    metres, sport = F.col("distance_m"), F.col("type_sport")
-    km = decimal_text(metres / F.lit(1000.0), 1)
-    shown = F.when(sport == "Natation", F.nullif(decimal_text(metres, 0), F.lit("0"))).otherwise(
-        F.nullif(km, F.lit("0.0"))
+    km, metres, sport = F.col("_km"), F.col("_metres"), F.col("type_sport")
+    shown = F.when(sport == "Natation", F.when(metres != 0, metres.try_cast("decimal(30,0)").cast("string"))).when(
+        km != 0, km.try_cast("decimal(30,1)").cast("string")
     )
     known = F.col("prenom").isNotNull() & F.col("nom").isNotNull()
     values = {

@@ -15,6 +15,9 @@ def build_session(app_name: str = "foulee", master: str | None = None, **conf: s
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # HotSpot does not compile methods above 8000 bytes of bytecode. Past that size, separate
+        # compiled projections beat one fused method that stays interpreted.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     if master:
         builder = builder.master(master)
