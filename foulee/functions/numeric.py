@@ -25,7 +25,8 @@ def round_binary(x: Column, digits: int) -> Column:
     error = (high * F.lit(scale) - product) + (x - high) * F.lit(scale)
     nearest = F.rint(product)
     misled = (F.abs(product - nearest) == 0.5) & (error * (nearest - product) < 0.0)
-    return F.when(misled, product + product - nearest).otherwise(nearest) / F.lit(scale)
+    rounded = F.when(misled, product + product - nearest).otherwise(nearest) / F.lit(scale)
+    return F.when(F.abs(product) < float(1 << 52), rounded).otherwise(x)  # larger ones have no decimals left
 
 
 def decimal_text(x: Column, digits: int) -> Column:

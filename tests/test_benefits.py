@@ -1,0 +1,169 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+
+from foulee import schemas
+from foulee.operators import benefits, distances, scenarios
+from foulee.settings import CYCLING, MOTOR_VEHICLE, WALKING, Rules
+
+RULES = Rules(office=(0.0, 0.0), as_of=dt.date(2024, 6, 1), distance_limits_m={WALKING: 111195, CYCLING: 222390})
+LENIENT = Rules(
+    office=(0.0, 0.0), as_of=dt.date(2024, 6, 1), policy="lenient", distance_limits_m=RULES.distance_limits_m
+)
+
+
+@pytest.fixture
+def people(frame):
+    rows = [
+        (1, WALKING, "un"),  # exactly at the limit, latitude 0.0
+        (2, WALKING, "  DEUX "),  # one metre and more above
+        (3, CYCLING, "deux"),
+        (4, WALKING, "inconnue"),
+        (5, WALKING, None),
+        (6, MOTOR_VEHICLE, "un"),
+        (7, None, "un"),
+    ]
+    return frame(rows, "id_salarie long, moyen_deplacement string, adresse string")
+
+
+@pytest.fixture
+def geocodes(frame):
+    rows = [("un", 0.0, 1.0), ("Deux", 0.0, 1.00002), ("deux", 5.0, 5.0), ("trois", None, 1.0)]
+    return distances.prepare_geocodes(frame(rows, schemas.GEOCODES.simpleString()[7:-1].replace(":", " ")))
+
+
+def verdicts(df):
+    return {r.id_salarie: (r.declaration_ok, r.distance_m) for r in df.collect()}
+
+
+def test_strict_verdicts(people, geocodes):
+    got = verdicts(distances.employee_distances(people, geocodes, RULES))
+    assert got == {
+        1: (True, 111195.0),
+        2: (False, 111197.0),
+        3: (True, 111197.0),
+        4: (None, None),
+        5: (None, None),
+        6: (None, None),
+        7: (None, None),
+    }
+
+
+def test_lenient_verdicts(people, geocodes):
+    got = verdicts(distances.employee_distances(people, geocodes, LENIENT))
+    assert got[2] == (False, 111197.0)
+    assert {k for k, (ok, _) in got.items() if ok} == {1, 3, 4, 5, 6, 7}
+
+
+def test_unknown_office_leaves_every_verdict_open(people, geocodes):
+    nowhere = Rules(distance_limits_m=RULES.distance_limits_m)
+    assert set(verdicts(distances.employee_distances(people, geocodes, nowhere)).values()) == {(None, None)}
+
+
+def test_office_from_the_geocode_table(people, geocodes):
+    office = distances.office_coordinates(geocodes, " UN ")
+    got = verdicts(distances.employee_distances(people, geocodes, RULES, office))
+    assert got[1] == (True, 0.0)
+    missing = distances.office_coordinates(geocodes, "ailleurs")
+    assert verdicts(distances.employee_distances(people, geocodes, RULES, missing))[1] == (None, None)
+
+
+def test_distance_report(people, geocodes):
+    got = {r.id_salarie: tuple(r)[1:] for r in distances.distance_report(people, geocodes, RULES).collect()}
+    assert got[1] == (WALKING, 111195.0, 111195.0, True, "OK")
+    assert got[2] == (WALKING, 111197.0, 111195.0, False, "Distance excessive")
+    assert got[4] == (WALKING, None, 111195.0, None, "Adresse non trouvée")
+    assert got[6] == (MOTOR_VEHICLE, None, None, True, "Mode non actif")
+    assert got[7] == (None, None, None, True, "Mode non actif")
+
+
+@pytest.fixture
+def silver(frame):
+    rows = [
+        (1, True, WALKING, Decimal("30000.10")),  # 1500.005: the cent rounds up
+        (2, False, WALKING, Decimal(30000)),
+        (3, None, WALKING, Decimal(30000)),
+        (4, True, MOTOR_VEHICLE, Decimal(30000)),
+        (5, True, CYCLING, Decimal("12345.67")),
+    ]
+    return frame(
+        rows,
+        "id_salarie long, declaration_ok boolean, moyen_deplacement string, salaire_brut decimal(12,2)",
+    )
+
+
+@pytest.fixture
+def moves(frame):
+    counts = {1: 14, 2: 15, 3: 16, 99: 20}
+    rows = [(e, k, k % 2 == 0, dt.datetime(2024, 1, 1 + k)) for e, n in counts.items() for k in range(n)]
+    rows.append((1, None, True, dt.datetime(2024, 1, 1)))
+    return frame(rows, "id_salarie long, id long, activite_valide boolean, date_debut timestamp_ntz")
+
+
+def test_gold(silver, moves):
+    gold = benefits.gold_benefits(silver, moves, RULES)
+    assert gold.schema.fieldNames() == schemas.BENEFITS.fieldNames()
+    assert [f.dataType for f in gold.schema] == [f.dataType for f in schemas.BENEFITS]
+    got = {r.id_salarie: tuple(r)[1:5] for r in gold.collect()}
+    assert got == {
+        1: (True, 1500.01, 0, 14),
+        2: (False, 0.0, 5, 15),
+        3: (False, 0.0, 5, 16),
+        4: (False, 0.0, 0, 0),
+        5: (True, 617.28, 0, 0),
+    }
+    assert {r.date_calcul for r in gold.collect()} == {dt.date(2024, 6, 1)}
+
+
+def test_gold_restricted(silver, moves):
+    valid = benefits.gold_benefits(silver, moves, RULES, only_valid=True)
+    assert {r.id_salarie: r.nb_activites for r in valid.collect()} == {1: 7, 2: 8, 3: 8, 4: 0, 5: 0}
+    recent = benefits.gold_benefits(silver, moves, RULES, since=dt.date(2024, 1, 11))
+    assert {r.id_salarie: r.nb_activites for r in recent.collect()} == {1: 4, 2: 5, 3: 6, 4: 0, 5: 0}
+
+
+def test_lenient_gold(silver, moves):
+    got = {r.id_salarie: tuple(r)[1:5] for r in benefits.gold_benefits_lenient(silver, moves, LENIENT).collect()}
+    assert got == {
+        1: (True, 1500.005, True, 15),
+        2: (False, 0.0, True, 15),
+        3: (True, 1500.0, True, 16),
+        4: (False, 0.0, False, 0),
+        5: (True, 617.2835, False, 0),
+    }
+
+
+def test_rates(silver, moves):
+    gold = benefits.gold_benefits(silver, moves, RULES)
+    rerated = benefits.apply_rate(gold, silver.filter("id_salarie <> 5"), Decimal("0.08"))
+    assert {r.id_salarie: r.montant_prime for r in rerated.collect()} == {1: 2400.008, 2: 0.0, 3: 0.0, 4: 0.0, 5: 617.28}
+    assert rerated.columns == gold.columns
+    restored = benefits.restore_rate(rerated, silver)
+    assert {r.id_salarie: r.montant_prime for r in restored.collect()}[1] == 1500.005
+
+
+def test_scenarios(silver, moves):
+    gold = benefits.gold_benefits(silver, moves, RULES)
+    row = scenarios.scenario_summary(gold, silver, 10).first()
+    assert (row.nb_primes, row.nb_bienetre, row.cout_total) == (2, 2, 4234.577)
+    assert row.cout_reference == pytest.approx(2117.2885) and row.prime_moyenne == pytest.approx(2117.2885)
+    costs = scenarios.scenario_costs(gold, silver, 10).collect()
+    assert [(r.taux, r.statut) for r in costs] == [
+        ("3%", ""), ("5%", ""), ("8%", ""), ("10%", "<-- Selectionne"), ("15%", "")
+    ]
+    assert costs[3].cout_affiche == "4,235 EUR"
+
+
+def test_scenarios_without_bonus_are_zero(silver, moves):
+    gold = benefits.gold_benefits(silver, moves, RULES).filter("NOT prime_sportive")
+    row = scenarios.scenario_summary(gold, silver, 5).first()
+    assert (row.nb_primes, row.cout_total, row.prime_moyenne, row.ecart) == (0, 0.0, 0.0, 0.0)
+    assert {r.cout_total for r in scenarios.scenario_costs(gold, silver, 5).collect()} == {0.0}
+
+
+def test_rules():
+    with pytest.raises(ValueError):
+        Rules(policy="other")
+    rules = Rules.from_environment({"TAUX_PRIME": "0.1", "DISTANCE_VELO": "9"}, wellness_threshold=3)
+    assert (rules.bonus_rate, rules.distance_limits_m[CYCLING], rules.wellness_threshold) == (Decimal("0.1"), 9, 3)
