@@ -126,7 +126,9 @@ def require_no_critical_failure(report: DataFrame) -> None:
 
 
 def orphan_ids(activities: DataFrame, employees: DataFrame) -> DataFrame:
-    """Distinct employee ids used by activities and absent from HR; a null id is always absent."""
-    return activities.select("id_salarie").distinct().join(
-        employees.select("id_salarie"), "id_salarie", "left_anti"
-    )
+    """Distinct employee ids used by activities and absent from HR; a null id is always absent.
+
+    Both sides are reduced to distinct ids first, so that neither carries a hot id into the join.
+    """
+    known = employees.select("id_salarie").distinct()
+    return activities.select("id_salarie").distinct().join(known, "id_salarie", "left_anti")

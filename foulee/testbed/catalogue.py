@@ -7,6 +7,7 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foulee import reference, schemas
 from foulee.operators import benefits as gold
@@ -32,6 +33,8 @@ from foulee.streaming.feeds import read_outbox, start_declaration_feed, start_me
 from foulee.testbed import tables as t
 from foulee.testbed.tables import LENIENT, RULES
 
+Query = Callable[[SparkSession, str], DataFrame]
+
 SCENARIO_PERCENT = 8
 APPLIED_RATE = Decimal("0.08")
 
@@ -176,8 +179,7 @@ def activity_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loaded = extracts.load_employees(t.employee_extract(spark, sf_dir))
-    return loaded.withColumn("salaire_brut", F.col("salaire_brut").cast("double"))
+    return extracts.load_employees(t.employee_extract(spark, sf_dir))
 
 
 def load_declared_sports(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,54 +296,61 @@ def lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, lake, "gold/avantages")
 
 
-def _money_as_double(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """The query with its salary column as a double, the type result comparisons agree on."""
+def _comparable(query: Query) -> Query:
+    """The query with decimals as doubles and dates as ISO text: types on which every engine's
+    client library agrees, so that results can be compared value by value."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return query(spark, sf_dir).withColumn("salaire_brut", F.col("salaire_brut").cast("double"))
+        df = query(spark, sf_dir)
+        as_text = {f.name: F.col(f.name).cast("string") for f in df.schema if isinstance(f.dataType, T.DateType)}
+        as_double = {f.name: F.col(f.name).cast("double") for f in df.schema if isinstance(f.dataType, T.DecimalType)}
+        return df.withColumns({**as_text, **as_double})
 
     return run
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "clean_employees": _money_as_double(clean_employees),
-    "clean_activities": clean_activities,
-    "employee_sport_profile": _money_as_double(employee_sport_profile),
-    "employee_directory": employee_directory,
-    "enrich_activities": enrich_activities,
-    "employee_bu_check": _money_as_double(employee_bu_check),
-    "employee_distances": _money_as_double(employee_distances),
-    "employee_distances_lenient": _money_as_double(employee_distances_lenient),
-    "distance_report": distance_report,
-    "activity_counts": activity_counts,
-    "gold_benefits": gold_benefits,
-    "gold_benefits_valid_only": gold_benefits_valid_only,
-    "gold_benefits_lenient": gold_benefits_lenient,
-    "top_bonuses": top_bonuses,
-    "silver_report": silver_report,
-    "monitoring_report": monitoring_report,
-    "quality_report": quality_report,
-    "quality_summary": quality_summary,
-    "orphan_ids": orphan_ids,
-    "scenario_summary": scenario_summary,
-    "scenario_costs": scenario_costs,
-    "apply_rate": apply_rate,
-    "restore_rate": restore_rate,
-    "latest_activities": latest_activities,
-    "latest_messages": latest_messages,
-    "activity_messages": activity_messages,
-    "load_employees": load_employees,
-    "load_declared_sports": load_declared_sports,
-    "load_activities": load_activities,
-    "declaration_errors": declaration_errors,
-    "declarations_accepted": declarations_accepted,
-    "declarations_unvalidated": declarations_unvalidated,
-    "declaration_recap": declaration_recap,
-    "cdc_normalised": cdc_normalised,
-    "cdc_messages": cdc_messages,
-    "cdc_rejects": cdc_rejects,
-    "cdc_stream": cdc_stream,
-    "declaration_stream": declaration_stream,
-    "reference_fallback": reference_fallback,
-    "lake_roundtrip": lake_roundtrip,
+QUERIES: dict[str, Query] = {
+    query.__name__: _comparable(query)
+    for query in (
+        clean_employees,
+        clean_activities,
+        employee_sport_profile,
+        employee_directory,
+        enrich_activities,
+        employee_bu_check,
+        employee_distances,
+        employee_distances_lenient,
+        distance_report,
+        activity_counts,
+        gold_benefits,
+        gold_benefits_valid_only,
+        gold_benefits_lenient,
+        top_bonuses,
+        silver_report,
+        monitoring_report,
+        quality_report,
+        quality_summary,
+        orphan_ids,
+        scenario_summary,
+        scenario_costs,
+        apply_rate,
+        restore_rate,
+        latest_activities,
+        latest_messages,
+        activity_messages,
+        load_employees,
+        load_declared_sports,
+        load_activities,
+        declaration_errors,
+        declarations_accepted,
+        declarations_unvalidated,
+        declaration_recap,
+        cdc_normalised,
+        cdc_messages,
+        cdc_rejects,
+        cdc_stream,
+        declaration_stream,
+        reference_fallback,
+        lake_roundtrip,
+    )
 }

@@ -118,7 +118,7 @@ _TABLES = {
     "benefits": """
         SELECT id_salarie, montant > 0 AS prime_sportive, montant AS montant_prime,
                CASE WHEN nb >= 15 THEN 5 ELSE 0 END::INTEGER AS jours_bienetre, nb AS nb_activites,
-               DATE '2001-08-02' AS date_calcul
+               '2001-08-02' AS date_calcul
         FROM (SELECT d.id_salarie, COALESCE(n.nb, 0) AS nb,
                      CASE WHEN declaration_ok
                            AND moyen_deplacement IN ('Marche/running', 'Vélo/Trottinette/Autres')
@@ -305,24 +305,26 @@ _RERATED = """
                         THEN CAST(salaire_brut * {rate} AS DOUBLE) ELSE montant_prime END AS montant_prime)
     FROM benefits b LEFT JOIN emp_clean e USING (id_salarie)"""
 
-_MONEY = "* REPLACE (CAST(salaire_brut AS DOUBLE) AS salaire_brut)"
+# Employee columns with money as a double and dates as text, as the catalogue gives them.
+_STAFF = """* REPLACE (CAST(salaire_brut AS DOUBLE) AS salaire_brut,
+    CAST(date_naissance AS VARCHAR) AS date_naissance, CAST(date_embauche AS VARCHAR) AS date_embauche)"""
 
 # The tables a query needs besides itself are found by name, so the order here is free.
 _QUERIES = {
-    "clean_employees": f"SELECT {_MONEY} FROM emp_clean",
+    "clean_employees": f"SELECT {_STAFF} FROM emp_clean",
     "clean_activities": "SELECT * FROM act_clean",
     "employee_sport_profile": f"""
-        SELECT e.{_MONEY}, s.sport FROM emp_once e
+        SELECT e.{_STAFF}, s.sport FROM emp_once e
         LEFT JOIN (SELECT id_salarie, min(sport) AS sport FROM declared GROUP BY id_salarie) s
           ON s.id_salarie IS NOT DISTINCT FROM e.id_salarie""",
     "employee_directory": "SELECT id_salarie, nom, prenom FROM emp",
     "enrich_activities": "SELECT * FROM act_rich",
     "employee_bu_check": f"""
-        SELECT {_MONEY}, COALESCE(bu IN ('Marketing', 'R&D', 'Ventes', 'Support', 'Finance'), false) AS bu_valide
+        SELECT {_STAFF}, COALESCE(bu IN ('Marketing', 'R&D', 'Ventes', 'Support', 'Finance'), false) AS bu_valide
         FROM emp_clean""",
-    "employee_distances": f"SELECT {_MONEY} FROM emp_dist",
+    "employee_distances": f"SELECT {_STAFF} FROM emp_dist",
     "employee_distances_lenient": f"""
-        SELECT e.{_MONEY}, COALESCE(f.metres <= f.limite, true) AS declaration_ok, f.metres AS distance_m
+        SELECT e.{_STAFF}, COALESCE(f.metres <= f.limite, true) AS declaration_ok, f.metres AS distance_m
         FROM emp_once e
         LEFT JOIN (SELECT DISTINCT id_salarie, metres, limite FROM emp_far) f USING (id_salarie)""",
     "distance_report": """
@@ -345,7 +347,7 @@ _QUERIES = {
         SELECT id_salarie, ok AND actif AS prime_sportive,
                CASE WHEN ok AND actif THEN CAST(salaire_brut * 0.05 AS DOUBLE) ELSE 0.0::DOUBLE END AS montant_prime,
                COALESCE(n.nb, 0) >= 15 AS jours_bienetre, COALESCE(n.nb, 0)::INTEGER AS nb_activites,
-               DATE '2001-08-02' AS date_calcul
+               '2001-08-02' AS date_calcul
         FROM (SELECT e.*, COALESCE(f.metres <= f.limite, true) AS ok,
                      moyen_deplacement IN ('Marche/running', 'Vélo/Trottinette/Autres') AS actif
               FROM emp_once e
@@ -370,7 +372,7 @@ _QUERIES = {
                count(*) FILTER (WHERE prime_sportive) AS nb_primes,
                count(*) FILTER (WHERE jours_bienetre > 0) AS nb_bienetre,
                COALESCE(sum(montant_prime::DECIMAL(18, 4))::DOUBLE, 0) AS cout_primes,
-               DATE '2001-08-02' AS date_rapport
+               '2001-08-02' AS date_rapport
         FROM benefits""",
     "quality_report": "SELECT * FROM report",
     "quality_summary": """
@@ -401,7 +403,7 @@ _QUERIES = {
         SELECT id, id_salarie, type_sport, message FROM act_text
         ORDER BY date_debut DESC NULLS LAST, id DESC NULLS LAST LIMIT 10""",
     "activity_messages": "SELECT id, id_salarie, type_sport, message FROM act_text",
-    "load_employees": f"SELECT {_MONEY} FROM emp",
+    "load_employees": f"SELECT {_STAFF} FROM emp",
     "load_declared_sports": "SELECT * FROM declared",
     "load_activities": """
         SELECT *, row_number() OVER (ORDER BY id_salarie NULLS FIRST, date_debut NULLS FIRST, type_sport NULLS FIRST,

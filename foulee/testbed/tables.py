@@ -216,7 +216,8 @@ def envelope(event: DataFrame) -> DataFrame:
     )
     text = F.concat(F.lit('{"payload": {"op": "'), op, F.lit('", "after": '), after, F.lit("}}"))
     value = F.when(k % 13 == 0, F.lit(None)).when(k % 11 == 0, F.substring(text, 1, 40)).otherwise(text)
-    return event.select("event_id", value.alias("value"))
+    # exploded so that filters on the text do not build it a second time
+    return event.select("event_id", F.explode(F.array(value)).alias("value"))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
