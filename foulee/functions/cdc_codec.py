@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
+from foulee.functions.numeric import number_or_null
+
 _BASE64 = r"^([A-Za-z0-9+/]{4})*([A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?$"
 
 
@@ -65,4 +66,4 @@ def decode_number(text: Column, data: Column, scale: int = 2, signed: bool = Fal
     if signed:
         integer = _twos_complement(data, integer)
     decoded = F.when(size == 8, _ieee_double(data)).otherwise(integer / F.lit(float(10**scale)))
-    return F.coalesce(F.when(text.rlike(_NUMBER), text.try_cast("double")).otherwise(decoded), F.lit(0.0))
+    return F.coalesce(number_or_null(text), decoded, F.lit(0.0))

@@ -11,6 +11,14 @@ from pyspark.sql import functions as F
 _SPLITTER = 134217729.0
 
 
+_NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def number_or_null(text: Column) -> Column:
+    """Text as a double, null unless it is a plain number; a bare cast would also take ``12d``."""
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+
+
 def round_binary(x: Column, digits: int) -> Column:
     """Round a double half-even on its exact binary value, as ``round(x, digits)`` does in Python.
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foulee.functions.cdc_codec import decode_number, number_bytes
+from foulee.functions.numeric import number_or_null
 
 _ENVELOPE = "payload struct<op: string, after: map<string, string>>, _illisible string"
 _JSON_OPTIONS = {"columnNameOfCorruptRecord": "_illisible", "allowSingleQuotes": "false"}
@@ -42,7 +43,7 @@ def decode_events(events: DataFrame, scale: int = 2, signed: bool = False) -> Da
         (F.map_contains_key(after, "type_sport") & after["type_sport"].isNull()).alias("_sport_nul"),
         after["distance_m"].alias("_distance"),
         number_bytes(after["distance_m"]).alias("_octets"),
-        F.coalesce(after["temps_ecoule_s"], F.lit("0")).try_cast("double").alias("_secondes"),
+        number_or_null(F.coalesce(after["temps_ecoule_s"], F.lit("0"))).alias("_secondes"),
         after["commentaire"].alias("commentaire"),
         F.col("_json._illisible").isNotNull().alias("_illisible"),
     )
@@ -55,7 +56,7 @@ def decode_events(events: DataFrame, scale: int = 2, signed: bool = False) -> Da
         *events.columns,
         "annonce",
         "op",
-        F.col("_id").try_cast("long").alias("id_salarie"),
+        F.coalesce(F.col("_id").try_cast("long"), number_or_null(F.col("_id")).try_cast("long")).alias("id_salarie"),
         F.coalesce("_id", F.lit("None")).alias("id_texte"),
         F.coalesce("_sport", F.lit(DEFAULT_SPORT)).alias("type_sport"),
         decode_number(F.col("_distance"), F.col("_octets"), scale, signed).alias("distance_m"),

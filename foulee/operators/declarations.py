@@ -54,12 +54,14 @@ def declaration_errors(declarations: DataFrame, limits: DataFrame, speed_unit: s
         (seconds <= 0, ["La duree doit etre superieure a 0 seconde."]),
         (
             seconds > longest_s,
-            ["Duree trop longue pour ", sport, " : max ", hours(longest_s), "h (vous avez saisi ", hours(seconds), "h)."],
+            ["Duree trop longue pour ", sport, " : max ", hours(longest_s),
+             "h (vous avez saisi ", hours(seconds), "h)."],
         ),
         (seconds < SHORTEST_SESSION_S, ["Duree trop courte : minimum 5 minutes."]),
         (
             moving & (metres > longest_m),
-            ["Distance impossible pour ", sport, " : max ", km(longest_m, 0), " km (vous avez saisi ", km(metres, 1), " km)."],
+            ["Distance impossible pour ", sport, " : max ", km(longest_m, 0),
+             " km (vous avez saisi ", km(metres, 1), " km)."],
         ),
         (
             moving & (speed > F.col("vitesse_max")),

@@ -32,13 +32,13 @@ def keep_one(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def left_lookup(df: DataFrame, dimension: DataFrame, keys: Sequence[str], unique: bool = False) -> DataFrame:
     """``df`` left-joined to ``dimension`` on ``keys``, never adding rows.
 
-    The dimension is reduced to one row per key unless it is known to be ``unique``. No broadcast is forced: Spark broadcasts the
-    dimension when its measured size is under ``spark.sql.autoBroadcastJoinThreshold`` and
-    shuffles both sides otherwise. For that second case the join also compares a hash of the key.
-    It changes no match, but it differs from the keys the dimension was grouped by, so both sides
-    get an exchange directly under the join, which is what lets adaptive execution split a hot
-    key; and rows without a key, which match nothing, are spread over all partitions instead of
-    meeting in one.
+    The dimension is reduced to one row per key unless it is known to be ``unique``. No broadcast
+    is forced: Spark broadcasts the dimension when its measured size is under
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides otherwise. For that second
+    case the join also compares a hash of the key. It changes no match, but it differs from the
+    keys the dimension was grouped by, so both sides get an exchange directly under the join,
+    which is what lets adaptive execution split a hot key; and rows without a key, which match
+    nothing, are spread over all partitions instead of meeting in one.
     """
     one_per_key = dimension if unique else keep_one(dimension, keys)
     no_key = reduce(or_, [F.col(key).isNull() for key in keys])

@@ -33,7 +33,9 @@ def event_messages(normalised: DataFrame, employees: DataFrame) -> DataFrame:
     body = (
         F.when(
             sport.contains("Course") | sport.contains("Run"),
-            text("Bravo *", name, "* ! Tu viens de courir ", km, " km en ", minutes, " min ! Quelle énergie ! 🏃‍♂️🔥"),
+            text(
+                "Bravo *", name, "* ! Tu viens de courir ", km, " km en ", minutes, " min ! Quelle énergie ! 🏃‍♂️🔥"
+            ),
         )
         .when(
             sport.contains("Rando"),

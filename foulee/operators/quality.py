@@ -92,22 +92,23 @@ def quality_counts(
     return per_id.agg(*[F.coalesce(t, F.lit(0)).alias(check[0]) for t, check in zip(totals, CHECKS)])
 
 
+def _line(name: str, label: str, unit: str | None, critical: bool) -> str:
+    """One report line as an SQL struct over the counter ``name``."""
+    label = label.replace("'", "\\'")
+    detail = f"concat({name}, ' {unit}')" if unit else "''"
+    return (
+        f"struct('{label}' AS test, if({name} = 0, '{PASS}', '{FAIL}') AS statut, {detail} AS detail, "
+        f"{str(critical).lower()} AS critique, {name} AS nb_erreurs)"
+    )
+
+
 def quality_report(
     employees: DataFrame, activities: DataFrame, benefits: DataFrame, rules: Rules = Rules()
 ) -> DataFrame:
     """Fifteen rows ``test, statut, detail, critique, nb_erreurs`` in check order."""
-    lines = [
-        F.struct(
-            F.lit(label).alias("test"),
-            F.when(F.col(name) == 0, PASS).otherwise(FAIL).alias("statut"),
-            (F.concat(F.col(name).cast("string"), F.lit(f" {unit}")) if unit else F.lit("")).alias("detail"),
-            F.lit(critical).alias("critique"),
-            F.col(name).alias("nb_erreurs"),
-        )
-        for name, label, unit, critical in CHECKS
-    ]
     counts = quality_counts(employees, activities, benefits, rules)
-    return counts.select(F.inline(F.array(*lines)))
+    lines = ", ".join(_line(*check) for check in CHECKS)
+    return counts.selectExpr(f"inline(array({lines}))")
 
 
 def quality_summary(report: DataFrame) -> DataFrame:

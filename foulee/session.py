@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "foulee", master: str | None = None, **conf: str) -> SparkSession:
@@ -15,6 +15,8 @@ def build_session(app_name: str = "foulee", master: str | None = None, **conf: s
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Recording the Python call site of every column costs more than planning does.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # HotSpot does not compile methods above 8000 bytes of bytecode. Past that size, separate
         # compiled projections beat one fused method that stays interpreted.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
@@ -47,7 +49,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df):
-    """Materialise ``df`` in the reliable checkpoint folder, so lost executors cannot change it."""
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise a small frame in the checkpoint folder, so lost executors cannot change it."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Materialise a large frame as a table in the shared folder and read it back: unlike a
+    checkpoint it is compressed, and later passes read only the columns they need."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foulee import schemas
+from foulee.functions.numeric import number_or_null
 from foulee.operators.lookup import keep_one
-from foulee.session import cut_lineage
+from foulee.session import staged
 
 # Extract headers and the column each one becomes.
 EMPLOYEE_HEADERS = {
@@ -84,7 +85,7 @@ def load_activities(raw: DataFrame) -> DataFrame:
     return renamed.select(
         F.col("id_salarie").cast("long").alias("id_salarie"),
         "type_sport",
-        F.col("distance_m").try_cast("double").alias("distance_m"),
+        number_or_null(F.col("distance_m")).alias("distance_m"),
         F.col("temps_ecoule_s").cast("long").alias("temps_ecoule_s"),
         _strict_timestamp(F.col("date_debut")).alias("date_debut"),
         _strict_timestamp(F.col("date_fin")).alias("date_fin"),
@@ -97,19 +98,20 @@ def with_surrogate_id(df: DataFrame, order: Sequence[str], partitions: int | Non
 
     A window without partitions would number everything in one task. Instead the rows are range
     partitioned and sorted (a running number breaks ties, so even a third of all rows being equal
-    spreads over many ranges), materialised once in the checkpoint folder, and every partition is
-    shifted by the size of the ones before it. Only those sizes, one per partition, go through a
-    single task. Runs the job that materialises.
+    spreads over many ranges), staged once in the shared folder, and every partition is shifted by
+    the size of the ones before it. Only those sizes, one per partition, go through a single task.
+    Runs the job that stages.
     """
     spark = df.sparkSession
     keys = [*order, *[name for name in df.columns if name not in order], "_rang"]
     ranges = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = cut_lineage(
+    ordered = staged(
         df.withColumn("_rang", F.monotonically_increasing_id())
         .repartitionByRange(ranges, *[F.asc_nulls_first(k) for k in keys])
         .sortWithinPartitions(*[F.asc_nulls_first(k) for k in keys])
         .drop("_rang")
-        .withColumn("_position", F.monotonically_increasing_id())
+        .withColumn("_position", F.monotonically_increasing_id()),
+        "numerotation",
     )
     part = F.shiftright("_position", _ROW_BITS)
     sizes = ordered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_lignes"))

@@ -250,10 +250,8 @@ def cdc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def declaration_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The declarations as a stream through the declaration feed; returns the accepted rows."""
     target = scratch_path(spark, "declarations")
-    schema = t.table(spark, sf_dir, "lineitem").schema
-    lines = spark.readStream.schema(schema).parquet(f"{sf_dir}/lineitem.parquet*")
     feed = start_declaration_feed(
-        t.declarations_of(lines),
+        t.declarations_of(t.table_stream(spark, sf_dir, "lineitem")),
         reference.declaration_limits(spark),
         target,
         scratch_path(spark, "suivi"),

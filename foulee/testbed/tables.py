@@ -46,13 +46,34 @@ MODES = (WALKING, WALKING, CYCLING, CYCLING, PUBLIC_TRANSPORT, PUBLIC_TRANSPORT,
 UNITS = {"BUILDING": "Marketing", "AUTOMOBILE": "R&D", "MACHINERY": "Ventes", "HOUSEHOLD": "Support"}
 
 
+SCHEMAS = {
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "orders": (
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+        "o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same table arriving as a stream of files."""
+    return spark.readStream.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet*")
 
 
 def _pick(values, index: Column) -> Column:
     """The value at ``index``, or null past the end."""
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
+    return F.get(F.expr("array({})".format(", ".join(f"'{v}'" for v in values))), index.cast("int"))
 
 
 def _copies(condition: Column) -> Column:
@@ -226,8 +247,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same change events, arriving as a stream of files."""
-    schema = table(spark, sf_dir, "events").schema
-    return envelope(spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*"))
+    return envelope(table_stream(spark, sf_dir, "events"))
 
 
 def _extract(df: DataFrame, headers: dict[str, str], **texts: Column) -> DataFrame:

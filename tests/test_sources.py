@@ -19,7 +19,7 @@ def test_activity_extract(spark, tmp_path):
         "ID,ID salarié,Date de début,Type,Distance (m),Temps écoulé (s),Date de fin,Commentaire\n"
         "7,1,05/03/2024 08:15,Tennis,,3600,05/03/2024 09:15,ok\n"
         "8,2,5/3/2024 8:05,Randonnée,12.5,60,5/3/2024 8:06,\n"
-        "9,2,05/03/2024 08:05,Natation,loin,60,05/03/2024 08:06,\n",
+        "9,2,05/03/2024 08:05,Natation,12d,60,05/03/2024 08:06,\n",
         encoding="utf-8",
     )
     raw = extracts.read_extract(spark, str(tmp_path), extracts.ACTIVITY_HEADERS)
@@ -38,7 +38,8 @@ def test_a_bad_timestamp_stops_the_load(spark, frame, ansi):
     before = spark.conf.get("spark.sql.ansi.enabled")
     spark.conf.set("spark.sql.ansi.enabled", ansi)
     try:
-        raw = frame([(None, "1", "hier", "Tennis", None, "60", None, None)], ", ".join(f"`{h}` string" for h in extracts.ACTIVITY_HEADERS))
+        schema = ", ".join(f"`{header}` string" for header in extracts.ACTIVITY_HEADERS)
+        raw = frame([(None, "1", "hier", "Tennis", None, "60", None, None)], schema)
         with pytest.raises(Exception, match="hier"):
             extracts.load_activities(raw).collect()
     finally:
@@ -53,10 +54,12 @@ def test_a_wrong_header_stops_the_load(spark, tmp_path):
 
 def test_employee_and_sport_extracts(spark, tmp_path):
     (tmp_path / "e.csv").write_text(
-        ",".join(extracts.EMPLOYEE_HEADERS) + "\n" + '1,Dupont,Léa,1990-02-03,R&D,2020-01-01,31000.5,CDI,25,"1, rue A",x\n',
+        ",".join(extracts.EMPLOYEE_HEADERS)
+        + '\n1,Dupont,Léa,1990-02-03,R&D,2020-01-01,31000.5,CDI,25,"1, rue A",x\n',
         encoding="utf-8",
     )
-    row = extracts.load_employees(extracts.read_extract(spark, str(tmp_path / "e.csv"), extracts.EMPLOYEE_HEADERS)).first()
+    raw = extracts.read_extract(spark, str(tmp_path / "e.csv"), extracts.EMPLOYEE_HEADERS)
+    row = extracts.load_employees(raw).first()
     assert (row.id_salarie, row.salaire_brut, row.date_naissance, row.adresse) == (
         1, Decimal("31000.50"), dt.date(1990, 2, 3), "1, rue A",
     )
@@ -75,13 +78,17 @@ def test_surrogate_ids_are_dense_and_spread_equal_rows(spark):
     assert sorted(r.id for r in rows) == list(range(1, 9001))
     ordered = sorted(rows, key=lambda r: r.id)
     assert [r.a for r in ordered] == sorted(r.a for r in rows)
-    sizes = [r["count"] for r in numbered.groupBy("p").count().collect()]
-    assert max(sizes) < 9000 / 3
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1KB")  # one staged range per task
+    try:
+        sizes = [r["count"] for r in numbered.groupBy("p").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sum(sizes) == 9000 and max(sizes) < 9000 / 3
 
 
 def test_reference_fallback(spark, tmp_path):
-    default = reference.sports(spark)
-    assert extracts.reference_or_default(spark, str(tmp_path / "absent.csv"), schemas.SPORT_REFERENCE, default) is default
+    default, absent = reference.sports(spark), str(tmp_path / "absent.csv")
+    assert extracts.reference_or_default(spark, absent, schemas.SPORT_REFERENCE, default) is default
     assert extracts.reference_or_default(spark, None, schemas.SPORT_REFERENCE, default) is default
     file = tmp_path / "sports.csv"
     file.write_text("type_sport,duree_min_s,categorie\nTennis,60,x\nTennis,90,y\n", encoding="utf-8")
