@@ -53,7 +53,7 @@ def measured_distances(
         address_key(F.col("adresse")).alias("cle_adresse"),
     )
     office_lat, office_lon = office or _office(rules)
-    return left_lookup(active, geocodes, ["cle_adresse"], unique=True).select(
+    return left_lookup(active, geocodes, ["cle_adresse"], unique=True, spread_by=["id_salarie"]).select(
         "id_salarie",
         haversine_m(F.col("lat"), F.col("lon"), office_lat, office_lon).alias("distance_m"),
         "distance_max",

@@ -21,6 +21,6 @@ def enrich_activities(activities: DataFrame, sport_reference: DataFrame) -> Data
 def check_business_units(employees: DataFrame, business_units: DataFrame) -> DataFrame:
     """Add ``bu_valide``: whether the employee's business unit is in the reference."""
     reference = business_units.select("bu", F.lit(True).alias("bu_connue"))
-    return left_lookup(employees, reference, ["bu"]).select(
+    return left_lookup(employees, reference, ["bu"], spread_by=["id_salarie"]).select(
         *employees.columns, F.col("bu_connue").isNotNull().alias("bu_valide")
     )

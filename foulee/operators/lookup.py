@@ -29,7 +29,13 @@ def keep_one(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def left_lookup(df: DataFrame, dimension: DataFrame, keys: Sequence[str], unique: bool = False) -> DataFrame:
+def left_lookup(
+    df: DataFrame,
+    dimension: DataFrame,
+    keys: Sequence[str],
+    unique: bool = False,
+    spread_by: Sequence[str] = (),
+) -> DataFrame:
     """``df`` left-joined to ``dimension`` on ``keys``, never adding rows.
 
     The dimension is reduced to one row per key unless it is known to be ``unique``. No broadcast
@@ -37,14 +43,17 @@ def left_lookup(df: DataFrame, dimension: DataFrame, keys: Sequence[str], unique
     ``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides otherwise. For that second
     case the join also compares a hash of the key. It changes no match, but it differs from the
     keys the dimension was grouped by, so both sides get an exchange directly under the join,
-    which is what lets adaptive execution split a hot key; and rows without a key, which match
-    nothing, are spread over all partitions instead of meeting in one.
+    which is what lets adaptive execution split a hot key. Rows without a key match nothing; a
+    hash of their ``spread_by`` columns, if given, keeps them from meeting in one partition. Name
+    only columns the result needs anyway: the join has to carry them.
     """
     one_per_key = dimension if unique else keep_one(dimension, keys)
-    no_key = reduce(or_, [F.col(key).isNull() for key in keys])
-    spread = F.when(no_key, F.xxhash64(*df.columns)).otherwise(F.xxhash64(*keys))
+    fingerprint = F.xxhash64(*keys)
+    if spread_by:
+        no_key = reduce(or_, [F.col(key).isNull() for key in keys])
+        fingerprint = F.when(no_key, F.xxhash64(*spread_by)).otherwise(fingerprint)
     return (
-        df.withColumn(_FINGERPRINT, spread)
+        df.withColumn(_FINGERPRINT, fingerprint)
         .join(one_per_key.withColumn(_FINGERPRINT, F.xxhash64(*keys)), on=[*keys, _FINGERPRINT], how="left")
         .select(*df.columns, *[name for name in dimension.columns if name not in keys])
     )

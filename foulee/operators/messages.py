@@ -61,7 +61,7 @@ def activity_messages(named: DataFrame) -> DataFrame:
     templates speak of metres and get metres. A missing or zero distance shows as a question mark.
     """
     templates = message_templates(named.sparkSession)
-    chosen = left_lookup(named, templates, ["type_sport"], unique=True).withColumns(
+    chosen = left_lookup(named, templates, ["type_sport"], unique=True, spread_by=["id"]).withColumns(
         {
             "_km": round_binary(F.col("distance_m") / F.lit(1000.0), 1),
             "_metres": round_binary(F.col("distance_m"), 0),

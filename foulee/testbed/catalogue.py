@@ -175,7 +175,7 @@ def latest_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def activity_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The templates over every activity, not only the newest."""
     names = clean_employees(spark, sf_dir).select("id_salarie", "prenom", "nom")
-    return messages.activity_messages(left_lookup(t.activities(spark, sf_dir), names, ["id_salarie"]))
+    return messages.activity_messages(left_lookup(t.activities(spark, sf_dir), names, ["id_salarie"], spread_by=["id"]))
 
 
 def load_employees(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -132,7 +132,7 @@ def test_lookup_splits_a_hot_key_and_spreads_missing_ones(spark):
         left = spark.range(0, n, 1, 8).select("id", key.alias("k"))
         dimension = spark.range(n).select(F.concat(F.lit("k"), F.col("id")).alias("k"), F.col("id").alias("v"))
         dimension = dimension.union(spark.sql("SELECT 'chaud', -1L")).union(spark.sql("SELECT 'chaud', -2L"))
-        joined = left_lookup(left, dimension, ["k"]).withColumn("tache", F.spark_partition_id())
+        joined = left_lookup(left, dimension, ["k"], spread_by=["id"]).withColumn("tache", F.spark_partition_id())
         joined = joined.persist()
         biggest, total = joined.groupBy("tache").count().agg(F.max("count"), F.sum("count")).first()
         assert total == n
@@ -144,3 +144,14 @@ def test_lookup_splits_a_hot_key_and_spreads_missing_ones(spark):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_lookup_keeps_column_pruning(spark, tmp_path):
+    """Counting valid activities reads neither comments nor distances."""
+    row = tuple(move().get(name) for name in schemas.ACTIVITIES.fieldNames())
+    spark.createDataFrame([row], schemas.ACTIVITIES).write.parquet(str(tmp_path / "a"))
+    activities = spark.read.schema(schemas.ACTIVITIES).parquet(str(tmp_path / "a"))
+    valid = enrich_activities(activities, reference.sports(spark)).agg(F.count_if("activite_valide"))
+    plan = valid._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<type_sport:string,temps_ecoule_s:bigint>" in plan
+    assert "BroadcastHashJoin" in plan
