@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foulee.llm import exact_dedup
+from foulee.llm import exact_dedup, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash": simhash.op2_simhash,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +32,7 @@ def slices(batches: Iterator[pa.RecordBatch], size_of: str) -> Iterator[pa.Recor
         if not rows:
             continue
         column = batch.column(batch.schema.get_field_index(size_of))
-        sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
         while at < rows:
             end, held = at, 0
             while end < rows and end - at < SLICE_ROWS and (end == at or held + sizes[end] <= SLICE_BYTES):
