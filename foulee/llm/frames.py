@@ -24,39 +24,53 @@ def read(spark, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def slices(batches: Iterator[pa.RecordBatch], size_of: str) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
     """Cuts record batches so that one holds few rows and, unless a single value is larger, a
-    bounded number of bytes of the text column ``size_of``."""
+    bounded number of bytes of the text column at position ``at``."""
     for batch in batches:
-        at, rows = 0, batch.num_rows
-        if not rows:
-            continue
-        column = batch.column(batch.schema.get_field_index(size_of))
-        sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
-        while at < rows:
-            end, held = at, 0
-            while end < rows and end - at < SLICE_ROWS and (end == at or held + sizes[end] <= SLICE_BYTES):
+        sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist()
+        start = 0
+        while start < batch.num_rows:
+            end, held = start, 0
+            while end < batch.num_rows and end - start < SLICE_ROWS and (end == start or held + sizes[end] <= SLICE_BYTES):
                 held += sizes[end]
                 end += 1
-            yield batch.slice(at, end - at)
-            at = end
+            yield batch.slice(start, end - start)
+            start = end
 
 
-def map_slices(
-    df: DataFrame,
-    text: str,
-    make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],
-    schema: T.StructType,
+def annotate(
+    docs: DataFrame,
+    text_col: str,
+    keep: Sequence[str],
+    fields: Sequence[T.StructField],
+    make: Callable[[], Callable[[list[bytes | None]], list[pa.Array]]],
 ) -> DataFrame:
-    """``mapInArrow`` over bounded slices. ``make`` builds the worker's function once per task."""
+    """Columns ``keep`` of ``docs``, then ``fields`` computed from the whole text, in bounded slices.
+
+    ``make`` is called once in each task and returns the function from texts (UTF-8) to one array per
+    field. Inside, columns go by position, so that no name of ``docs`` can clash; the fields' names must
+    differ from those of ``keep``.
+    """
+    names = [*keep] if text_col in keep else [*keep, text_col]
+    at = names.index(text_col)
+    narrow = docs.select(*[col(name).alias(f"c{i}") for i, name in enumerate(names)])
+    given = [T.StructField(f"c{i}", docs.schema[name].dataType) for i, name in enumerate(keep)]
+    made = [T.StructField(f"r{i}", field.dataType) for i, field in enumerate(fields)]
+    labels = [field.name for field in [*given, *made]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = None
-        for batch in slices(batches, text):
+        for batch in slices(batches, at):
             work = work or make()
-            yield work(batch)
-
-    return df.mapInArrow(run, schema)
+            results = work(batch.column(at).cast(pa.binary()).to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(given)], *results], labels)
+
+    out = narrow.mapInArrow(run, T.StructType([*given, *made]))
+    return out.select(
+        *[F.col(f"c{i}").alias(name) for i, name in enumerate(keep)],
+        *[F.col(f"r{i}").alias(field.name) for i, field in enumerate(fields)],
+    )
 
 
 def fresh(names: Sequence[str], wanted: str) -> str:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foulee.llm.components import components
-from foulee.llm.frames import col, map_slices, read
+from foulee.llm.frames import annotate, col, fresh, read
 from foulee.operators.lookup import left_lookup
 from foulee.session import staged
 
@@ -67,18 +67,11 @@ def fingerprint(text: bytes | None, words: int = WORDS) -> int:
 
 def fingerprints(docs: DataFrame, text_col: str, keep: Sequence[str], words: int = WORDS) -> DataFrame:
     """Columns ``keep`` of every row of ``docs`` and ``fp``."""
-    schema = T.StructType([*[docs.schema[name] for name in keep], T.StructField("fp", T.LongType())])
 
     def make():
-        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist()
-            found = pa.array([fingerprint(text, words) for text in texts], pa.int64())
-            return pa.RecordBatch.from_arrays([*batch.columns[:-1], found], [*keep, "fp"])
+        return lambda texts: [pa.array([fingerprint(text, words) for text in texts], pa.int64())]
 
-        return work
-
-    narrow = docs.select(*[col(name) for name in keep], col(text_col).alias("_text"))
-    return map_slices(narrow, "_text", make, schema)
+    return annotate(docs, text_col, keep, [T.StructField("fp", T.LongType())], make)
 
 
 def _union(parent: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -217,19 +210,19 @@ def keep_first(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS
 ) -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest id, then hash of the row."""
-    hashed = docs.withColumn("_row_hash", F.xxhash64(*[col(name) for name in docs.columns]))
-    marks = staged(fingerprints(hashed, text_col, [id_col, "_row_hash"], words), "fingerprints")
-    marks = label(marks, id_col, radius)
+    row = fresh(docs.columns, "row_hash")
+    hashed = docs.withColumn(row, F.xxhash64(*[col(name) for name in docs.columns]))
+    marks = hashed.select(col(id_col).alias("id"), col(row).alias("row"), col(text_col).alias("text"))
+    marks = label(staged(fingerprints(marks, "text", ["id", "row"], words), "fingerprints"), "id", radius)
     # Counted for each row first: a component that holds a third of all rows shrinks before it meets.
-    rows = marks.groupBy("component", "_row_hash").agg(
-        F.min(col(id_col)).alias("id"), F.count(F.lit(1)).alias("copies")
-    )
-    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "_row_hash", "copies")
+    rows = marks.groupBy("component", "row").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "row", "copies")
     first = rows.groupBy("component").agg(F.min(order).alias("first"))
-    first = first.select(F.col("first._row_hash").alias("_row_hash"), F.col("first.copies").alias("_copies"))
-    kept = hashed.join(first, "_row_hash")
+    copies = fresh([*docs.columns, row], "copies")
+    first = first.select(F.col("first.row").alias(row), F.col("first.copies").alias(copies))
+    kept = hashed.join(first, row)
     # A row may be repeated as a whole; the copies are equal, so any of them can stay.
-    parts = [kept.filter("_copies = 1"), kept.filter("_copies > 1").dropDuplicates(["_row_hash"])]
+    parts = [kept.filter(col(copies) == 1), kept.filter(col(copies) > 1).dropDuplicates([row])]
     return reduce(DataFrame.unionByName, parts).select(*[col(name) for name in docs.columns])
 
 
