@@ -1,0 +1,121 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from foulee.llm import packing
+from foulee.llm.word_bpe import WordEncoder
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    found = Tokenizer.from_file(packing.tokenizer_path())
+    found.encode_special_tokens = True
+    return found
+
+
+def slots(intervals):
+    return [
+        (length, rank + i, sequence + i, offset)
+        for length, rank, sequence, offset, number in intervals.tolist()
+        for i in range(number)
+    ]
+
+
+def check_plan(counts, size):
+    placed = slots(packing.plan(counts, size))
+    ranks = {}
+    for length, rank, _, _ in placed:
+        ranks.setdefault(length, []).append(rank)
+    assert {n: sorted(r) for n, r in ranks.items()} == {n: list(range(c)) for n, c in counts.items() if c}
+    filled = {}
+    for length, _, sequence, offset in placed:
+        filled.setdefault(sequence, []).append((offset, length))
+    for parts in filled.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= size
+    return len(filled)
+
+
+def best_fit_decreasing(counts, size):
+    gaps = []
+    for length in sorted((n for n, c in counts.items() for _ in range(c)), reverse=True):
+        fits = [i for i, gap in enumerate(gaps) if gap >= length]
+        if fits:
+            gaps[min(fits, key=gaps.__getitem__)] -= length
+        else:
+            gaps.append(size - length)
+    return len(gaps)
+
+
+def test_plan_is_valid_and_as_tight_as_best_fit():
+    rng = random.Random(1)
+    for size, n, low in ((64, 300, 1), (64, 300, 20), (100, 50, 30), (2048, 700, 300), (10, 1, 1), (10, 40, 4)):
+        counts = {}
+        for _ in range(n):
+            length = rng.randint(low, size)
+            counts[length] = counts.get(length, 0) + 1
+        used = check_plan(counts, size)
+        bound = -(-sum(length * count for length, count in counts.items()) // size)
+        assert bound <= used <= best_fit_decreasing(counts, size) * 1.02 + 1
+    assert check_plan({3: 1}, 10) == 1 and check_plan({5: 4, 10: 2}, 10) == 4 and len(packing.plan({}, 10)) == 0
+
+
+ODD = [
+    "", " \n\t ", "Plain words, here; 42 times.", "l'eau d'été don't I'LL", "Straße ÀÉÎ œuvre ﬁn Ω Σίσυφος ΣΑΣ", "été ñ",
+    "a b c\x1cd\x85e", "<|endoftext|> and <|startoftext|>", "日本語 テスト", "x" * 5000, "😀 ok 👍🏽!", "1234 5.6e-7 a1b2", "A" * 40 + "!?" * 40,
+    "\x00\x01 zero", "İstanbul ǅ K",
+]
+
+
+def test_ids_are_those_of_the_tokenizer(tokenizer, spark):
+    texts = ODD + [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    encoder = WordEncoder(packing.tokenizer_path())
+    for got, text in zip(encoder.encode(texts), texts):
+        assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text[:50]
+
+
+def check_rows(rows, texts, tokenizer, size=2048):
+    by_doc, filled = {}, {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        filled.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for doc_id, text in texts.items():
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+        got = sorted(by_doc.pop(doc_id), key=lambda r: r.piece)
+        assert [(r.piece, r.start, r.length) for r in got] == [
+            (i, s, min(size, len(ids) - s)) for i, s in enumerate(range(0, len(ids), size))
+        ]
+        for r in got:
+            assert r.ids_crc32 == zlib.crc32(np.array(ids[r.start : r.start + r.length], "<u4").tobytes())
+    assert not by_doc
+    for parts in filled.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= size
+    return len(filled)
+
+
+def test_whole_table(spark, tokenizer):
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    rows = packing.op8_packing(spark, "/root/testdata/sf0.001").collect()
+    used = check_rows(rows, texts, tokenizer)
+    assert used <= -(-sum(r.length for r in rows) // 2048) * 1.02 + 1
+
+
+def test_nulls_repeats_long_texts_and_ids(spark, tokenizer):
+    texts = dict(enumerate([*ODD, None, "word " * 9000]))
+    df = spark.createDataFrame([(i, t, "x") for i, t in texts.items()], "doc_id long, text string, length string")
+    rows = packing.best_fit(df, with_ids=True).collect()
+    check_rows(rows, texts, tokenizer)
+    assert all(len(r.ids) == r.length for r in rows)
+    twice = packing.best_fit(df.unionAll(df).unionAll(spark.createDataFrame([(None, "a", "b")], df.schema))).collect()
+    assert len(twice) == 2 * len(rows) + 1
+    assert packing.best_fit(df.limit(0)).collect() == []
