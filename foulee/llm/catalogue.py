@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foulee.llm import decontaminate, exact_dedup, packing, simhash
+from foulee.llm import decontaminate, exact_dedup, language, packing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": simhash.op2_simhash,
+    "op3_language": language.op3_language,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op8_packing": packing.op8_packing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
