@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foulee.llm import decontaminate, exact_dedup, language, packing, pii, simhash
+from foulee.llm import decontaminate, exact_dedup, html_text, language, packing, pii, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
     "op2_simhash": simhash.op2_simhash,
     "op3_language": language.op3_language,
     "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op7_html": html_text.op7_html,
     "op8_packing": packing.op8_packing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }

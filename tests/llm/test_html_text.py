@@ -1,0 +1,101 @@
+import html
+import random
+import re
+
+import numpy as np
+import pytest
+
+from foulee.llm import html_text
+from foulee.llm.dom import parse
+
+
+@pytest.fixture(scope="module")
+def trees(spark):
+    return html_text.fitted(spark)
+
+
+def text_of(page, trees):
+    nodes = parse(page)
+    return html_text.chosen(nodes, trees.log_odds(html_text.features(html_text.measured(nodes))))
+
+
+def leaves(page):
+    return [(n.text, n.parent.tag) for n in parse(page) if n.tag == "#text"]
+
+
+def test_parse_reads_broken_markup():
+    assert leaves("") == [] and leaves("plain &amp; text") == [("plain & text", "#root")]
+    assert leaves("<p>a<p>b<br>c <b>d</b></p>e<div>f<p>g</div>h") == [
+        ("a", "p"), ("b c d", "p"), ("e", "#root"), ("f", "div"), ("g", "p"), ("h", "#root"),
+    ]
+    assert leaves('<script>var a="</p>";</script><style>x</style><!-- <p>no</p> --><p title=">">a&nbsp;\n b') == [("a b", "p")]
+    assert leaves("<ul><li>a<li>b<ul><li>c</ul></ul>") == [("a", "li"), ("b", "li"), ("c", "li")]
+    assert leaves("1 < 2 <p>x</q></p") == [("1 < 2", "#root"), ("x", "p")]
+    assert leaves("<script>never closed <p>x") == [] and len(parse("<div>" * 30000 + "deep")) == 30002
+
+
+def test_trees_agree_with_spark(spark):
+    """The arrays give the same classes as the model that they were read from."""
+    rng, rows = random.Random(1), []
+    for _ in range(30):
+        nodes, labels = html_text.labelled(html_text.generated_page(rng))
+        rows += list(zip(html_text.features(html_text.measured(nodes)).tolist(), labels))
+    frame = spark.createDataFrame(rows, "x array<double>, label double")
+    frame = frame.select(html_text.array_to_vector("x").alias("features"), "label")
+    model = html_text.GBTClassifier(maxIter=3, maxDepth=3, seed=1).fit(frame)
+    odds = html_text.Trees(model.toDebugString).log_odds(np.array([x for x, _ in rows]))
+    raw = [r.rawPrediction[1] * 2 for r in model.transform(frame).select("rawPrediction").collect()]
+    assert np.allclose(odds, raw)
+
+
+def test_choice_is_consistent_and_best():
+    rng = random.Random(2)
+    for _ in range(200):
+        page = "".join(rng.choice(["<div>", "</div>", "<p>x", "y"]) for _ in range(8))
+        nodes = parse(page)
+        odds = np.array([rng.uniform(-2, 2) for _ in nodes])
+        got = html_text.chosen(nodes, odds)
+        place = {id(n): i for i, n in enumerate(nodes)}
+        best = (-1e9, None)
+        for mask in range(1 << (len(nodes) - 1)):
+            keep = [True] + [bool(mask >> i & 1) for i in range(len(nodes) - 1)]
+            if all(not keep[i] or keep[place[id(n.parent)]] for i, n in enumerate(nodes) if i):
+                best = max(best, (sum(o for o, k in zip(odds[1:], keep[1:]) if k), keep), key=lambda b: b[0])
+        assert got == [n.text for n, k in zip(nodes, best[1]) if k and n.text]
+
+
+def test_held_out_generated_pages(trees):
+    rng, right, wrong = random.Random(77), 0, 0
+    for _ in range(200):
+        page = html_text.generated_page(rng)
+        nodes, labels = html_text.labelled(page)
+        want = {n.text for n, y in zip(nodes, labels) if y and n.text}
+        got = set(text_of(page.replace(html_text._KEPT, ""), trees))
+        right += len(want & got)
+        wrong += len(want ^ got)
+    assert wrong < 0.12 * right
+
+
+def test_a_page_of_every_kind_of_boilerplate(trees):
+    page = """<html><head><title>T</title><style>p{}</style></head><body><div class="cookie-notice"><p>We use cookies, ok?</p></div>
+    <header><h1>Site</h1></header><nav><a href=a>Home</a> <a href=b>News</a></nav><div id="sidebar"><h3>More</h3><a href=c>x</a></div>
+    <article><h1>Title &amp; more</h1><p>First   <b>paragraph</b>, with text.</p><div class="ad">Buy now</div><ul><li>One item</li></ul>
+    <p>Last paragraph of this article, which is long enough.</article><form><label>Mail</label><button>Send</button></form>
+    <div class="comments"><p>Nice article, thanks a lot for it.</p></div><footer>&copy; me</footer></body></html>"""
+    assert text_of(page, trees) == [
+        "Title & more", "First paragraph , with text.".replace(" ,", ","), "One item", "Last paragraph of this article, which is long enough.",
+    ]
+
+
+def test_whole_table_and_cases(spark, trees):
+    path = "/root/testdata/sf0.001"
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{path}/pages.parquet").collect()}
+    rows = html_text.op7_html(spark, path).collect()
+    assert sorted(r.page_id for r in rows) == sorted(pages)
+    for r in rows:
+        inside = re.search(r"<article>(.*?)(?:</article>|<footer|$)", pages[r.page_id], re.S)[1]
+        blocks = [" ".join(html.unescape(re.sub("<[^>]*>", " ", x)).split()) for x in re.split(r"</?(?:p|h1)[^>]*>", inside)]
+        assert r.text == "\n\n".join(filter(None, blocks)) and r.n_chars == len(r.text)
+    df = spark.createDataFrame([(1, None, "a"), (2, "", "b"), (2, "", "b"), (None, "<nav>x</nav>", "c")], "page_id long, html string, text string")
+    assert [r[1] for r in html_text.extract(df, "html", ["page_id"], trees).collect()] == ["", "", "", ""]
+    assert html_text.extract(df.limit(0), "html", ["page_id"], trees).collect() == []
