@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foulee.llm import decontaminate, exact_dedup, html_text, language, packing, pii, simhash
+from foulee.llm import decontaminate, exact_dedup, html_text, language, line_dedup, packing, pii, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_html": html_text.op7_html,
     "op8_packing": packing.op8_packing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {

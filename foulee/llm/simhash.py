@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 
 from foulee.llm.components import components
 from foulee.llm.frames import annotate, col, fresh, read
+from foulee.llm.tiles import deal
 from foulee.operators.lookup import left_lookup
 from foulee.session import staged
 
@@ -179,16 +180,7 @@ def _block_keys(fp: Column, radius: int) -> list[Column]:
 def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """Edges (a, b) that connect all fingerprints of ``fps`` (distinct ``fp``) within the radius."""
     keyed = fps.select("fp", F.inline(F.array(*_block_keys(F.col("fp"), radius))))
-    crowded = keyed.groupBy("pair", "bits").count().filter(F.col("count") > tile)
-    tiles = crowded.select("pair", "bits", F.ceil(F.col("count") / tile).cast("int").alias("tiles"))
-    dealt = left_lookup(keyed, tiles, ["pair", "bits"], unique=True)
-    own = F.when(F.col("tiles").isNull(), 0).otherwise(F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"))
-    dealt = dealt.select("pair", "bits", "fp", own.alias("own"), F.coalesce("tiles", F.lit(1)).alias("tiles"))
-    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
-    dealt = dealt.select("pair", "bits", "fp", "own", other)
-    dealt = dealt.select(
-        "pair", "bits", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "fp"
-    )
+    dealt = deal(keyed, ["pair", "bits"], ["fp"], tile).select("pair", "bits", "low", "high", "fp")
     keys = ["pair", "bits", "low", "high"]
     return dealt.repartition(*keys).sortWithinPartitions(*keys, "fp").mapInArrow(_stars(radius), "a long, b long")
 
