@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foulee.llm import decontaminate, exact_dedup, html_text, language, line_dedup, packing, pii, simhash
+from foulee.llm import decontaminate, exact_dedup, html_text, importance, language, line_dedup, packing, pii, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
     "op2_simhash": simhash.op2_simhash,
     "op3_language": language.op3_language,
+    "op4_importance": importance.op4_importance,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op7_html": html_text.op7_html,
     "op8_packing": packing.op8_packing,
