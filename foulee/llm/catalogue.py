@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foulee.llm import decontaminate, exact_dedup, html_text, importance, language, line_dedup, packing, pii, simhash
+from foulee.llm import decontaminate, exact_dedup, html_text, importance, language, line_dedup, packing, pii, simhash, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language": language.op3_language,
     "op4_importance": importance.op4_importance,
     "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op6_token_counts": token_counts.op6_token_counts,
     "op7_html": html_text.op7_html,
     "op8_packing": packing.op8_packing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
