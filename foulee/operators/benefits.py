@@ -86,12 +86,12 @@ def gold_benefits_lenient(employees: DataFrame, activities: DataFrame, rules: Ru
     )
 
 
-def apply_rate(benefits: DataFrame, employees: DataFrame, rate: Decimal) -> DataFrame:
+def apply_rate(benefits: DataFrame, employees: DataFrame, rate: Decimal, unique: bool = False) -> DataFrame:
     """Benefits with the bonus recomputed at ``rate`` wherever one is granted and the employee
-    is known; the other rows are unchanged. The new amount is not rounded."""
-    salaries = keep_one(
-        employees.select("id_salarie", F.col("salaire_brut").alias("_salaire")), ["id_salarie"]
-    ).withColumn("_connu", F.lit(True))
+    is known; the other rows are unchanged. The new amount is not rounded. ``unique``: employees
+    have one row per id already, as silver employees do."""
+    salaries = employees.select("id_salarie", F.col("salaire_brut").alias("_salaire"))
+    salaries = (salaries if unique else keep_one(salaries, ["id_salarie"])).withColumn("_connu", F.lit(True))
     rerated = F.col("prime_sportive") & F.col("_connu")
     amount = F.when(rerated, money(F.col("_salaire"), rate).cast("double")).otherwise(F.col("montant_prime"))
     return (
@@ -101,6 +101,8 @@ def apply_rate(benefits: DataFrame, employees: DataFrame, rate: Decimal) -> Data
     )
 
 
-def restore_rate(benefits: DataFrame, employees: DataFrame, rules: Rules = Rules()) -> DataFrame:
+def restore_rate(
+    benefits: DataFrame, employees: DataFrame, rules: Rules = Rules(), unique: bool = False
+) -> DataFrame:
     """Back to the configured rate."""
-    return apply_rate(benefits, employees, rules.bonus_rate)
+    return apply_rate(benefits, employees, rules.bonus_rate, unique)

@@ -15,14 +15,14 @@ from foulee.reference import DEFAULT_EMOJI, DEFAULT_TEMPLATES, message_templates
 from foulee.session import cut_lineage
 
 
-def event_messages(normalised: DataFrame, employees: DataFrame) -> DataFrame:
-    """Normalised events with the ``message`` announcing them.
+def event_messages(normalised: DataFrame, employees: DataFrame, unique: bool = False) -> DataFrame:
+    """Normalised events with the ``message`` announcing them. ``unique``: employees have one row per id.
 
     Works on a stream too: the employee table is then the static side. An employee HR does not
     know is called by id.
     """
     names = employees.select("id_salarie", full_name(F.col("prenom"), F.col("nom")).alias("_nom"))
-    named = left_lookup(normalised, names, ["id_salarie"]).withColumn(
+    named = left_lookup(normalised, names, ["id_salarie"], unique).withColumn(
         "_km", decimal_text(F.col("distance_m") / F.lit(1000.0), 1)
     )
     name = F.coalesce("_nom", F.concat(F.lit("Salarié "), F.col("id_texte")))
@@ -48,9 +48,15 @@ def event_messages(normalised: DataFrame, employees: DataFrame) -> DataFrame:
 
 
 def _fill(template: Column, values: dict[str, Column]) -> Column:
-    return reduce(
-        lambda filled, item: F.replace(filled, F.lit("{" + item[0] + "}"), item[1]), values.items(), template
-    )
+    """The template with each name in braces replaced, in one pass: braces in a value stay as they are."""
+
+    def one(part: Column) -> Column:
+        chosen = reduce(
+            lambda rest, item: F.when(part == "{" + item[0] + "}", item[1]).otherwise(rest), values.items(), part
+        )
+        return F.coalesce(chosen, F.lit(""))
+
+    return F.array_join(F.transform(F.split(template, r"(?=\{)|(?<=\})"), one), "")
 
 
 def activity_messages(named: DataFrame) -> DataFrame:

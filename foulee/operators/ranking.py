@@ -18,12 +18,20 @@ def employee_directory(employees: DataFrame) -> DataFrame:
     return employees.select("id_salarie", "nom", "prenom").orderBy("nom", "id_salarie")
 
 
+# What orders activities of one time and id: everything that a listing shows of them.
+_TIES = ("id_salarie", "type_sport", "distance_m", "temps_ecoule_s", "commentaire")
+
+
 def newest_first(activities: DataFrame, n: int) -> DataFrame:
-    """The ``n`` most recent activities, ties broken by id: a bounded heap per task, no shuffle."""
-    return activities.orderBy(F.desc_nulls_last("date_debut"), F.desc_nulls_last("id")).limit(n)
+    """The ``n`` most recent activities, ties broken by id and then by all that is shown, so that the
+    order of the input never matters: a bounded heap per task, no shuffle."""
+    ties = [F.asc_nulls_first(name) for name in _TIES]
+    return activities.orderBy(F.desc_nulls_last("date_debut"), F.desc_nulls_last("id"), *ties).limit(n)
 
 
-def latest_activities(activities: DataFrame, employees: DataFrame, n: int = 10) -> DataFrame:
+def latest_activities(
+    activities: DataFrame, employees: DataFrame, n: int = 10, probe_factor: int = _PROBE_FACTOR
+) -> DataFrame:
     """The ``n`` newest activities of known employees, in display units.
 
     Runs a small job: the newest few rows are taken and joined first (they are broadcast, so
@@ -34,7 +42,7 @@ def latest_activities(activities: DataFrame, employees: DataFrame, n: int = 10)
     narrow = activities.select(
         "id", "id_salarie", "type_sport", "distance_m", "temps_ecoule_s", "commentaire", "date_debut"
     )
-    known = cut_lineage(newest_first(narrow, n * _PROBE_FACTOR).join(names, "id_salarie"))
+    known = cut_lineage(newest_first(narrow, n * probe_factor).join(names, "id_salarie"))
     if known.count() < n:
         known = narrow.join(names, "id_salarie")
     latest = newest_first(known, n)

@@ -50,16 +50,29 @@ _TIMESTAMP_FORMAT = "d/M/yyyy H:m"
 _ROW_BITS = 33  # monotonically_increasing_id(): partition number above, row number below
 
 
-def read_extract(spark: SparkSession, path: str, headers: Mapping[str, str]) -> DataFrame:
-    """A CSV extract as strings. The header of every file must match, or the read fails."""
+def _csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+    """CSV in the usual dialect: a quote inside a quoted value is doubled. A row that does not fit the
+    header fails the job; it is never filled up with nulls."""
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+    return reader.option("escape", '"').option("multiLine", multi_line).option("mode", "FAILFAST").csv(path)
+
+
+def read_extract(spark: SparkSession, path: str, headers: Mapping[str, str], multi_line: bool = True) -> DataFrame:
+    """A CSV extract as strings. The header of every file must match, or the read fails.
+
+    Values may hold line breaks. That makes a file one task, so large extracts should come as many
+    files; ``multi_line=False`` splits files, for extracts whose values never hold a break (one that
+    does then fails the job). An empty value is null, quoted or not.
+    """
     schema = T.StructType([T.StructField(name, T.StringType()) for name in headers])
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("multiLine", False)
-        .csv(path)
-    )
+    raw = _csv(spark, path, schema, multi_line)
+    return raw.select(*[F.nullif(F.col(f"`{name}`"), F.lit("")).alias(name) for name in headers])
+
+
+def write_extract(df: DataFrame, path: str) -> None:
+    """Strings as CSV that ``read_extract`` reads back unchanged."""
+    writer = df.write.option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def _strict_timestamp(text: Column) -> Column:
@@ -136,9 +149,7 @@ def reference_or_default(
     if path is None:
         return default
     try:
-        table = (
-            spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
-        )
+        table = _csv(spark, path, schema, multi_line=True)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -157,11 +157,11 @@ def scenario_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def apply_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.apply_rate(gold_benefits(spark, sf_dir), clean_employees(spark, sf_dir), APPLIED_RATE)
+    return gold.apply_rate(gold_benefits(spark, sf_dir), clean_employees(spark, sf_dir), APPLIED_RATE, unique=True)
 
 
 def restore_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.restore_rate(apply_rate(spark, sf_dir), clean_employees(spark, sf_dir), RULES)
+    return gold.restore_rate(apply_rate(spark, sf_dir), clean_employees(spark, sf_dir), RULES, unique=True)
 
 
 def latest_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,15 +179,16 @@ def activity_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extracts.load_employees(t.employee_extract(spark, sf_dir))
+    return extracts.load_employees(t.through_csv(t.employee_extract(spark, sf_dir), extracts.EMPLOYEE_HEADERS))
 
 
 def load_declared_sports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extracts.load_declared_sports(t.declared_sport_extract(spark, sf_dir))
+    raw = t.through_csv(t.declared_sport_extract(spark, sf_dir), extracts.DECLARED_SPORT_HEADERS)
+    return extracts.load_declared_sports(raw)
 
 
 def load_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loaded = extracts.load_activities(t.activity_extract(spark, sf_dir))
+    loaded = extracts.load_activities(t.through_csv(t.activity_extract(spark, sf_dir), extracts.ACTIVITY_HEADERS))
     return extracts.with_surrogate_id(loaded, ["id_salarie", "date_debut"])
 
 
@@ -229,7 +230,7 @@ def cdc_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.event_messages(
-        cdc.normalise_events(t.events(spark, sf_dir)), clean_employees(spark, sf_dir)
+        cdc.normalise_events(t.events(spark, sf_dir)), clean_employees(spark, sf_dir), unique=True
     ).select("event_id", "message")
 
 
@@ -270,6 +271,15 @@ def reference_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sports.join(counts, "type_sport", "left").fillna({"nb_activites": 0})
 
 
+def reference_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with the reference in a CSV file."""
+    path = scratch_path(spark, "sports_valides")
+    extracts.write_extract(reference.sports(spark), path)
+    sports = extracts.reference_or_default(spark, path, schemas.SPORT_REFERENCE, reference.sports(spark).limit(0))
+    counts = t.activities(spark, sf_dir).groupBy("type_sport").agg(F.count(F.lit(1)).alias("nb_activites"))
+    return sports.join(counts, "type_sport", "left").fillna({"nb_activites": 0})
+
+
 def lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze, silver and gold through lake tables; returns gold as read back after a rewrite."""
     lake = Lake(scratch_path(spark, "lac"))
@@ -289,7 +299,7 @@ def lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     staff = read_table(spark, lake, "silver/salaries")
     benefits = gold.gold_benefits(staff, read_table(spark, lake, "silver/activites"), RULES)
     write_table(benefits, lake, "gold/avantages")
-    rerated = gold.apply_rate(read_table(spark, lake, "gold/avantages"), staff, APPLIED_RATE)
+    rerated = gold.apply_rate(read_table(spark, lake, "gold/avantages"), staff, APPLIED_RATE, unique=True)
     rewrite_table(rerated, lake, "gold/avantages")
     return read_table(spark, lake, "gold/avantages")
 
@@ -349,6 +359,7 @@ QUERIES: dict[str, Query] = {
         cdc_stream,
         declaration_stream,
         reference_fallback,
+        reference_file,
         lake_roundtrip,
     )
 }

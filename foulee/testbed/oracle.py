@@ -35,7 +35,7 @@ _TABLES = {
         SELECT * FROM (VALUES (0, 'Runing'), (1, 'Course à pied'), (2, 'Randonnée'), (3, 'Natation'),
             (4, 'Triathlon'), (5, 'Voile'), (6, 'Équitation'), (7, 'Tennis'), (8, 'Badminton'), (9, 'Football'),
             (10, 'Rugby'), (11, 'Basketball'), (12, 'Judo'), (13, 'Boxe'), (14, 'Escalade'),
-            (15, 'Tennis de table'), (16, 'Parkour')) AS v(reste, nom_sport)""",
+            (15, 'Tennis de table'), (16, 'Parkour {nom}')) AS v(reste, nom_sport)""",
     "act": """
         SELECT CASE WHEN o_orderkey % 401 = 0 THEN NULL WHEN o_orderkey % 307 = 0 THEN o_custkey + 1000000000
                     ELSE o_custkey END AS id_salarie,
@@ -45,7 +45,9 @@ _TABLES = {
                secondes AS temps_ecoule_s,
                debut AS date_debut,
                CASE WHEN o_orderkey % 211 <> 0 THEN debut + to_seconds(COALESCE(secondes, 0)) END AS date_fin,
-               CASE WHEN copie = 1 THEN 'copie' WHEN o_orderkey % 4 = 0 THEN 'Belle séance'
+               CASE WHEN copie = 1 THEN 'copie'
+                    WHEN o_orderkey % 36 = 0 THEN 'Dit "super", oui,' || chr(10) || 'vraiment {nom}'
+                    WHEN o_orderkey % 4 = 0 THEN 'Belle séance'
                     WHEN o_orderkey % 4 = 2 THEN '   ' WHEN o_orderkey % 4 = 3 THEN o_orderpriority
                     END AS commentaire,
                CASE WHEN o_orderkey % 503 <> 0 THEN o_orderkey END AS id
@@ -266,7 +268,7 @@ _TABLES = {
                     ELSE prenom || ' ' || nom END AS qui
         FROM act a LEFT JOIN emp_clean e USING (id_salarie)""",
     "act_text": """
-        SELECT id, id_salarie, type_sport, date_debut,
+        SELECT id, id_salarie, type_sport, date_debut, distance_m, temps_ecoule_s, commentaire,
                CASE type_sport
                WHEN 'Runing' THEN CASE WHEN premier
                     THEN 'Bravo ' || qui || ' ! Tu viens de courir ' || d || ' km en ' || mn
@@ -300,6 +302,10 @@ _TABLES = {
         WHERE NOT EXISTS (SELECT 1 FROM emp e WHERE e.id_salarie = a.id_salarie)""",
 }
 
+_SPORT_COUNTS = """
+        SELECT r.*, COALESCE(n.nb, 0) AS nb_activites FROM ref_sport r
+        LEFT JOIN (SELECT type_sport, count(*) AS nb FROM act GROUP BY type_sport) n USING (type_sport)"""
+
 _RERATED = """
     SELECT b.* REPLACE (CASE WHEN prime_sportive AND e.id_salarie IS NOT NULL
                         THEN CAST(salaire_brut * {rate} AS DOUBLE) ELSE montant_prime END AS montant_prime)
@@ -398,10 +404,12 @@ _QUERIES = {
                ((temps_ecoule_s + 30) // 60)::DOUBLE AS minutes,
                commentaire, CAST(date_debut AS VARCHAR) AS date
         FROM act JOIN emp_clean USING (id_salarie)
-        ORDER BY date_debut DESC NULLS LAST, id DESC NULLS LAST LIMIT 10""",
+        ORDER BY date_debut DESC NULLS LAST, id DESC NULLS LAST, id_salarie NULLS FIRST, type_sport NULLS FIRST,
+                 distance_m NULLS FIRST, temps_ecoule_s NULLS FIRST, commentaire NULLS FIRST LIMIT 10""",
     "latest_messages": """
         SELECT id, id_salarie, type_sport, message FROM act_text
-        ORDER BY date_debut DESC NULLS LAST, id DESC NULLS LAST LIMIT 10""",
+        ORDER BY date_debut DESC NULLS LAST, id DESC NULLS LAST, id_salarie NULLS FIRST, type_sport NULLS FIRST,
+                 distance_m NULLS FIRST, temps_ecoule_s NULLS FIRST, commentaire NULLS FIRST LIMIT 10""",
     "activity_messages": "SELECT id, id_salarie, type_sport, message FROM act_text",
     "load_employees": f"SELECT {_STAFF} FROM emp",
     "load_declared_sports": "SELECT * FROM declared",
@@ -439,9 +447,8 @@ _QUERIES = {
         UNION ALL SELECT event_id, motif FROM cdc_announced WHERE motif IS NOT NULL""",
     "cdc_stream": "SELECT * FROM cdc_text",
     "declaration_stream": "SELECT * FROM decl_ok",
-    "reference_fallback": """
-        SELECT r.*, COALESCE(n.nb, 0) AS nb_activites FROM ref_sport r
-        LEFT JOIN (SELECT type_sport, count(*) AS nb FROM act GROUP BY type_sport) n USING (type_sport)""",
+    "reference_fallback": _SPORT_COUNTS,
+    "reference_file": _SPORT_COUNTS,
     "lake_roundtrip": _RERATED.format(rate="0.08"),
 }
 

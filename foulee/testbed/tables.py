@@ -7,14 +7,22 @@ like: which values are missing, wrong, repeated or spelled differently.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foulee.functions.text import day_first
 from foulee.operators.distances import prepare_geocodes
+from foulee.session import scratch_path
 from foulee.settings import CYCLING, MOTOR_VEHICLE, PUBLIC_TRANSPORT, WALKING, Rules
-from foulee.sources.extracts import ACTIVITY_HEADERS, DECLARED_SPORT_HEADERS, EMPLOYEE_HEADERS
+from foulee.sources.extracts import (
+    ACTIVITY_HEADERS,
+    DECLARED_SPORT_HEADERS,
+    EMPLOYEE_HEADERS,
+    read_extract,
+    write_extract,
+)
 
 AS_OF = dt.date(2001, 8, 2)
 OFFICE = (43.6, 3.9)
@@ -39,7 +47,7 @@ SPORTS = (
     "Boxe",
     "Escalade",
     "Tennis de table",
-    "Parkour",
+    "Parkour {nom}",
 )
 WITH_DISTANCE = 7  # the first seven have a distance
 MODES = (WALKING, WALKING, CYCLING, CYCLING, PUBLIC_TRANSPORT, PUBLIC_TRANSPORT, MOTOR_VEHICLE, MOTOR_VEHICLE)
@@ -120,7 +128,7 @@ def activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     seconds = F.when(k % 193 == 0, F.lit(None)).when(k % 97 == 0, 0).otherwise(k * 53 % 9000 + 300)
     metres = F.when(k % 89 == 0, -1.0).when(k % 17 < WITH_DISTANCE, (k * 31 % 30000).cast("double"))
     start = F.timestamp_add("MINUTE", k * 7 % 1440, F.col("o_orderdate"))
-    comment = F.when(k % 4 == 0, "Belle séance").when(k % 4 == 2, "   ").when(k % 4 == 3, F.col("o_orderpriority"))
+    comment = F.when(k % 36 == 0, 'Dit "super", oui,\nvraiment {nom}').when(k % 4 == 0, "Belle séance").when(k % 4 == 2, "   ").when(k % 4 == 3, F.col("o_orderpriority"))
     return rows.select(
         F.when(k % 401 == 0, F.lit(None))
         .when(k % 307 == 0, F.col("o_custkey") + 1000000000)
@@ -255,6 +263,13 @@ def _extract(df: DataFrame, headers: dict[str, str], **texts: Column) -> DataFra
     return df.select(*[texts.get(c, F.col(c).cast("string")).alias(header) for header, c in headers.items()])
 
 
+def through_csv(extract: DataFrame, headers: Mapping[str, str]) -> DataFrame:
+    """An extract written as CSV files in the shared folder and read again."""
+    path = scratch_path(extract.sparkSession, "extrait")
+    write_extract(extract, path)
+    return read_extract(extract.sparkSession, path, headers)
+
+
 def employee_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _extract(employees(spark, sf_dir), EMPLOYEE_HEADERS)
 

@@ -123,3 +123,38 @@ def test_declaration_feed(spark, tmp_path):
     assert (row.id_salarie, row.commentaire, row.date_fin) == (1, "ok", NOW + dt.timedelta(hours=1))
     refused = read_outbox(spark, str(tmp_path / "out/refus")).select("id_salarie", F.size("erreurs")).collect()
     assert [tuple(r) for r in refused] == [(2, 1)]
+
+
+def test_a_failed_write_leaves_the_table_as_it_was(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from foulee.sinks.lake import write_table
+    from foulee.sources.lake import Lake, read_table
+
+    lake = Lake(str(tmp_path))
+    write_table(spark.range(10), lake, "t")
+    half = spark.range(10).select(F.when(F.col("id") < 9, F.col("id")).otherwise(F.raise_error(F.lit("no"))).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        write_table(half.repartition(2), lake, "t")
+    assert read_table(spark, lake, "t").count() == 10
+
+
+def test_versions(spark, tmp_path):
+    from foulee.sinks.lake import SchemaMismatch, rewrite_table, write_table
+    from foulee.sources.lake import Lake, find_table, read_table
+
+    lake = Lake(str(tmp_path))
+    assert find_table(spark, lake, "a/t") is None
+    write_table(spark.range(3), lake, "a/t")
+    write_table(spark.range(3, 5), lake, "a/t", mode="append")
+    open_reader = read_table(spark, lake, "a/t")
+    rewrite_table(open_reader.selectExpr("id * 10 AS id"), lake, "a/t")
+    assert sorted(r.id for r in read_table(spark, lake, "a/t").collect()) == [0, 10, 20, 30, 40]
+    assert open_reader.count() == 5
+    rewrite_table(read_table(spark, lake, "a/t").selectExpr("id + 1 AS id"), lake, "a/t")
+    assert sorted(r.id for r in read_table(spark, lake, "a/t").collect()) == [1, 11, 21, 31, 41]
+    assert len(list((tmp_path / "a/t/_versions").iterdir())) == 2
+    with pytest.raises(SchemaMismatch):
+        write_table(spark.range(3).selectExpr("id AS x"), lake, "a/t")
+    write_table(spark.range(3).selectExpr("id AS x"), lake, "a/t", replace_schema=True)
+    assert read_table(spark, lake, "a/t").columns == ["x"]

@@ -161,3 +161,37 @@ def test_kafka_options():
 
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_extract_reads_what_pandas_reads(spark, tmp_path):
+    import pandas as pd
+
+    from foulee.sources import extracts
+
+    file = tmp_path / "activites.csv"
+    rows = ['1,7,01/02/2024 10:00,Tennis,,600,01/02/2024 10:10,"dit ""super"", oui"', '2,7,01/02/2024 11:00,Judo,5.5,60,,"ligne un\nligne deux"']
+    file.write_text("\n".join([",".join(extracts.ACTIVITY_HEADERS), *rows]) + "\n", encoding="utf-8")
+    want = pd.read_csv(file, dtype=str).astype(object).where(lambda x: x.notna(), None).to_numpy().tolist()
+    got = [list(r) for r in extracts.read_extract(spark, str(file), extracts.ACTIVITY_HEADERS).collect()]
+    assert got == want and len(got) == 2
+
+
+def test_a_broken_row_fails_instead_of_loading_as_nulls(spark, tmp_path):
+    from foulee.sources import extracts
+
+    file = tmp_path / "sports.csv"
+    file.write_text("ID salarié,Pratique d'un sport\n1,\"a\nb\"\n2,c\n", encoding="utf-8")
+    assert extracts.read_extract(spark, str(file), extracts.DECLARED_SPORT_HEADERS).count() == 2
+    split = extracts.read_extract(spark, str(file), extracts.DECLARED_SPORT_HEADERS, multi_line=False)
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        split.collect()
+
+
+def test_written_extracts_come_back_unchanged(spark, tmp_path):
+    from foulee.sources import extracts
+
+    rows = [("1", ' "a", b\n\nc '), ("2", None), (None, "\\ ' ;"), ("3", '""'), ("4", "  ")]
+    df = spark.createDataFrame(rows, "`ID salarié` string, `Pratique d'un sport` string")
+    extracts.write_extract(df, str(tmp_path / "x"))
+    back = extracts.read_extract(spark, str(tmp_path / "x"), extracts.DECLARED_SPORT_HEADERS)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
