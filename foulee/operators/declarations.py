@@ -12,6 +12,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foulee import schemas
 from foulee.functions.numeric import decimal_text
 from foulee.functions.text import blank_to_null, day_first, text
 from foulee.operators.lookup import left_lookup
@@ -106,6 +107,16 @@ def accepted(checked: DataFrame) -> DataFrame:
     return _shape(valid, distance, F.col("duree_s"))
 
 
+def as_activities(accepted: DataFrame) -> DataFrame:
+    """Accepted rows with the activities' columns. The id is negative, which no loaded id is, and a hash of
+    the row: the same declaration has the same id whenever it is read again."""
+    values = [F.col(name) for name in _ACTIVITY]
+    # xxhash64 passes over nulls, so where they stand is hashed too.
+    hashed = F.xxhash64(*values, *[value.isNull() for value in values])
+    identified = accepted.withColumn("id", -1 - hashed.bitwiseAND(F.lit((1 << 62) - 1)))
+    return schemas.conform(identified, schemas.ACTIVITIES)
+
+
 def refused(checked: DataFrame) -> DataFrame:
     """The declarations with at least one error."""
     return checked.filter("NOT valide")

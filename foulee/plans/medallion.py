@@ -28,15 +28,24 @@ class Sources:
     sports: DataFrame | None = None
     business_units: DataFrame | None = None
     office_address: str | None = None
+    #: Accepted declarations as activities, as the declaration feed writes them.
+    declared_activities: DataFrame | None = None
+
+    def all_activities(self) -> DataFrame:
+        loaded = schemas.conform(self.activities, schemas.ACTIVITIES)
+        if self.declared_activities is None:
+            return loaded
+        return loaded.unionByName(schemas.conform(self.declared_activities, schemas.ACTIVITIES))
 
 
 @dataclass(frozen=True)
 class Run:
-    """What a run produced: table row counts as written, and the two reports."""
+    """What a run produced: table row counts as written, and the reports."""
 
     rows: dict[str, int]
     quality: DataFrame
     monitoring: DataFrame
+    silver: DataFrame
 
 
 def silver_employees(
@@ -62,6 +71,19 @@ def lenient_benefits(
     return benefits.gold_benefits_lenient(located, activities, rules)
 
 
+def _saver(spark: SparkSession, lake: Lake, rows: dict[str, int], replace_schema: bool = False):
+    """Writes a table, notes how many rows went by, and reads it back."""
+
+    def save(df: DataFrame, table: str) -> DataFrame:
+        seen = Observation(table)
+        observed = df.observe(seen, F.count(F.lit(1)).alias("lignes"))
+        write_table(observed, lake, table, replace_schema=replace_schema)
+        rows[table] = seen.get["lignes"]
+        return read_table(spark, lake, table)
+
+    return save
+
+
 def run_medallion(
     spark: SparkSession,
     sources: Sources,
@@ -77,15 +99,10 @@ def run_medallion(
     is raised.
     """
     rows: dict[str, int] = {}
-
-    def save(df: DataFrame, table: str) -> DataFrame:
-        seen = Observation(table)
-        write_table(df.observe(seen, F.count(F.lit(1)).alias("lignes")), lake, table)
-        rows[table] = seen.get["lignes"]
-        return read_table(spark, lake, table)
+    save = _saver(spark, lake, rows)
 
     bronze_employees = save(schemas.conform(sources.employees, schemas.EMPLOYEES), "bronze/salaries")
-    bronze_activities = save(schemas.conform(sources.activities, schemas.ACTIVITIES), "bronze/activites")
+    bronze_activities = save(sources.all_activities(), "bronze/activites")
     save(schemas.conform(sources.declared_sports, schemas.DECLARED_SPORTS), "bronze/sports_declares")
 
     sports = reference.sports(spark) if sources.sports is None else sources.sports
@@ -99,6 +116,8 @@ def run_medallion(
 
     staff = save(silver_employees(bronze_employees, geocodes, units, rules, office), "silver/salaries")
     moves = save(silver_activities(bronze_activities, sports), "silver/activites")
+    silver = reports.silver_report(bronze_employees, bronze_activities, staff, moves, rules)
+    silver = save(silver, "rapports/silver")
     gold = save(benefits.gold_benefits(staff, moves, rules), "gold/avantages")
     if publish is not None:
         publish(gold)
@@ -108,4 +127,29 @@ def run_medallion(
         write_csv_report(report.select("test", "statut", "detail"), report_path)
     quality.require_no_critical_failure(report)
     totals = save(reports.monitoring_report(bronze_employees, bronze_activities, gold, rules), "rapports/suivi")
-    return Run(rows, report, totals)
+    return Run(rows, report, totals, silver)
+
+
+def run_lenient(
+    spark: SparkSession,
+    sources: Sources,
+    lake: Lake,
+    rules: Rules,
+    publish: Callable[[DataFrame], None] | None = None,
+) -> dict[str, int]:
+    """The all-in-one run: raw tables as they come and the lenient benefits, each replaced with its schema.
+
+    Returns the rows of each table. ``rules`` carry the lenient policy.
+    """
+    rows: dict[str, int] = {}
+    save = _saver(spark, lake, rows, replace_schema=True)
+    employees = save(sources.employees, "brut/salaries")
+    activities = save(sources.all_activities(), "brut/activites")
+    geocodes = distances.prepare_geocodes(sources.geocodes)
+    office = None
+    if sources.office_address is not None:
+        office = distances.office_coordinates(geocodes, sources.office_address)
+    benefits_table = save(lenient_benefits(employees, activities, geocodes, rules, office), "avantages")
+    if publish is not None:
+        publish(benefits_table)
+    return rows

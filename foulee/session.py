@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,16 +35,25 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local-mode session that names none gets a temporary folder of its own.
     """
     context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not configured:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        configured = context.getCheckpointDir() or tempfile.mkdtemp(prefix="foulee-")
+        configured = tempfile.mkdtemp(prefix="foulee-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)
     return configured
 
 
+def remove_folders(spark: SparkSession, pattern: str, wanted: Callable[[str], bool] = lambda name: True) -> None:
+    """Delete the folders that match a pattern of the file system and whose name is ``wanted``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.globStatus(path) or []:
+        if wanted(found.getPath().getName()):
+            files.delete(found.getPath(), True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

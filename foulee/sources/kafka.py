@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Events of one micro-batch at most: after a downtime the backlog comes in batches of this size.
+PER_TRIGGER = 100_000
+
+
 def feed_options(
-    servers: str, topic: str, starting: str = "latest", per_trigger: int | None = None
+    servers: str, topic: str, starting: str = "latest", per_trigger: int | None = PER_TRIGGER
 ) -> dict[str, str]:
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting}
     return {**options, "maxOffsetsPerTrigger": str(per_trigger)} if per_trigger else options
 
 
 def read_feed(
-    spark: SparkSession, servers: str, topic: str, starting: str = "latest", per_trigger: int | None = None
+    spark: SparkSession, servers: str, topic: str, starting: str = "latest", per_trigger: int | None = PER_TRIGGER
 ) -> DataFrame:
     """The topic as a stream with one string column ``value``. Needs Spark's Kafka connector.
 

@@ -9,13 +9,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from foulee.operators.cdc import decode_events, normalised, rejects
-from foulee.operators.declarations import accepted, declaration_errors, refused
+from foulee.operators.declarations import accepted, as_activities, declaration_errors, refused
 from foulee.operators.messages import event_messages
+from foulee.session import remove_folders
+from foulee.sinks.lake import write_table
+from foulee.sources.lake import Lake, find_table
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -33,6 +37,15 @@ def _start(events: DataFrame, each: Sink, checkpoint: str, trigger: dict | None)
     )
 
 
+def batch_messages(decoded: DataFrame, employees: DataFrame) -> DataFrame:
+    """Messages of one decoded batch. ``employees`` has one row per id, as silver employees do; it is cut
+    to the ids of the batch first, so a batch never sorts or groups the staff."""
+    usable = normalised(decoded)
+    ids = usable.select("id_salarie").distinct()
+    names = employees.select("id_salarie", "prenom", "nom").join(ids, "id_salarie", "left_semi")
+    return event_messages(usable, names, unique=True)
+
+
 def start_message_feed(
     events: DataFrame,
     employees: Callable[[], DataFrame],
@@ -43,7 +56,8 @@ def start_message_feed(
 ) -> StreamingQuery:
     """Turn a stream of change events (``value``) into messages.
 
-    ``employees`` is called per micro-batch, so new names are picked up. Messages go to
+    ``employees`` is called per micro-batch, so new names are picked up; it gives the written silver
+    employees, one row per id. Messages go to
     ``outbox/messages``, unusable events to ``outbox/rejets``; ``deliver`` may hand the batch's
     messages on to a chat system. A broken event never stops the feed.
     """
@@ -51,8 +65,7 @@ def start_message_feed(
     def each(batch: DataFrame, batch_id: int) -> None:
         decoded = decode_events(batch).persist()
         try:
-            messages = event_messages(normalised(decoded), employees())
-            _write_batch(messages, f"{outbox}/messages", batch_id)
+            _write_batch(batch_messages(decoded, employees()), f"{outbox}/messages", batch_id)
             _write_batch(rejects(decoded), f"{outbox}/rejets", batch_id)
             if deliver is not None:
                 deliver(batch.sparkSession.read.parquet(f"{outbox}/messages/lot={batch_id}"), batch_id)
@@ -76,7 +89,7 @@ def start_declaration_feed(
     def each(batch: DataFrame, batch_id: int) -> None:
         checked = declaration_errors(batch, limits, speed_unit).persist()
         try:
-            _write_batch(accepted(checked), f"{target}/activites", batch_id)
+            _write_batch(as_activities(accepted(checked)), f"{target}/activites", batch_id)
             _write_batch(refused(checked), f"{target}/refus", batch_id)
         finally:
             checked.unpersist()
@@ -84,6 +97,41 @@ def start_declaration_feed(
     return _start(declarations, each, checkpoint, trigger)
 
 
-def read_outbox(spark: SparkSession, path: str) -> DataFrame:
-    """Everything a feed has written to one of its folders."""
+def _archive(path: str) -> tuple[Lake, str]:
+    root, name = path.rstrip("/").rsplit("/", 1)
+    return Lake(root), f"{name}_archive"
+
+
+def _recent(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).withColumn("lot", F.col("lot").cast("long"))
+
+
+def read_outbox(spark: SparkSession, path: str) -> DataFrame:
+    """Everything a feed has written to one of its folders, compacted or not."""
+    archived = find_table(spark, *_archive(path))
+    if archived is None:
+        return _recent(spark, path)
+    last = archived.agg(F.max("lot")).first()[0]
+    # Folders of archived batches may still be there if the compaction was interrupted.
+    try:
+        recent = _recent(spark, path).filter(F.col("lot") > last)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return archived
+    return archived.unionByName(recent)
+
+
+def compact_outbox(spark: SparkSession, path: str, closed_before: int) -> None:
+    """Move the batches below ``closed_before`` from their small folders to the archive table.
+
+    A feed only ever replays its last batch, so batches before it are closed. The archive is written in one
+    step and readers skip folders it covers: interrupted anywhere, nothing is lost or seen twice.
+    """
+    lake, table = _archive(path)
+    archived = find_table(spark, lake, table)
+    last = -1 if archived is None else archived.agg(F.max("lot")).first()[0]
+    closed = _recent(spark, path).filter((F.col("lot") > last) & (F.col("lot") < closed_before))
+    if not closed.isEmpty():
+        write_table(closed, lake, table, mode="append")
+    remove_folders(spark, f"{path}/lot=*", lambda name: int(name.removeprefix("lot=")) < closed_before)

@@ -237,9 +237,11 @@ def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cdc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream through the message feed; returns what reached the outbox."""
     outbox = scratch_path(spark, "boite")
+    lake = Lake(scratch_path(spark, "lac"))
+    write_table(clean_employees(spark, sf_dir), lake, "silver/salaries")
     feed = start_message_feed(
         t.event_stream(spark, sf_dir),
-        lambda: clean_employees(spark, sf_dir),
+        lambda: read_table(spark, lake, "silver/salaries"),
         outbox,
         scratch_path(spark, "suivi"),
         trigger={"availableNow": True},
@@ -259,7 +261,26 @@ def declaration_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         trigger={"availableNow": True},
     )
     feed.awaitTermination()
-    return read_outbox(spark, f"{target}/activites").drop("lot")
+    return read_outbox(spark, f"{target}/activites").drop("lot", "id")
+
+
+def benefits_with_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benefits over loaded and declared activities."""
+    declared = declarations.as_activities(declarations_accepted(spark, sf_dir))
+    loaded = schemas.conform(t.activities(spark, sf_dir), schemas.ACTIVITIES)
+    moves = cleaning.clean_activities(loaded.unionByName(declared))
+    return gold.gold_benefits(employee_distances(spark, sf_dir), moves, RULES)
+
+
+def lenient_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The all-in-one run, over tables of another schema; returns the benefits as read back."""
+    lake = Lake(scratch_path(spark, "lac"))
+    write_table(spark.range(1), lake, "avantages")
+    sources = medallion.Sources(
+        t.employees(spark, sf_dir), t.activities(spark, sf_dir), t.declared_sports(spark, sf_dir), t.raw_geocodes(spark, sf_dir)
+    )
+    medallion.run_lenient(spark, sources, lake, LENIENT)
+    return read_table(spark, lake, "avantages")
 
 
 def reference_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -358,6 +379,8 @@ QUERIES: dict[str, Query] = {
         cdc_rejects,
         cdc_stream,
         declaration_stream,
+        benefits_with_declared,
+        lenient_run,
         reference_fallback,
         reference_file,
         lake_roundtrip,

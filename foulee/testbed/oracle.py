@@ -233,18 +233,20 @@ _TABLES = {
                CASE event_type WHEN 'signup' THEN 'c' WHEN 'click' THEN 'c' WHEN 'purchase' THEN 'r'
                     WHEN 'view' THEN 'u' ELSE 'd' END AS op,
                event_id % 13 = 0 AS tombe, event_id % 37 = 0 AS vide,
-               event_id % 13 <> 0 AND event_id % 11 = 0 AND event_id % 37 <> 0 AS casse,
-               CASE event_id % 6 WHEN 0 THEN m WHEN 1 THEN m + 0.5::DOUBLE WHEN 2 THEN m WHEN 3 THEN m + 1
-                    ELSE 0 END::DOUBLE AS distance_m,
+               event_id % 13 <> 0 AND event_id % 11 = 0 AND event_id % 37 <> 0 AND event_id % 41 <> 0 AS casse,
+               event_id % 13 <> 0 AND event_id % 41 = 0 AS nul,
+               CASE WHEN event_id % 53 = 0 THEN 1 ELSE CASE event_id % 6 WHEN 0 THEN m WHEN 1 THEN m + 0.5::DOUBLE WHEN 2 THEN m WHEN 3 THEN m + 1
+                    ELSE 0 END END::DOUBLE AS distance_m,
                CASE event_id % 7 WHEN 0 THEN 'Course à pied' WHEN 1 THEN 'Running' WHEN 2 THEN 'Randonnée'
                     WHEN 3 THEN 'Natation' WHEN 4 THEN 'Tennis' ELSE 'Sport' END AS type_sport,
-               CASE WHEN event_id % 8 <> 0 THEN event_id * 37 % 7000 ELSE 0 END AS temps_ecoule_s,
+               CASE WHEN event_id % 47 = 0 THEN 1 WHEN event_id % 8 <> 0 THEN event_id * 37 % 7000 ELSE 0 END AS temps_ecoule_s,
                CASE event_id % 3 WHEN 0 THEN 'bravo' WHEN 1 THEN '  ' END AS commentaire
         FROM (SELECT *, round(value * 100)::BIGINT AS m FROM events)""",
     "cdc_announced": """
-        SELECT *, CASE WHEN event_id % 29 = 0 THEN 'type_sport' WHEN event_id % 31 = 0 THEN 'temps_ecoule_s'
+        SELECT *, CASE WHEN event_id % 29 = 0 OR event_id % 59 = 0 THEN 'type_sport'
+                  WHEN event_id % 31 = 0 OR event_id % 43 = 0 THEN 'temps_ecoule_s'
                   END AS motif
-        FROM cdc_all WHERE NOT tombe AND NOT casse AND NOT vide AND op IN ('c', 'r')""",
+        FROM cdc_all WHERE NOT tombe AND NOT casse AND NOT nul AND NOT vide AND op IN ('c', 'r')""",
     "cdc_text": """
         SELECT event_id,
                CASE WHEN contains(type_sport, 'Course') OR contains(type_sport, 'Run')
@@ -306,6 +308,17 @@ _SPORT_COUNTS = """
         SELECT r.*, COALESCE(n.nb, 0) AS nb_activites FROM ref_sport r
         LEFT JOIN (SELECT type_sport, count(*) AS nb FROM act GROUP BY type_sport) n USING (type_sport)"""
 
+_LENIENT = """
+        SELECT id_salarie, ok AND actif AS prime_sportive,
+               CASE WHEN ok AND actif THEN CAST(salaire_brut * 0.05 AS DOUBLE) ELSE 0.0::DOUBLE END AS montant_prime,
+               COALESCE(n.nb, 0) >= 15 AS jours_bienetre, COALESCE(n.nb, 0)::INTEGER AS nb_activites,
+               '2001-08-02' AS date_calcul
+        FROM (SELECT e.*, COALESCE(f.metres <= f.limite, true) AS ok,
+                     moyen_deplacement IN ('Marche/running', 'Vélo/Trottinette/Autres') AS actif
+              FROM emp_once e
+              LEFT JOIN (SELECT DISTINCT id_salarie, metres, limite FROM emp_far) f USING (id_salarie))
+        LEFT JOIN (SELECT id_salarie, count(*) AS nb FROM act GROUP BY id_salarie) n USING (id_salarie)"""
+
 _RERATED = """
     SELECT b.* REPLACE (CASE WHEN prime_sportive AND e.id_salarie IS NOT NULL
                         THEN CAST(salaire_brut * {rate} AS DOUBLE) ELSE montant_prime END AS montant_prime)
@@ -342,6 +355,19 @@ _QUERIES = {
     "activity_counts": """
         SELECT id_salarie, count(id) AS nb_activites, count(*) AS nb_lignes FROM act GROUP BY id_salarie""",
     "gold_benefits": "SELECT * FROM benefits",
+    "benefits_with_declared": """
+        SELECT b.* REPLACE (COALESCE(n.nb, 0) AS nb_activites,
+                            CASE WHEN n.nb >= 15 THEN 5 ELSE 0 END::INTEGER AS jours_bienetre)
+        FROM benefits b
+        LEFT JOIN (SELECT id_salarie, sum(nb) AS nb FROM (
+                       SELECT id_salarie, count(id) AS nb FROM act_clean GROUP BY id_salarie
+                       UNION ALL
+                       SELECT id_salarie, count(*) AS nb FROM (
+                           SELECT DISTINCT id_salarie, date_debut, type_sport, distance_m, temps_ecoule_s, date_fin, commentaire
+                           FROM decl_ok
+                           WHERE type_sport IS NOT NULL AND temps_ecoule_s > 0 AND date_debut IS NOT NULL)
+                       GROUP BY id_salarie)
+                   GROUP BY id_salarie) n USING (id_salarie)""",
     "gold_benefits_valid_only": """
         SELECT b.* REPLACE (COALESCE(n.nb, 0) AS nb_activites,
                             CASE WHEN n.nb >= 15 THEN 5 ELSE 0 END::INTEGER AS jours_bienetre)
@@ -349,16 +375,8 @@ _QUERIES = {
         LEFT JOIN (SELECT id_salarie, count(id) AS nb FROM act_rich
                    WHERE activite_valide AND date_debut >= DATE '2000-08-02' GROUP BY id_salarie) n
           USING (id_salarie)""",
-    "gold_benefits_lenient": """
-        SELECT id_salarie, ok AND actif AS prime_sportive,
-               CASE WHEN ok AND actif THEN CAST(salaire_brut * 0.05 AS DOUBLE) ELSE 0.0::DOUBLE END AS montant_prime,
-               COALESCE(n.nb, 0) >= 15 AS jours_bienetre, COALESCE(n.nb, 0)::INTEGER AS nb_activites,
-               '2001-08-02' AS date_calcul
-        FROM (SELECT e.*, COALESCE(f.metres <= f.limite, true) AS ok,
-                     moyen_deplacement IN ('Marche/running', 'Vélo/Trottinette/Autres') AS actif
-              FROM emp_once e
-              LEFT JOIN (SELECT DISTINCT id_salarie, metres, limite FROM emp_far) f USING (id_salarie))
-        LEFT JOIN (SELECT id_salarie, count(*) AS nb FROM act GROUP BY id_salarie) n USING (id_salarie)""",
+    "gold_benefits_lenient": _LENIENT,
+    "lenient_run": _LENIENT,
     "top_bonuses": "SELECT * FROM benefits ORDER BY montant_prime DESC, id_salarie LIMIT 5",
     "silver_report": """
         SELECT (SELECT count(*) FROM emp) AS salaries_bronze, (SELECT count(*) FROM act) AS activites_bronze,
@@ -443,7 +461,7 @@ _QUERIES = {
         FROM cdc_announced WHERE motif IS NULL""",
     "cdc_messages": "SELECT * FROM cdc_text",
     "cdc_rejects": """
-        SELECT event_id, 'json' AS motif FROM cdc_all WHERE casse
+        SELECT event_id, CASE WHEN casse THEN 'json' ELSE 'payload' END AS motif FROM cdc_all WHERE casse OR nul
         UNION ALL SELECT event_id, motif FROM cdc_announced WHERE motif IS NOT NULL""",
     "cdc_stream": "SELECT * FROM cdc_text",
     "declaration_stream": "SELECT * FROM decl_ok",

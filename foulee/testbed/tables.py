@@ -215,7 +215,8 @@ def envelope(event: DataFrame) -> DataFrame:
     even = F.lpad(cents, (F.length(cents) + F.length(cents) % 2).cast("int"), "0")
     quote = lambda text: F.concat(F.lit('"'), text, F.lit('"'))
     distance = (
-        F.when(k % 6 == 0, metres.cast("string"))
+        F.when(k % 53 == 0, F.lit("true"))
+        .when(k % 6 == 0, metres.cast("string"))
         .when(k % 6 == 1, quote(F.concat(metres.cast("string"), F.lit(".5"))))
         .when(k % 6 == 2, quote(F.base64(F.unhex(even))))
         .when(k % 6 == 3, quote(F.base64(F.unhex(_big_endian_double(metres.cast("double") + 1)))))
@@ -231,19 +232,21 @@ def envelope(event: DataFrame) -> DataFrame:
     )
     fields = [
         F.concat(F.lit('"id_salarie": '), F.col("user_id").cast("string")),
-        F.when(k % 29 == 0, F.lit('"type_sport": null')).when(
-            sport.isNotNull(), F.concat(F.lit('"type_sport": '), quote(sport))
-        ),
+        F.when(k % 29 == 0, F.lit('"type_sport": null'))
+        .when(k % 59 == 0, F.lit('"type_sport": 7'))
+        .when(sport.isNotNull(), F.concat(F.lit('"type_sport": '), quote(sport))),
         F.concat(F.lit('"distance_m": '), distance),
-        F.when(k % 31 == 0, F.lit('"temps_ecoule_s": "bientôt"')).when(
-            k % 8 != 0, F.concat(F.lit('"temps_ecoule_s": '), (k * 37 % 7000).cast("string"))
-        ),
+        F.when(k % 31 == 0, F.lit('"temps_ecoule_s": "bientôt"'))
+        .when(k % 43 == 0, F.lit('"temps_ecoule_s": "12.7"'))
+        .when(k % 47 == 0, F.lit('"temps_ecoule_s": true'))
+        .when(k % 8 != 0, F.concat(F.lit('"temps_ecoule_s": '), (k * 37 % 7000).cast("string"))),
         F.when(k % 3 == 0, F.lit('"commentaire": "bravo"')).when(k % 3 == 1, F.lit('"commentaire": "  "')),
     ]
     after = F.when(k % 37 == 0, F.lit("null")).otherwise(
         F.concat(F.lit("{"), F.concat_ws(", ", *fields), F.lit("}"))
     )
     text = F.concat(F.lit('{"payload": {"op": "'), op, F.lit('", "after": '), after, F.lit("}}"))
+    text = F.when(k % 41 == 0, F.lit('{"payload": null}')).otherwise(text)
     value = F.when(k % 13 == 0, F.lit(None)).when(k % 11 == 0, F.substring(text, 1, 40)).otherwise(text)
     # exploded so that filters on the text do not build it a second time
     return event.select("event_id", F.explode(F.array(value)).alias("value"))
