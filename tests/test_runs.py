@@ -158,3 +158,33 @@ def test_versions(spark, tmp_path):
         write_table(spark.range(3).selectExpr("id AS x"), lake, "a/t")
     write_table(spark.range(3).selectExpr("id AS x"), lake, "a/t", replace_schema=True)
     assert read_table(spark, lake, "a/t").columns == ["x"]
+
+
+def test_a_declared_activity_crosses_the_threshold(spark, frame):
+    from foulee.operators import benefits, declarations
+
+    when = dt.datetime(2024, 1, 1, 10)
+    staff = frame([{"id_salarie": 7, "salaire_brut": Decimal("1000"), "moyen_deplacement": WALKING}], schemas.EMPLOYEES)
+    staff = staff.withColumn("declaration_ok", F.lit(True))
+    loaded = frame([{"id": i, "id_salarie": 7, "type_sport": "Judo", "temps_ecoule_s": 600, "date_debut": when, "date_fin": when} for i in range(1, 15)], schemas.ACTIVITIES)
+    declared = frame([(7, when, "Judo", 900, None, "  ")], "id_salarie long, date_debut timestamp_ntz, type_sport string, duree_s long, distance_m double, commentaire string")
+    rows = declarations.as_activities(declarations.declarations_accepted(declared, reference.declaration_limits(spark)))
+    again = declarations.as_activities(declarations.declarations_accepted(declared, reference.declaration_limits(spark)))
+    assert rows.first().id < 0 and rows.first().id == again.first().id
+    days = lambda moves: benefits.gold_benefits(staff, moves, Rules()).first().jours_bienetre
+    assert days(loaded) == 0 and days(loaded.unionByName(rows)) > 0
+
+
+def test_raw_schemas_of_the_queries(spark):
+    """The comparison with SQL softens money and dates; the operators' own types are these."""
+    from foulee.testbed import catalogue
+
+    sf_dir = "/root/testdata/sf0.001"
+    money, day = "decimal(12,2)", "date"
+    types = {
+        name: dict(getattr(catalogue, name)(spark, sf_dir).dtypes) for name in ("clean_employees", "gold_benefits", "load_employees", "load_activities")
+    }
+    assert types["clean_employees"]["salaire_brut"] == money and types["clean_employees"]["date_embauche"] == day
+    assert types["load_employees"] == {f.name: f.dataType.simpleString() for f in schemas.EMPLOYEES}
+    assert {n: t for n, t in types["load_activities"].items()} == {f.name: f.dataType.simpleString() for f in schemas.ACTIVITIES}
+    assert types["gold_benefits"]["date_calcul"] == day and types["gold_benefits"]["montant_prime"] == "double"
