@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foulee.llm.frames import annotate, col, fresh, read
+from foulee.llm.frames import annotate, col, fresh, read, ship_package
 from foulee.operators.lookup import left_lookup
 from foulee.session import staged
 
@@ -183,6 +183,8 @@ def remove(
     if what == "documents":
         return marked.filter(F.size(names[1]) == 0).select(*[col(name) for name in docs.columns])
 
+    ship_package(docs.sparkSession)
+
     @F.udf("string")
     def cut(text, hits):
         return _cut(None if text is None else text.encode(), hits)

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import foulee
+from foulee.session import scratch_path
+
 #: Rows and text bytes that a Python task holds at a time.
 SLICE_ROWS = 2000
 SLICE_BYTES = 4 << 20
@@ -24,6 +30,34 @@ def read(spark, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once for each application, whatever their search path is."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root, packed = Path(foulee.__file__).parent, io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, str(file.relative_to(root.parent)))
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_path(spark, 'package')}.zip")
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    try:
+        stream.write(packed.getvalue())
+    finally:
+        stream.close()
+    context.addPyFile(target.toString())
+    _SHIPPED.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with a function of this package."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def slices(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
     """Cuts record batches so that one holds few rows and, unless a single value is larger, a
     bounded number of bytes of the text column at position ``at``."""
@@ -66,7 +100,7 @@ def annotate(
             results = work(batch.column(at).cast(pa.binary()).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(given)], *results], labels)
 
-    out = narrow.mapInArrow(run, T.StructType([*given, *made]))
+    out = map_arrow(narrow, run, T.StructType([*given, *made]))
     return out.select(
         *[F.col(f"c{i}").alias(name) for i, name in enumerate(keep)],
         *[F.col(f"r{i}").alias(field.name) for i, field in enumerate(fields)],

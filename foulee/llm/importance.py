@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foulee.llm.frames import annotate, col, read, slices
+from foulee.llm.frames import annotate, col, map_arrow, read, slices
 from foulee.operators.lookup import left_lookup
 from foulee.session import staged
 
@@ -84,7 +84,7 @@ def counts(docs: DataFrame, text_col: str, target: Column) -> np.ndarray:
             )
 
     rows = docs.select(col(text_col).alias("text"), target.alias("good"))
-    summed = rows.mapInArrow(count, "bucket int, raw long, target long").groupBy("bucket")
+    summed = map_arrow(rows, count, "bucket int, raw long, target long").groupBy("bucket")
     table = summed.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()  # at most BUCKETS rows
     out = np.zeros((2, BUCKETS))
     out[:, table["bucket"].to_numpy()] = [table["raw"].to_numpy(), table["target"].to_numpy()]

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foulee.llm.frames import annotate, col, fresh, read, slices
+from foulee.llm.frames import annotate, col, fresh, map_arrow, read, slices
 
 SIZES = (2, 3, 4)
 MIN_SHARE = 0.01
@@ -142,7 +142,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             limit = F.when(F.col("lang") == name, F.lit(max_docs * (1 << 20) // count)).otherwise(limit)
     sample = labelled.filter(place < limit).select("lang", "text")
     seen = sample.groupBy("lang").count().withColumnRenamed("count", "all")
-    counted = sample.mapInArrow(_document_counts, "lang string, gram long, documents long")
+    counted = map_arrow(sample, _document_counts, "lang string, gram long, documents long")
     shares = counted.groupBy("lang", "gram").agg(F.sum("documents").alias("documents"))
     common = shares.join(seen, "lang").filter(F.col("documents") >= F.col("all") * MIN_SHARE)
     found = {name: [] for name in counts}

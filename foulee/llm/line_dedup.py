@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foulee.llm.frames import annotate, col, fresh, read, slices
+from foulee.llm.frames import annotate, col, fresh, map_arrow, read, slices
 from foulee.llm.tiles import deal
 from foulee.operators.lookup import left_lookup
 from foulee.session import staged
@@ -102,7 +102,7 @@ def sketch(docs: DataFrame, text_col: str) -> np.ndarray:
             some = used[at : at + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[some])], ["counter", "n"])
 
-    counted = docs.select(col(text_col).alias("text")).mapInArrow(count, "counter int, n long")
+    counted = map_arrow(docs.select(col(text_col).alias("text")), count, "counter int, n long")
     # At most SKETCH rows of 8 bytes.
     total = F.least(F.sum("n"), F.lit((1 << 31) - 1)).cast("int")
     found = counted.groupBy("counter").agg(total.alias("n")).toArrow()
@@ -230,7 +230,7 @@ def candidates(entries: DataFrame, threshold: float, all_pairs: bool, tile: int)
     dealt = dealt.repartition(*_KEYS).sortWithinPartitions(*_KEYS, "position")
     # The order within a list is all that the tasks need of a position.
     dealt = dealt.select(*_KEYS, "h1", "h2", "size", "place", F.monotonically_increasing_id().alias("order"), "open")
-    return dealt.mapInArrow(_candidates(threshold, all_pairs), _PAIR).distinct()
+    return map_arrow(dealt, _candidates(threshold, all_pairs), _PAIR).distinct()
 
 
 def _words_of(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from foulee.llm.frames import annotate, read
+from foulee.llm.frames import annotate, map_arrow, read
 from foulee.llm.word_bpe import WordEncoder
 from foulee.operators.lookup import left_lookup
 from foulee.session import staged
@@ -175,7 +175,7 @@ def pack(parts: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
     ranked = ranked.select(*columns, F.col("length").alias("_length"), (F.col("before") + F.col("nth")).alias("_rank"))
     schema = T.StructType([*[parts.schema[name] for name in columns]])
     schema = schema.add("sequence_id", "long").add("offset", "long")
-    return ranked.mapInArrow(_places(intervals, columns), schema)
+    return map_arrow(ranked, _places(intervals, columns), schema)
 
 
 def best_fit(

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foulee.llm.components import components
-from foulee.llm.frames import annotate, col, fresh, read
+from foulee.llm.frames import annotate, col, fresh, map_arrow, read
 from foulee.llm.tiles import deal
 from foulee.operators.lookup import left_lookup
 from foulee.session import staged
@@ -182,7 +182,8 @@ def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     keyed = fps.select("fp", F.inline(F.array(*_block_keys(F.col("fp"), radius))))
     dealt = deal(keyed, ["pair", "bits"], ["fp"], tile).select("pair", "bits", "low", "high", "fp")
     keys = ["pair", "bits", "low", "high"]
-    return dealt.repartition(*keys).sortWithinPartitions(*keys, "fp").mapInArrow(_stars(radius), "a long, b long")
+    sorted_rows = dealt.repartition(*keys).sortWithinPartitions(*keys, "fp")
+    return map_arrow(sorted_rows, _stars(radius), "a long, b long")
 
 
 def label(marks: DataFrame, id_col: str, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
