@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,9 +66,32 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_OPEN_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Owns the tables that are staged inside: they are removed at the end of the block.
+
+    Frames built inside may read them, so what is to stay must have been written or collected by then.
+    Outside of any block staged tables stay, as a frame that reads them may be used at any time.
+    """
+    scope: list[str] = []
+    _OPEN_SCOPES.append(scope)
+    try:
+        yield
+    finally:
+        _OPEN_SCOPES.remove(scope)
+        for path in scope:
+            remove_folders(spark, path)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Materialise a large frame as a table in the shared folder and read it back: unlike a
-    checkpoint it is compressed, and later passes read only the columns they need."""
+    checkpoint it is compressed, and later passes read only the columns they need.
+    The innermost ``staging`` block owns the table."""
     path = scratch_path(df.sparkSession, name)
+    if _OPEN_SCOPES:
+        _OPEN_SCOPES[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

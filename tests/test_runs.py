@@ -188,3 +188,21 @@ def test_raw_schemas_of_the_queries(spark):
     assert types["load_employees"] == {f.name: f.dataType.simpleString() for f in schemas.EMPLOYEES}
     assert {n: t for n, t in types["load_activities"].items()} == {f.name: f.dataType.simpleString() for f in schemas.ACTIVITIES}
     assert types["gold_benefits"]["date_calcul"] == day and types["gold_benefits"]["montant_prime"] == "double"
+
+
+def test_staged_tables_go_with_their_block(spark):
+    from pathlib import Path
+
+    from foulee.session import shared_folder, staged, staging
+
+    folder = Path(shared_folder(spark))
+    before = set(folder.glob("probe-*"))
+    with staging(spark):
+        assert staged(spark.range(3), "probe").count() == 3
+        assert len(set(folder.glob("probe-*")) - before) == 1
+        with staging(spark):
+            staged(spark.range(4), "probe")
+        assert len(set(folder.glob("probe-*")) - before) == 1
+    assert set(folder.glob("probe-*")) == before
+    kept = staged(spark.range(5), "probe")
+    assert kept.count() == 5
