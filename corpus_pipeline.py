@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from foulee.llm import decontaminate, exact_dedup, language, packing, simhash
 from foulee.llm.frames import read
-from foulee.session import scratch_path
+from foulee.session import scratch_path, staging
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,6 +54,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with staging(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
