@@ -5,7 +5,7 @@ all its bits twice, so a row with a bit that was set once only is unique. Pass t
 unique rows go straight to the result; only the others are shuffled, by digest, and grouped exactly.
 A false positive of the filter costs a shuffled row, never a wrong result.
 
-The filter has a power of two of bits, about ``BITS_PER_ROW`` a row and at most ``max_filter_bits``
+The filter has a power of two of bits, 16 a row and at most ``max_filter_bits``
 (32 MB by default), so the broadcast has that bound whatever the input. A fuller filter lets more rows
 into the shuffle; a large cluster raises the bound.
 
@@ -23,16 +23,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foulee.llm import bloom
 from foulee.llm.frames import col, read
 from foulee.operators.lookup import left_lookup
 from foulee.session import staged
 
 SPACE = r"[\x20\x09-\x0D]+"
-BITS_PER_ROW = 16
-MAX_FILTER_BITS = 1 << 28
-#: Bits of one bitmap of ``bitmap_construct_agg``: the block of the Bloom filter.
-BLOCK_BITS = 32768
-PROBES = 2
 
 
 def normalised(text: Column) -> Column:
@@ -52,49 +48,14 @@ def fingerprinted(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> D
     )
 
 
-def _probes(digest: Column, bits: int) -> tuple[Column, list[Column]]:
-    """Block and bits within it, from one 64-bit hash of the digest."""
-    blocks = max(1, bits // BLOCK_BITS)
-    hashed = F.xxhash64(digest)
-    block = F.shiftrightunsigned(hashed, 34) % F.lit(blocks)
-    return block, [F.shiftright(hashed, 15 * i).bitwiseAND(F.lit(BLOCK_BITS - 1)) for i in range(PROBES)]
-
-
-def repeated_bits(rows: DataFrame, bits: int) -> DataFrame:
-    """block, bitmap of the bits that at least two rows set. Counts combine before the shuffle."""
-    block, probes = _probes(F.col("digest"), bits)
-    # A row whose probes fall on the same bit must not look like two rows.
-    positions = rows.select(block.alias("block"), F.explode(F.array_distinct(F.array(*probes))).alias("bit"))
-    twice = positions.groupBy("block", "bit").count().filter("count >= 2")
-    return twice.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
-
-
-def _is_set(bitmap: Column, bit: Column) -> Column:
-    byte = F.conv(F.hex(F.substring(bitmap, F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.bit_get(byte, bit.bitwiseAND(F.lit(7)).cast("int")) == 1
-
-
-def filter_bits(rows: int, max_filter_bits: int = MAX_FILTER_BITS) -> int:
-    bits = BLOCK_BITS
-    while bits < min(rows * BITS_PER_ROW, max_filter_bits):
-        bits *= 2
-    return bits
-
-
-def mark_copies(rows: DataFrame, n_rows: int, max_filter_bits: int = MAX_FILTER_BITS) -> DataFrame:
+def mark_copies(rows: DataFrame, n_rows: int, max_filter_bits: int = bloom.MAX_BITS) -> DataFrame:
     """``rows`` of ``fingerprinted`` with keep_id, group_size and kept.
 
     Of equal digests the row with the most code points stays, then the smallest id.
     """
-    bits = filter_bits(n_rows, max_filter_bits)
-    bitmaps = staged(repeated_bits(rows, bits), "repeated_bits")
-    block, probes = _probes(F.col("digest"), bits)
-    # Bounded by max_filter_bits / 8 bytes, so the broadcast is safe at any input size.
-    tested = rows.withColumn("block", block).join(F.broadcast(bitmaps), "block", "left")
-    maybe = F.col("bitmap").isNotNull()
-    for probe in probes:
-        maybe = maybe & _is_set(F.col("bitmap"), probe)
-    tested = tested.select(*rows.columns, F.coalesce(maybe, F.lit(False)).alias("maybe"))
+    bits = bloom.size_for(n_rows, max_filter_bits)
+    twice = staged(bloom.bitmaps(rows, F.col("digest"), bits, at_least=2), "repeated_bits")
+    tested = bloom.tested(rows, F.col("digest"), bits, twice, "maybe")
     unique = tested.filter(~F.col("maybe")).select(
         *rows.columns,
         F.col("id").alias("keep_id"),
@@ -117,7 +78,7 @@ def mark_copies(rows: DataFrame, n_rows: int, max_filter_bits: int = MAX_FILTER_
 
 
 def drop_copies(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_filter_bits: int = MAX_FILTER_BITS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_filter_bits: int = bloom.MAX_BITS
 ) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns. Unique rows are never shuffled."""
     marked = mark_copies(fingerprinted(docs, id_col, text_col, carry=True), docs.count(), max_filter_bits)

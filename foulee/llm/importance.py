@@ -5,7 +5,7 @@ Hashed word n-grams (n up to ``NGRAMS``) fall into ``BUCKETS`` buckets. Two gene
 is the sum over its n-grams of the difference of their log probabilities. Adding Gumbel noise to the log weights
 and taking the largest samples without replacement in proportion to the weights.
 
-Both models count every document: a task adds up its documents in one array of ``BUCKETS`` counters, so what is
+Both models count every document they stand for: a task adds up its documents in one array of ``BUCKETS`` counters, so what is
 gathered is bounded by tasks and buckets, not by n-grams, and no frequent n-gram meets in one task. The sample is a share
 of all documents; its last key is found by counting in a few passes over ranges of keys, without a global sort.
 
@@ -29,8 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foulee.llm import bloom
 from foulee.llm.frames import annotate, col, map_arrow, read, slices
-from foulee.operators.lookup import left_lookup
 from foulee.session import staged
 
 BUCKETS = 1 << 16
@@ -66,38 +66,32 @@ class Grams:
                 yield (h & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
-def counts(docs: DataFrame, text_col: str, target: Column) -> np.ndarray:
-    """Counts of buckets in all documents and in the target (two rows)."""
+def counts(docs: DataFrame, text_col: str) -> np.ndarray:
+    """How many n-grams of all documents fall into each bucket."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, found = Grams(), np.zeros((2, BUCKETS), np.int64)
+        grams, found = Grams(), np.zeros(BUCKETS, np.int64)
         for batch in slices(batches, 0):
-            for text, good in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist()):
+            for text in batch.column(0).cast(pa.binary()).to_pylist():
                 for buckets in grams(text):
-                    np.add.at(found[0], buckets, 1)
-                    if good:
-                        np.add.at(found[1], buckets, 1)
-        used = np.flatnonzero(found[0])
+                    np.add.at(found, buckets, 1)
+        used = np.flatnonzero(found)
         if len(used):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(used.astype(np.int32)), pa.array(found[0][used]), pa.array(found[1][used])], ["bucket", "raw", "target"]
-            )
-
-    rows = docs.select(col(text_col).alias("text"), target.alias("good"))
-    summed = map_arrow(rows, count, "bucket int, raw long, target long").groupBy("bucket")
-    table = summed.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()  # at most BUCKETS rows
-    out = np.zeros((2, BUCKETS))
-    out[:, table["bucket"].to_numpy()] = [table["raw"].to_numpy(), table["target"].to_numpy()]
+            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(found[used])], ["bucket", "n"])
+
+    rows = map_arrow(docs.select(col(text_col).alias("text")), count, "bucket int, n long")
+    table = rows.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # at most BUCKETS rows
+    out = np.zeros(BUCKETS)
+    out[table["bucket"].to_numpy()] = table["n"].to_numpy()
     return out
 
 
-def log_ratio(found: np.ndarray) -> np.ndarray:
+def log_ratio(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
     """For each bucket log p(target) - log p(raw); zero if there is no target."""
-    if not found[1].sum():
-        return np.zeros(found.shape[1])
-    smooth = found + SMOOTHING
-    log = np.log(smooth) - np.log(smooth.sum(axis=1, keepdims=True))
-    return log[1] - log[0]
+    if not target.sum():
+        return np.zeros(len(raw))
+    log = [np.log(found + SMOOTHING) - np.log((found + SMOOTHING).sum()) for found in (target, raw)]
+    return log[0] - log[1]
 
 
 def weigh(docs: DataFrame, text_col: str, keep: Sequence[str], ratio: np.ndarray, names: Sequence[str] = ("log_weight", "n_grams")) -> DataFrame:
@@ -165,9 +159,9 @@ def sample(weighed: DataFrame, key: str, share: float) -> DataFrame:
 
 def op4_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    good = read(spark, sf_dir, "labels").filter("quality = 1").select("doc_id").distinct().withColumn("good", F.lit(True))
-    labelled = left_lookup(docs, good.filter("doc_id is not null"), ["doc_id"], unique=True)
-    ratio = log_ratio(counts(labelled, "text", F.col("good").isNotNull()))
+    good = read(spark, sf_dir, "labels").filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
+    target = bloom.among(docs, staged(good, "good"), "doc_id")
+    ratio = log_ratio(counts(docs, "text"), counts(target, "text"))
     weighed = weigh(docs.withColumn("noise", gumbel("doc_id", "text")), "text", ["doc_id", "noise"], ratio)
     weighed = staged(weighed.withColumn("sample_key", F.col("log_weight") + F.col("noise")).drop("noise"), "weights")
     return sample(weighed, "sample_key", SHARE)
