@@ -8,12 +8,16 @@ or more of their sets of words. Equal sets collapse by a hash of the set, so onl
   is 1 is in no other line and needs no entry.
 * Prefix filter: two similar sets share one of their ``size - ceil(threshold * size) + 1`` rarest words.
 * Length and positional filters: of the pairs in a word's list, those whose sizes and positions leave room
-  for enough common words. A list of more than ``TILE`` entries is dealt over pairs of tiles.
-* Verification: words of both lines are fetched and compared. First every line is verified against its
-  earliest candidate of each list, which settles the lines of large similar groups without their pairs;
-  then lines without a match yet against all their other candidates. No candidate is left out.
+  for enough common words. Then a signature: each word flips one of 64 bits, so two sets differ in at
+  least as many words as their signatures differ in bits.
+* A list of more than ``TILE`` entries is dealt over pairs of tiles. In a list of more than ``PAIRED`` entries
+  a line first meets only its earliest candidate, which settles most lines of large similar groups; lines
+  that this does not settle then meet all others of such lists. No candidate is left out.
+* Verification: words of both lines are fetched, of the documents that a Bloom filter lets through, and compared; for
+  each set the partner with which it shares most lists, then, if that was not similar enough, all the others.
 
-Words are runs of letters and digits, ASCII lower-cased, as 64-bit hashes; sets are told apart by 128 bits.
+Words are runs of letters and digits, ASCII lower-cased, as 64-bit hashes. Sets have 64-bit names too; should two
+sets ever share one (a second hash tells), everything is named anew with another salt.
 
 Cases: null text has no lines; a line without words always stays. Rows that repeat with the same id and text
 are one document and get equal results. A null id comes last in order. An empty table gives an empty result.
@@ -21,6 +25,7 @@ are one document and get equal results. A null id comes last in order. An empty
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foulee.llm import bloom
 from foulee.llm.frames import annotate, col, fresh, map_arrow, read, slices
 from foulee.llm.tiles import deal
 from foulee.operators.lookup import left_lookup
@@ -38,7 +44,10 @@ from foulee.session import staged
 THRESHOLD = 0.8
 SKETCH = 1 << 22
 TILE = 4096
+PAIRED = 256
 _CACHED = 500_000
+#: Entries that are compared at a time, if lists are not longer.
+_ROWS = 1 << 17
 
 _WORD = bytes(
     b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b == 0x0A else b + 32 if 0x41 <= b <= 0x5A else 0x20
@@ -53,13 +62,13 @@ class Lines:
         self.known: dict[bytes, int] = {}
 
     def __call__(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Hashes; and for each line with words its text's place, its number and where its hashes start."""
+        """Hashes of each line's distinct words; and of each line with words its text's place, number and size."""
         if len(self.known) > _CACHED:
             self.known.clear()
         doc, number, sizes, words = [], [], [], []
         for i, text in enumerate(texts):
             for j, line in enumerate((text or b"").translate(_WORD).split(b"\n")):
-                own = line.split()
+                own = set(line.split())
                 if own:
                     doc.append(i)
                     number.append(j)
@@ -68,14 +77,16 @@ class Lines:
         for word in set(words).difference(self.known):
             self.known[word] = xxhash.xxh64_intdigest(word)
         hashes = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
-        line = np.repeat(np.arange(len(sizes)), sizes)
-        order = np.lexsort((hashes, line))
-        hashes, line = hashes[order], line[order]
-        first = np.ones(len(hashes), bool)
-        first[1:] = (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1])
-        hashes, line = hashes[first], line[first]
-        starts = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1]))) if len(line) else np.zeros(0, int)
-        return hashes, np.array(doc, int), np.array(number, int), starts
+        return hashes, np.array(doc, int), np.array(number, int), np.array(sizes, int)
+
+
+def rarest_first(hashes: np.ndarray, sizes: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """Order of the words within lines: by how often they occur, then by hash."""
+    line = np.repeat(np.arange(len(sizes)), sizes)
+    key = np.minimum(often, (1 << 24) - 1).astype(np.uint64) << np.uint64(40) | hashes >> np.uint64(24)
+    order = np.lexsort((key, line))
+    tied = (key[order][1:] == key[order][:-1]) & (line[order][1:] == line[order][:-1])
+    return np.lexsort((hashes, key, line)) if tied.any() else order
 
 
 def _mix(h: np.ndarray, salt: int) -> np.ndarray:
@@ -90,13 +101,16 @@ def least_overlap(a, b, threshold: float):
 
 
 def sketch(docs: DataFrame, text_col: str) -> np.ndarray:
-    """How many lines have a word that falls on each counter; at least the number that have the word."""
+    """How often words fall on each counter: at least the number of lines that have the word."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lines, counts = Lines(), np.zeros(SKETCH, np.int64)
+        counts = np.zeros(SKETCH, np.int64)
         for batch in slices(batches, 0):
-            hashes = lines(batch.column(0).cast(pa.binary()).to_pylist())[0]
-            counts += np.bincount((hashes & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+            words: Counter[bytes] = Counter()
+            for text in batch.column(0).cast(pa.binary()).to_pylist():
+                words.update((text or b"").translate(_WORD).split())
+            places = [xxhash.xxh64_intdigest(word) & (SKETCH - 1) for word in words]
+            np.add.at(counts, np.array(places, np.int64), np.fromiter(words.values(), np.int64, len(words)))
         used = np.flatnonzero(counts)
         for at in range(0, len(used), 1 << 16):
             some = used[at : at + (1 << 16)]
@@ -111,43 +125,51 @@ def sketch(docs: DataFrame, text_col: str) -> np.ndarray:
     return out
 
 
-_LINE = "struct<line:int,h1:long,h2:long,size:int,words:array<long>,places:array<int>>"
+_LINE = "struct<line:int,h1:long,h2:long,size:int,signature:long,words:array<long>,places:array<int>>"
 
 
-def lines_of(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
-    """A row for each line with words: doc_id, row (a hash of id and text), line, h1 and h2 (the set), size, and the
-    prefix words with their places. Sets that a task has met before have no prefix words: one entry is enough."""
-    counts = docs.sparkSession.sparkContext.broadcast(sketch(docs, text_col))
-    kind = T._parse_datatype_string(f"array<{_LINE}>")
+def _names(hashes: np.ndarray, starts: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two hashes of each line's set and its signature."""
+    if not len(starts):
+        return (np.zeros(0, np.int64),) * 3
+    sums = [np.add.reduceat(_mix(hashes, salt * 2 + i), starts).view(np.int64) for i in (1, 2)]
+    bits = np.bitwise_xor.reduceat(np.uint64(1) << (_mix(hashes, 3) >> np.uint64(58)), starts)
+    return sums[0], sums[1], bits.view(np.int64)
+
+
+def lines_of(docs: DataFrame, id_col: str, text_col: str, threshold: float, counts, salt: int) -> DataFrame:
+    """A row for each line with words: doc_id, row (a hash of id and text), line, h1 and h2 (the set), size,
+    signature, and the prefix words with their places. Sets that a task has met before have no prefix words:
+    one entry is enough. ``counts`` is the sketch, as a broadcast."""
+    kind = T.DataType.fromDDL(f"array<{_LINE}>")
 
     def make():
         lines, frequent, met = Lines(), counts.value, set()
 
         def work(texts):
-            hashes, doc, number, starts = lines(texts)
-            ends = np.append(starts[1:], len(hashes)).astype(int)
-            sizes = ends - starts
-            line = np.repeat(np.arange(len(starts)), sizes)
-            h1, h2 = ((np.add.reduceat(_mix(hashes, salt), starts) if len(starts) else hashes).view(np.int64) for salt in (11, 23))
+            hashes, doc, number, sizes = lines(texts)
             often = frequent[(hashes & np.uint64(SKETCH - 1)).astype(np.int64)]
-            order = np.lexsort((hashes, often, line))
+            order = rarest_first(hashes, sizes, often)
+            hashes, often, starts = hashes[order], often[order], np.cumsum(sizes) - sizes
+            h1, h2, signature = _names(hashes, starts, salt)
+            line = np.repeat(np.arange(len(starts)), sizes)
             place = np.arange(len(hashes)) - starts[line]
             prefix = sizes - np.ceil(threshold * sizes - 1e-9).astype(int) + 1
             new = np.zeros(len(starts), bool)
-            for i, pair in enumerate(zip(h1.tolist(), h2.tolist())):
-                if pair not in met:
-                    met.add(pair)
+            for i, name in enumerate(h1.tolist()):
+                if name not in met:
+                    met.add(name)
                     new[i] = True
-            listed = (place < prefix[line]) & (often[order] > 1) & new[line]
+            listed = (place < prefix[line]) & (often > 1) & new[line]
             offsets = np.concatenate(([0], np.cumsum(np.bincount(line[listed], minlength=len(starts)))))
             offsets = pa.array(offsets.astype(np.int32))
             entries = pa.StructArray.from_arrays(
                 [
-                    pa.array(number.astype(np.int32)), pa.array(h1), pa.array(h2), pa.array(sizes.astype(np.int32)),
-                    pa.ListArray.from_arrays(offsets, pa.array(hashes[order][listed].view(np.int64))),
+                    pa.array(number.astype(np.int32)), pa.array(h1), pa.array(h2), pa.array(sizes.astype(np.int32)), pa.array(signature),
+                    pa.ListArray.from_arrays(offsets, pa.array(hashes[listed].view(np.int64))),
                     pa.ListArray.from_arrays(offsets, pa.array(place[listed].astype(np.int32))),
                 ],
-                ["line", "h1", "h2", "size", "words", "places"],
+                ["line", "h1", "h2", "size", "signature", "words", "places"],
             )
             per_doc = np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=len(texts)))))
             return [pa.ListArray.from_arrays(pa.array(per_doc.astype(np.int32)), entries)]
@@ -169,50 +191,64 @@ def position() -> Column:
 
 
 _KEYS = ["word", "low", "high"]
-_PAIR = "h1 long, h2 long, e1 long, e2 long"
+_COLUMNS = [*_KEYS, "doc", "h1", "signature", "size", "place", "open"]
 
 
-def _candidates(threshold: float, all_pairs: bool):
-    """Pairs of a list that pass the filters: for each set (h1, h2) its earliest candidate (e1, e2) in the list, or all."""
+def _candidates(threshold: float, paired: int | None):
+    """Pairs of sets (h1, the one further down; e1) of a list that pass the filters, and whether both are of
+    one document (its lines are in no order here). If a list has more than ``paired``
+    entries, only the first candidate of each set, and one row with the word itself as ``long_list``."""
 
     def runs(table: pa.Table) -> pa.RecordBatch:
-        # A set that several tasks have met has an entry from each; the first in order is the earliest line.
-        word, low, high, h1, h2, size, place, order, open_ = (table.column(i).to_numpy() for i in range(9))
-        same = np.zeros(len(word), bool)
-        group = (word[1:] == word[:-1]) & (low[1:] == low[:-1]) & (high[1:] == high[:-1])
-        by_set = np.lexsort((order, h2, h1, np.concatenate(([0], np.cumsum(~group)))))
-        g = np.concatenate(([0], np.cumsum(~group)))[by_set]
-        repeat = (g[1:] == g[:-1]) & (h1[by_set][1:] == h1[by_set][:-1]) & (h2[by_set][1:] == h2[by_set][:-1])
-        same[by_set[1:]] = repeat
-        keep = ~same
-        run = np.concatenate(([0], np.cumsum(~group)))[keep]
-        h1, h2, size, place, open_ = (x[keep] for x in (h1, h2, size, place, open_))
+        word, low, high, doc, h1, signature, size, place, open_ = (table.column(i).to_numpy() for i in range(9))
+        change = (word[1:] != word[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+        run = np.concatenate(([0], np.cumsum(change)))
+        # A set that several tasks have met has an entry from each; its first one counts.
+        order = np.lexsort((np.arange(len(run)), h1, run))
+        repeated = np.zeros(len(run), bool)
+        repeated[order[1:]] = (run[order][1:] == run[order][:-1]) & (h1[order][1:] == h1[order][:-1])
+        word, doc, h1, signature, size, place, open_, run = (x[~repeated] for x in (word, doc, h1, signature, size, place, open_, run))
         n = len(run)
         end = np.searchsorted(run, run, side="right")
-        longest = int((end - np.arange(n)).max(initial=0))
-        left_over, out = np.arange(n), []
-        for s in range(1, longest):
-            # Rows come in order of position, so the earlier line of a pair is the one above.
-            left_over = left_over[end[left_over] > left_over + s]
-            i, j = left_over, left_over + s
+        length = end - np.searchsorted(run, run, side="left")
+        signature = signature.view(np.uint64)
+        rest, out = np.arange(n), [np.zeros((2, 0), int)]
+        for s in range(1, int((end - np.arange(n)).max(initial=0))):
+            rest = rest[end[rest] > rest + s]
+            i, j = rest, rest + s
             need = least_overlap(size[i], size[j], threshold)
-            fits = (np.minimum(size[i], size[j]) >= threshold * np.maximum(size[i], size[j]) - 1e-9) & open_[j]
-            fits &= np.minimum(size[i] - place[i], size[j] - place[j]) >= need
+            fits = np.minimum(size[i] - place[i], size[j] - place[j]) >= need
+            fits &= np.minimum(size[i], size[j]) >= threshold * np.maximum(size[i], size[j]) - 1e-9
+            fits &= np.bitwise_count(signature[i] ^ signature[j]) <= size[i] + size[j] - 2 * need
+            fits &= open_[j] | ((doc[i] == doc[j]) & open_[i])
             out.append(np.stack([i[fits], j[fits]]))
-        pairs = np.concatenate(out, axis=1) if out else np.zeros((2, 0), int)
-        if not all_pairs and pairs.shape[1]:
-            order = np.lexsort((pairs[0], pairs[1]))
-            pairs = pairs[:, order]
-            pairs = pairs[:, np.concatenate(([True], pairs[1, 1:] != pairs[1, :-1]))]
-        earlier, later = pairs
-        arrays = [pa.array(x) for x in (h1[later], h2[later], h1[earlier], h2[earlier])]
-        return pa.RecordBatch.from_arrays(arrays, ["h1", "h2", "e1", "e2"])
+        earlier, later = np.concatenate(out, axis=1)
+        many = np.zeros(0, int)
+        if paired is not None:
+            order = np.lexsort((earlier, later))
+            earlier, later = earlier[order], later[order]
+            first = np.concatenate(([True], later[1:] != later[:-1]))[: len(later)]
+            keep = first | (length[later] <= paired)
+            many = np.unique(word[later[~keep]])
+            earlier, later = earlier[keep], later[keep]
+        none = np.zeros(len(many), np.int64)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.concatenate([h1[later], none])),
+                pa.array(np.concatenate([h1[earlier], none])),
+                pa.array(np.concatenate([doc[later] == doc[earlier], none == 1])),
+                pa.array([None] * len(later) + many.tolist(), pa.int64()),
+            ],
+            ["h1", "e1", "one_document", "long_list"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
             held = pa.concat_tables([held, table]) if held is not None else table
+            if held.num_rows < _ROWS:
+                continue
             keys = [held.column(i).to_numpy() for i in range(3)]
             changes = np.flatnonzero(np.logical_or.reduce([key[1:] != key[:-1] for key in keys]))
             if len(changes):
@@ -224,28 +260,27 @@ def _candidates(threshold: float, all_pairs: bool):
     return run
 
 
-def candidates(entries: DataFrame, threshold: float, all_pairs: bool, tile: int) -> DataFrame:
-    """Distinct pairs of sets from ``entries`` (word, h1, h2, size, place, position, open)."""
-    dealt = deal(entries, ["word"], ["h1", "h2"], tile)
-    dealt = dealt.repartition(*_KEYS).sortWithinPartitions(*_KEYS, "position")
-    # The order within a list is all that the tasks need of a position.
-    dealt = dealt.select(*_KEYS, "h1", "h2", "size", "place", F.monotonically_increasing_id().alias("order"), "open")
-    return map_arrow(dealt, _candidates(threshold, all_pairs), _PAIR).distinct()
+def candidates(entries: DataFrame, threshold: float, paired: int | None, tile: int) -> DataFrame:
+    """Pairs of sets from ``entries`` (word, doc, h1, signature, size, place, open), each once, with the number of
+    lists in which they met."""
+    dealt = deal(entries, ["word"], ["h1"], tile)
+    dealt = dealt.repartition(*_KEYS).sortWithinPartitions(*_KEYS, "doc", "h1").select(*_COLUMNS)
+    pairs = map_arrow(dealt, _candidates(threshold, paired), "h1 long, e1 long, one_document boolean, long_list long")
+    return pairs.groupBy("h1", "e1", "one_document", "long_list").agg(F.count(F.lit(1)).alias("lists"))
 
 
 def _words_of(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
-    """h1, h2 and all words of the lines ``wanted`` (h1, h2, row, line)."""
-    by_row = wanted.groupBy("row").agg(F.collect_list(F.struct("line", "h1", "h2")).alias("wanted"))
+    """h1 and all words of the lines ``wanted`` (h1, row, line), a written table."""
+    by_row = staged(wanted.groupBy("row").agg(F.collect_list(F.struct("line", "h1")).alias("wanted")), "wanted_rows")
     keyed = docs.select(row_key(id_col, text_col).alias("row"), col(text_col).alias("text"))
-    joined = keyed.join(by_row, "row")
-    kind = T._parse_datatype_string("array<struct<line:int,words:array<long>>>")
+    kind = T.DataType.fromDDL("array<struct<line:int,words:array<long>>>")
 
     def make():
         lines = Lines()
 
         def work(texts):
-            hashes, doc, number, starts = lines(texts)
-            offsets = pa.array(np.append(starts, len(hashes)).astype(np.int32))
+            hashes, doc, number, sizes = lines(texts)
+            offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
             words = pa.ListArray.from_arrays(offsets, pa.array(hashes.view(np.int64)))
             entries = pa.StructArray.from_arrays([pa.array(number.astype(np.int32)), words], ["line", "words"])
             per_doc = np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=len(texts)))))
@@ -253,43 +288,61 @@ def _words_of(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) ->
 
         return work
 
-    found = annotate(joined, "text", ["wanted"], [T.StructField("lines", kind)], make)
+    found = annotate(bloom.members(keyed, by_row, "row"), "text", ["wanted"], [T.StructField("lines", kind)], make)
     found = found.select(F.map_from_entries("lines").alias("lines"), F.inline("wanted"))
-    return found.select("h1", "h2", F.col("lines")[F.col("line")].alias("words")).dropDuplicates(["h1", "h2"])
+    return found.select("h1", F.col("lines")[F.col("line")].alias("words")).dropDuplicates(["h1"])
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, docs: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
-    """Sets (h1, h2) of the pairs that are similar enough to their earlier partner."""
-    wanted = pairs.select("h1", "h2").unionByName(pairs.select(F.col("e1").alias("h1"), F.col("e2").alias("h2"))).distinct()
-    wanted = wanted.join(sets, ["h1", "h2"]).select("h1", "h2", "first.row", "first.line")
-    words = staged(_words_of(docs, id_col, text_col, wanted), "line_words")
-    earlier = words.select(F.col("h1").alias("e1"), F.col("h2").alias("e2"), F.col("words").alias("other"))
-    both = left_lookup(left_lookup(pairs, words, ["h1", "h2"], unique=True), earlier, ["e1", "e2"], unique=True)
-    common = F.size(F.array_intersect("words", "other"))
-    jaccard = common / (F.size("words") + F.size("other") - common)
-    return both.filter(jaccard >= threshold - 1e-9).select("h1", "h2").distinct()
+    """Of each pair (h1, e1) that is similar enough, the set whose first line is the later one."""
+    wanted = pairs.select(F.explode(F.array("h1", "e1")).alias("h1")).distinct()
+    wanted = staged(wanted.join(sets, "h1").select("h1", "first.row", "first.line"), "wanted_lines")
+    words = staged(_words_of(docs, id_col, text_col, wanted).join(sets.select("h1", "first"), "h1"), "line_words")
+    other = words.select(F.col("h1").alias("e1"), F.col("words").alias("others"), F.col("first").alias("earlier"))
+    both = left_lookup(left_lookup(pairs, words, ["h1"], unique=True), other, ["e1"], unique=True)
+    common = F.size(F.array_intersect("words", "others"))
+    jaccard = common / (F.size("words") + F.size("others") - common)
+    later = F.when(F.col("first") > F.col("earlier"), F.col("h1")).otherwise(F.col("e1"))
+    return both.filter(jaccard >= threshold - 1e-9).select(later.alias("h1")).distinct()
 
 
 def removed_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, tile: int = TILE
-) -> DataFrame:
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
+    tile: int = TILE, paired: int = PAIRED,
+) -> DataFrame:
     """row (hash of id and text) and the numbers of the lines that go, for documents that lose lines."""
-    lines = staged(lines_of(docs, id_col, text_col, threshold), "lines")
-    sets = staged(lines.groupBy("h1", "h2").agg(F.min(position()).alias("first")), "line_sets")
-    entries = lines.select(
-        F.inline(F.arrays_zip("words", "places")), "h1", "h2", "size", position().alias("position"), F.lit(True).alias("open")
-    ).withColumnsRenamed({"words": "word", "places": "place"})
-    nearest = staged(candidates(entries, threshold, False, tile), "nearest")
-    found = staged(_similar(nearest, sets, docs, id_col, text_col, threshold), "similar")
-    # Only sets that had a candidate and no match are open now; the rest are there as earlier partners.
-    unsettled = nearest.select("h1", "h2").distinct().join(found, ["h1", "h2"], "left_anti").withColumn("open", F.lit(True))
-    again = left_lookup(entries.drop("open"), unsettled, ["h1", "h2"], unique=True)
-    again = again.withColumn("open", F.coalesce("open", F.lit(False)))
-    others = candidates(again, threshold, True, tile).join(nearest, ["h1", "h2", "e1", "e2"], "left_anti")
-    more = _similar(staged(others, "others"), sets, docs, id_col, text_col, threshold)
-    similar = found.unionByName(more).withColumn("similar", F.lit(True))
-    marked = left_lookup(sets, similar, ["h1", "h2"], unique=True)
-    marked = left_lookup(lines.drop("words", "places"), marked, ["h1", "h2"], unique=True)
+    counts = docs.sparkSession.sparkContext.broadcast(sketch(docs, text_col))
+    salt, clashes = 0, True
+    while clashes:
+        lines = staged(lines_of(docs, id_col, text_col, threshold, counts, salt), "lines")
+        named = lines.groupBy("h1").agg(F.min(position()).alias("first"), F.min("h2").alias("low"), F.max("h2").alias("high"))
+        sets = staged(named, "line_sets")
+        clashes, salt = not sets.filter("low <> high").isEmpty(), salt + 1
+    entries = lines.filter(F.size("words") > 0).select(
+        F.inline(F.arrays_zip("words", "places")), F.coalesce("doc_id", F.lit((1 << 63) - 1)).cast("long").alias("doc"),
+        "h1", "signature", "size",
+    ).withColumnsRenamed({"words": "word", "places": "place"})
+    met = staged(candidates(entries.withColumn("open", F.lit(True)), threshold, paired, tile), "candidates")
+    pairs = met.filter("long_list is null")
+    # The likeliest partner first: most sets need no other.
+    best = pairs.groupBy("h1").agg(F.max_by("e1", F.struct("lists", "e1")).alias("e1"))
+    best = staged(best, "best_candidates")
+    first = staged(_similar(best, sets, docs, id_col, text_col, threshold), "similar")
+    rest = pairs.join(first.withColumn("gone", F.lit(True)), "h1", "left").filter("gone is null or one_document")
+    rest = staged(rest.select("h1", "e1").join(best, ["h1", "e1"], "left_anti"), "other_candidates")
+    second = _similar(rest, sets, docs, id_col, text_col, threshold)
+    found = staged(first.unionByName(second).distinct(), "similar")
+    pairs = pairs.select("h1", "e1")
+    # Long lists again, for the sets that have stayed so far.
+    long_lists = staged(met.filter("long_list is not null").select(F.col("long_list").alias("word")).distinct(), "long_lists")
+    again = entries.join(long_lists, "word", "left_semi")
+    again = left_lookup(again, found.withColumn("gone", F.lit(True)), ["h1"], unique=True)
+    again = again.select(*entries.columns, F.col("gone").isNull().alias("open"))
+    more = candidates(again, threshold, None, tile).select("h1", "e1").join(pairs, ["h1", "e1"], "left_anti")
+    more = _similar(staged(more, "more_candidates"), sets, docs, id_col, text_col, threshold)
+    similar = found.unionByName(more).distinct().withColumn("similar", F.lit(True))
+    marked = left_lookup(sets.select("h1", "first"), similar, ["h1"], unique=True)
+    marked = left_lookup(lines.select("doc_id", "row", "line", "h1"), marked, ["h1"], unique=True)
     gone = marked.filter(F.col("similar").isNotNull() | (position() != F.col("first")))
     return gone.groupBy("row").agg(F.array_sort(F.collect_set("line")).alias("removed"))
 

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foulee.operators.lookup import left_lookup
+from foulee.session import staged
+
+_BUCKETS = 1 << 16
 
 
 def deal(rows: DataFrame, keys: Sequence[str], spread_by: Sequence[str], tile: int) -> DataFrame:
@@ -16,9 +19,15 @@ def deal(rows: DataFrame, keys: Sequence[str], spread_by: Sequence[str], tile: i
     A key with more than ``tile`` rows is cut into tiles by a hash of ``spread_by``; each row goes to every
     group that holds its tile, and a group has two tiles at most. Other keys stay one group.
     """
-    crowded = rows.groupBy(*keys).count().filter(F.col("count") > tile)
+    # Few buckets are counted first, so that a task sends a bounded number of counts; only keys of crowded
+    # buckets are counted one by one. Both tables are written, so Spark knows how small they are.
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(_BUCKETS))
+    full = rows.groupBy(bucket.alias("bucket")).count().filter(F.col("count") > tile).select("bucket")
+    full = staged(full, "crowded_buckets")
+    counted = rows.select(*keys, bucket.alias("bucket")).join(full, "bucket", "left_semi").groupBy(*keys).count()
+    crowded = counted.filter(F.col("count") > tile)
     crowded = crowded.select(*keys, F.ceil(F.col("count") / tile).cast("int").alias("tiles"))
-    dealt = left_lookup(rows, crowded, keys, unique=True)
+    dealt = left_lookup(rows, staged(crowded, "crowded_keys"), keys, unique=True)
     own = F.when(F.col("tiles").isNull(), 0).otherwise(F.pmod(F.xxhash64(*spread_by), F.col("tiles")).cast("int"))
     dealt = dealt.select(*rows.columns, own.alias("own"), F.coalesce("tiles", F.lit(1)).alias("tiles"))
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")

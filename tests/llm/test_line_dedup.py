@@ -51,6 +51,8 @@ def test_against_brute_force(spark):
     want = slow(rows)
     assert got(df) == want
     assert got(df, tile=7) == want
+    assert got(df, paired=2) == want
+    assert got(df, tile=11, paired=3) == want
 
 
 def test_cases(spark):
