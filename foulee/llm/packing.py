@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from foulee.llm.frames import annotate, map_arrow, read
-from foulee.llm.word_bpe import WordEncoder
+from foulee.llm.word_bpe import encoder
 from foulee.operators.lookup import left_lookup
 from foulee.session import staged
 
@@ -52,9 +52,9 @@ def pieces(
 ) -> DataFrame:
     """Columns ``keep`` and one row per piece of each text's ids and the end id, numbered by task (part)
     and, within it, by length (nth)."""
-    fields = [T.StructField("pieces", T._parse_datatype_string(f"array<{_PIECE}>"))]
+    fields = [T.StructField("pieces", T.DataType.fromDDL(f"array<{_PIECE}>"))]
     if with_ids:
-        fields.append(T.StructField("ids", T._parse_datatype_string("array<array<int>>")))
+        fields.append(T.StructField("ids", T.DataType.fromDDL("array<array<int>>")))
     kind = pa.list_(
         pa.struct(
             [("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("part", pa.int32()), ("nth", pa.int64())]
@@ -62,13 +62,13 @@ def pieces(
     )
 
     def make():
-        encoder, part = WordEncoder(tokenizer), TaskContext.get().partitionId()
+        encode, part = encoder(tokenizer).encode, TaskContext.get().partitionId()
         seen = [0] * (max_tokens + 1)
         end = int(end_id).to_bytes(4, "little")
 
         def work(texts):
             rows, ids = [], []
-            for found in encoder.encode([(text or b"").decode() for text in texts]):
+            for found in encode([(text or b"").decode() for text in texts]):
                 found += end
                 total = len(found) // 4
                 own = []

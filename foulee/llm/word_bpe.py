@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -19,8 +20,8 @@ _MARKS = r"!-&(-/:-@\[-`{-~"
 _ODD = re.compile(rf"[^A-Za-zÀ-ÖØ-öø-ÿ0-9{_MARKS}{_SPACE}]")
 _PIECE = re.compile(rf"[a-zß-öø-ÿ]+|[0-9]|[{_MARKS}]+")
 _CHUNK = re.compile(rf"[^{_SPACE}]+")
-#: Entries that a worker remembers of chunks and of pieces.
-CACHED = 300_000
+#: Entries that a worker remembers of chunks and of pieces: about 200 bytes each.
+CACHED = 500_000
 _JOINED = 1000
 
 
@@ -70,3 +71,9 @@ class WordEncoder:
         self._learn(new.difference(self.chunks))
         known = self.chunks.__getitem__
         return [b"".join(map(known, chunks)) for chunks in cut]
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str) -> WordEncoder:
+    """The worker's encoder, whose memory serves all tasks that the worker runs."""
+    return WordEncoder(path)
