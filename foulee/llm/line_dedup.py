@@ -10,6 +10,8 @@ or more of their sets of words. Equal sets collapse by a hash of the set, so onl
 * Length and positional filters: of the pairs in a word's list, those whose sizes and positions leave room
   for enough common words. Then a signature: each word flips one of 64 bits, so two sets differ in at
   least as many words as their signatures differ in bits.
+* An entry carries its set's true first position, so of two entries the later one is the line that would go,
+  whatever the order in which tasks read the rows.
 * A list of more than ``TILE`` entries is dealt over pairs of tiles. In a list of more than ``PAIRED`` entries
   a line first meets only its earliest candidate, which settles most lines of large similar groups; lines
   that this does not settle then meet all others of such lists. No candidate is left out.
@@ -191,23 +193,24 @@ def position() -> Column:
 
 
 _KEYS = ["word", "low", "high"]
-_COLUMNS = [*_KEYS, "doc", "h1", "signature", "size", "place", "open"]
+_COLUMNS = [*_KEYS, "h1", "signature", "size", "place", "open"]
+_FIRST = ["no_id", "doc_id", "row", "line"]
 
 
 def _candidates(threshold: float, paired: int | None):
-    """Pairs of sets (h1, the one further down; e1) of a list that pass the filters, and whether both are of
-    one document (its lines are in no order here). If a list has more than ``paired``
-    entries, only the first candidate of each set, and one row with the word itself as ``long_list``."""
+    """Pairs of sets (h1, the later one; e1) of a list, in order of the sets' first lines, that pass the filters. If a
+    list has more than ``paired`` entries, only the first candidate of each set, and one row with the word itself as
+    ``long_list``."""
 
     def runs(table: pa.Table) -> pa.RecordBatch:
-        word, low, high, doc, h1, signature, size, place, open_ = (table.column(i).to_numpy() for i in range(9))
+        word, low, high, h1, signature, size, place, open_ = (table.column(i).to_numpy() for i in range(8))
         change = (word[1:] != word[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
         run = np.concatenate(([0], np.cumsum(change)))
-        # A set that several tasks have met has an entry from each; its first one counts.
+        # A set that several tasks have met has an equal entry from each.
         order = np.lexsort((np.arange(len(run)), h1, run))
         repeated = np.zeros(len(run), bool)
         repeated[order[1:]] = (run[order][1:] == run[order][:-1]) & (h1[order][1:] == h1[order][:-1])
-        word, doc, h1, signature, size, place, open_, run = (x[~repeated] for x in (word, doc, h1, signature, size, place, open_, run))
+        word, h1, signature, size, place, open_, run = (x[~repeated] for x in (word, h1, signature, size, place, open_, run))
         n = len(run)
         end = np.searchsorted(run, run, side="right")
         length = end - np.searchsorted(run, run, side="left")
@@ -220,7 +223,7 @@ def _candidates(threshold: float, paired: int | None):
             fits = np.minimum(size[i] - place[i], size[j] - place[j]) >= need
             fits &= np.minimum(size[i], size[j]) >= threshold * np.maximum(size[i], size[j]) - 1e-9
             fits &= np.bitwise_count(signature[i] ^ signature[j]) <= size[i] + size[j] - 2 * need
-            fits &= open_[j] | ((doc[i] == doc[j]) & open_[i])
+            fits &= open_[j]
             out.append(np.stack([i[fits], j[fits]]))
         earlier, later = np.concatenate(out, axis=1)
         many = np.zeros(0, int)
@@ -236,10 +239,9 @@ def _candidates(threshold: float, paired: int | None):
             [
                 pa.array(np.concatenate([h1[later], none])),
                 pa.array(np.concatenate([h1[earlier], none])),
-                pa.array(np.concatenate([doc[later] == doc[earlier], none == 1])),
                 pa.array([None] * len(later) + many.tolist(), pa.int64()),
             ],
-            ["h1", "e1", "one_document", "long_list"],
+            ["h1", "e1", "long_list"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,12 +263,12 @@ def _candidates(threshold: float, paired: int | None):
 
 
 def candidates(entries: DataFrame, threshold: float, paired: int | None, tile: int) -> DataFrame:
-    """Pairs of sets from ``entries`` (word, doc, h1, signature, size, place, open), each once, with the number of
-    lists in which they met."""
+    """Pairs of sets from ``entries`` (word, h1, the set's first position, signature, size, place, open), each once, with
+    the number of lists in which they met."""
     dealt = deal(entries, ["word"], ["h1"], tile)
-    dealt = dealt.repartition(*_KEYS).sortWithinPartitions(*_KEYS, "doc", "h1").select(*_COLUMNS)
-    pairs = map_arrow(dealt, _candidates(threshold, paired), "h1 long, e1 long, one_document boolean, long_list long")
-    return pairs.groupBy("h1", "e1", "one_document", "long_list").agg(F.count(F.lit(1)).alias("lists"))
+    dealt = dealt.repartition(*_KEYS).sortWithinPartitions(*_KEYS, *_FIRST).select(*_COLUMNS)
+    pairs = map_arrow(dealt, _candidates(threshold, paired), "h1 long, e1 long, long_list long")
+    return pairs.groupBy("h1", "e1", "long_list").agg(F.count(F.lit(1)).alias("lists"))
 
 
 def _words_of(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
@@ -294,16 +296,15 @@ def _words_of(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) ->
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, docs: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
-    """Of each pair (h1, e1) that is similar enough, the set whose first line is the later one."""
+    """h1, the later set, of the pairs (h1, e1) that are similar enough."""
     wanted = pairs.select(F.explode(F.array("h1", "e1")).alias("h1")).distinct()
     wanted = staged(wanted.join(sets, "h1").select("h1", "first.row", "first.line"), "wanted_lines")
-    words = staged(_words_of(docs, id_col, text_col, wanted).join(sets.select("h1", "first"), "h1"), "line_words")
-    other = words.select(F.col("h1").alias("e1"), F.col("words").alias("others"), F.col("first").alias("earlier"))
+    words = staged(_words_of(docs, id_col, text_col, wanted), "line_words")
+    other = words.select(F.col("h1").alias("e1"), F.col("words").alias("others"))
     both = left_lookup(left_lookup(pairs, words, ["h1"], unique=True), other, ["e1"], unique=True)
     common = F.size(F.array_intersect("words", "others"))
     jaccard = common / (F.size("words") + F.size("others") - common)
-    later = F.when(F.col("first") > F.col("earlier"), F.col("h1")).otherwise(F.col("e1"))
-    return both.filter(jaccard >= threshold - 1e-9).select(later.alias("h1")).distinct()
+    return both.filter(jaccard >= threshold - 1e-9).select("h1").distinct()
 
 
 def removed_lines(
@@ -318,17 +319,17 @@ def removed_lines(
         named = lines.groupBy("h1").agg(F.min(position()).alias("first"), F.min("h2").alias("low"), F.max("h2").alias("high"))
         sets = staged(named, "line_sets")
         clashes, salt = not sets.filter("low <> high").isEmpty(), salt + 1
-    entries = lines.filter(F.size("words") > 0).select(
-        F.inline(F.arrays_zip("words", "places")), F.coalesce("doc_id", F.lit((1 << 63) - 1)).cast("long").alias("doc"),
-        "h1", "signature", "size",
-    ).withColumnsRenamed({"words": "word", "places": "place"})
+    listed = lines.filter(F.size("words") > 0).select("h1", "signature", "size", "words", "places")
+    listed = staged(listed.join(sets.select("h1", "first.*"), "h1"), "prefixes")
+    entries = listed.select(F.inline(F.arrays_zip("words", "places")), "h1", *_FIRST, "signature", "size")
+    entries = entries.withColumnsRenamed({"words": "word", "places": "place"})
     met = staged(candidates(entries.withColumn("open", F.lit(True)), threshold, paired, tile), "candidates")
     pairs = met.filter("long_list is null")
     # The likeliest partner first: most sets need no other.
     best = pairs.groupBy("h1").agg(F.max_by("e1", F.struct("lists", "e1")).alias("e1"))
     best = staged(best, "best_candidates")
     first = staged(_similar(best, sets, docs, id_col, text_col, threshold), "similar")
-    rest = pairs.join(first.withColumn("gone", F.lit(True)), "h1", "left").filter("gone is null or one_document")
+    rest = pairs.join(first.withColumn("gone", F.lit(True)), "h1", "left").filter("gone is null")
     rest = staged(rest.select("h1", "e1").join(best, ["h1", "e1"], "left_anti"), "other_candidates")
     second = _similar(rest, sets, docs, id_col, text_col, threshold)
     found = staged(first.unionByName(second).distinct(), "similar")

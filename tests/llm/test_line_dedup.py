@@ -75,3 +75,23 @@ def test_whole_table(spark):
     for r in found:
         assert r.removed_lines == ",".join(map(str, want[r.doc_id])) and r.n_removed == len(want[r.doc_id])
         assert r.n_lines == len(texts[r.doc_id].split("\n"))
+
+
+def chained(rng, n):
+    """Rows of lines in chains of neighbours, similar to the next but not to the one after, with exact repeats."""
+    chains = [[{f"c{c}w{i}" for i in range(k, k + 18)} for k in range(0, 12, 2)] for c in range(6)]
+    lines = [" ".join(sorted(line)) for chain in chains for line in chain]
+    return [(i, "\n".join(rng.choice(lines) for _ in range(rng.choice([1, 1, 2])))) for i in range(n)]
+
+
+def test_tasks_that_read_ids_in_any_order(spark):
+    first, middle, last = (" ".join(f"w{i}" for i in range(k, k + 18)) for k in (0, 2, 4))
+    rows = [(100, middle), (50, last), (5, middle), (1, first), (None, first)]
+    assert slow(rows) == {1: [], 5: [0], 50: [0], 100: [0], None: [0]}
+    assert got(spark.createDataFrame(rows, SCHEMA).coalesce(1)) == slow(rows)
+    rng = random.Random(1)
+    rows = chained(rng, 40)
+    want = slow(rows)
+    assert got(spark.createDataFrame(sorted(rows, reverse=True), SCHEMA).coalesce(2)) == want
+    rng.shuffle(rows)
+    assert got(spark.createDataFrame(rows, SCHEMA).coalesce(2), paired=2) == want
