@@ -5,7 +5,7 @@ over size classes: at most ``max_tokens`` of documents and of gaps, whatever the
 documents and the gaps in order of size and sweeps for the successor of each length, the smallest gap that
 holds it. Where several lengths want one gap the longest document goes first, and within a length the rank
 decides. Gaps are updated and the rounds go on until every document has its place; lengths without a gap
-open sequences. What a round decides are intervals: documents of one length with ranks from ``a`` on go to
+open sequences. A length fills a sequence before it takes the next of equal gap. What a round decides are intervals: documents of one length with ranks from ``a`` on go to
 the sequences from ``s`` on, one each, at offset ``o``.
 
 The rows stay where they are: the tokenizing task numbers the rows of each length as it writes them, sums
@@ -103,6 +103,18 @@ def plan(counts: dict[int, int], size: int = MAX_TOKENS) -> np.ndarray:
         ranks[length] += number
         waiting[length] -= number
 
+    def fill(length: int, first: int, many: int, gap: int) -> tuple[int, int]:
+        """Fills sequences of one gap, one after the other; how many of them, and the largest gap left in those."""
+        full, rest = divmod(waiting[length], gap // length)
+        if full >= many:
+            full, rest = many, 0
+        for i in range(gap // length if full else rest):
+            place(length, first, full + (i < rest), size - gap + i * length)
+        left = [(gap % length, first, full)] * (full > 0) + [(gap - rest * length, first + full, 1)] * (rest > 0)
+        for own, start, number in left:
+            freed.setdefault(own, []).append((start, number))
+        return full + (rest > 0), max(own for own, *_ in left)
+
     while any(waiting.values()):
         # Successor sweep: longest first, so that the larger of two claims to a gap wins.
         open_gaps, claims = sorted(gaps), []
@@ -118,24 +130,15 @@ def plan(counts: dict[int, int], size: int = MAX_TOKENS) -> np.ndarray:
                 for length, _ in wanted:
                     if length <= largest:
                         break  # it may fit what has just been opened
-                    each = size // length
-                    number = -(-waiting[length] // each)
-                    layers, rest = divmod(waiting[length], number)
-                    for i in range(layers + (rest > 0)):
-                        place(length, opened, number if i < layers else rest, i * length)
-                    for first, many, used in ((opened, rest, layers + 1), (opened + rest, number - rest, layers)):
-                        if many:
-                            freed.setdefault(size - used * length, []).append((first, many))
-                            largest = max(largest, size - used * length)
+                    number, left = fill(length, opened, -(-waiting[length] // (size // length)), size)
+                    largest = max(largest, left)
                     opened += number
                 continue
             runs = gaps.pop(gap)
             for length, _ in wanted:
                 while runs and waiting[length]:
                     first, many = runs.pop()
-                    took = min(many, waiting[length])
-                    place(length, first, took, size - gap)
-                    freed.setdefault(gap - length, []).append((first, took))
+                    took, _ = fill(length, first, many, gap)
                     if took < many:
                         runs.append((first + took, many - took))
             if runs:

@@ -66,6 +66,15 @@ def test_plan_is_valid_and_as_tight_as_best_fit():
     assert check_plan({3: 1}, 10) == 1 and check_plan({5: 4, 10: 2}, 10) == 4 and len(packing.plan({}, 10)) == 0
 
 
+def test_a_length_fills_sequences_before_it_takes_more():
+    assert check_plan({600: 4, 480: 3}, 2048) == best_fit_decreasing({600: 4, 480: 3}, 2048) == 2
+    assert check_plan({14: 2, 2: 3, 4: 1}, 20) == best_fit_decreasing({14: 2, 2: 3, 4: 1}, 20) == 2
+    rng = random.Random(5)
+    for _ in range(300):
+        counts = {rng.randint(1, 40): rng.randint(1, 9) for _ in range(rng.randint(1, 6))}
+        assert check_plan(counts, 40) <= best_fit_decreasing(counts, 40) + 1
+
+
 ODD = [
     "", " \n\t ", "Plain words, here; 42 times.", "l'eau d'été don't I'LL", "Straße ÀÉÎ œuvre ﬁn Ω Σίσυφος ΣΑΣ", "été ñ",
     "a b c\x1cd\x85e", "<|endoftext|> and <|startoftext|>", "日本語 テスト", "x" * 5000, "😀 ok 👍🏽!", "1234 5.6e-7 a1b2", "A" * 40 + "!?" * 40,
