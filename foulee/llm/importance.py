@@ -10,7 +10,7 @@ gathered is bounded by tasks and buckets, not by n-grams, and no frequent n-gram
 of all documents; its last key is found by counting in a few passes over ranges of keys, without a global sort.
 
 Noise comes from a hash of the id and the text, so a run can be repeated. A long text has a weight of large size either
-way, as importance weights have; ``per_gram`` weighs the mean instead.
+way, as importance weights have.
 
 Cases: null and empty texts have log weight 0. Ids without a label, and labels without a document, are not target; a
 document with any good label is target once. Without target documents every log weight is 0. Rows that repeat are each
