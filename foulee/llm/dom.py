@@ -11,11 +11,19 @@ _TAG = re.compile(
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-#: Elements whose content is no text of the page.
+#: Elements whose content is raw text up to the close tag, and no text of the page.
 _RAW = {
     tag: re.compile(rf"</{tag}\b[^>]*>?", re.I)
-    for tag in ("script", "style", "template", "noscript", "iframe", "svg", "textarea", "title", "select", "object")
+    for tag in ("script", "style", "noscript", "iframe", "textarea", "title")
 }
+#: The next tag of these, to tell a close tag that is an element's own from one of a later element.
+_NEXT = {tag: re.compile(rf"<(/?){tag}\b[^>]*>?", re.I) for tag in _RAW}
+#: Elements with markup inside that is no text of the page. One without a close tag of its own is left out instead.
+_DROPPED = frozenset("svg object select template".split())
+#: Readings of a page in which more such tags turn out to have no close tag, before all of them are left out.
+_READINGS = 5
+#: A slash that ends an unquoted value closes nothing.
+_UNQUOTED = re.compile(r"""=\s*[^\s"'=][^\s"'>]*\Z""")
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split()
 )
@@ -43,9 +51,27 @@ class Node:
             parent.children.append(self)
 
 
+def _self_closed(attributes: str) -> bool:
+    return attributes.endswith("/") and not _UNQUOTED.search(attributes)
+
+
 def parse(page: str) -> list[Node]:
     """Nodes in page order, parents first. Leaves, with tag ``#text``, hold decoded text in single spaces."""
+    left_out: set[int] | None = set()
+    for _ in range(_READINGS):
+        nodes, unclosed = _read(page, left_out)
+        if not unclosed:
+            return nodes
+        left_out |= unclosed
+    return _read(page, None)[0]
+
+
+def _read(page: str, left_out: set[int] | None) -> tuple[list[Node], set[int]]:
+    """The nodes without those in dropped elements, and where dropped elements begin that have no close tag of their
+    own. Tags of such elements that begin at ``left_out`` (None: all) are passed over."""
     root = Node("#root", None)
+    dropped: list[tuple[int, int]] = []  # depth and start of open dropped elements
+    unclosed: set[int] = set()
     nodes, open_, links, run, linked, at = [root], [root], [0], [], 0, 0
 
     def add_text(raw: str) -> None:
@@ -60,14 +86,18 @@ def parse(page: str) -> list[Node]:
         nonlocal linked
         if run:
             text = " ".join("".join(run).split())
-            if text:
+            if text and not dropped:
                 leaf = Node("#text", open_[-1])
                 leaf.text, leaf.link = text, min(linked, len(text))
                 nodes.append(leaf)
             run.clear()
         linked = 0
 
-    def close(depth: int) -> None:
+    def close(depth: int, own: bool = False) -> None:
+        while dropped and dropped[-1][0] >= depth:
+            at_depth, start = dropped.pop()
+            if not (own and at_depth == depth):
+                unclosed.add(start)
         del open_[depth:], links[depth:]
 
     while True:
@@ -89,12 +119,23 @@ def parse(page: str) -> list[Node]:
         if found[1]:
             for depth in range(len(open_) - 1, 0, -1):
                 if open_[depth].tag == tag or (tag in _HEADINGS and open_[depth].tag in _HEADINGS):
-                    close(depth)
+                    close(depth, own=True)
                     break
             continue
         if tag in _RAW:
-            end = _RAW[tag].search(page, at)
-            at = end.end() if end else len(page)
+            if tag == "noscript" or dropped:
+                # Its content may also be markup: nothing is skipped without a close tag of its own.
+                end = None if dropped and _self_closed(found[3]) else _NEXT[tag].search(page, at)
+                at = end.end() if end and end[1] else at
+            else:
+                end = _RAW[tag].search(page, at)
+                at = end.end() if end else len(page)
+            continue
+        if tag in _DROPPED:
+            if left_out is not None and found.start() not in left_out and not (tag == "svg" and _self_closed(found[3])):
+                dropped.append((len(open_), found.start()))
+                open_.append(Node(tag, None))
+                links.append(links[-1])
             continue
         if open_[-1].tag == "p":
             close(len(open_) - 1)
@@ -104,12 +145,14 @@ def parse(page: str) -> list[Node]:
                 if open_[depth].tag in own:
                     close(depth)
                     break
-                if open_[depth].tag in within:
+                if open_[depth].tag in within or open_[depth].tag in _DROPPED:
                     break
         node = Node(tag, open_[-1], found[3])
-        nodes.append(node)
+        if not dropped:
+            nodes.append(node)
         if tag not in _VOID:
             open_.append(node)
             links.append(links[-1])
     flush()
-    return nodes
+    unclosed.update(start for _, start in dropped)
+    return nodes, unclosed

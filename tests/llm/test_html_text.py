@@ -34,6 +34,23 @@ def test_parse_reads_broken_markup():
     assert leaves("<script>never closed <p>x") == [] and len(parse("<div>" * 30000 + "deep")) == 30002
 
 
+def test_svg_object_select_template_and_noscript():
+    """With a close tag of their own they go with all they hold; without one they take nothing else along."""
+    want = [("a", "p"), ("b", "p"), ("c", "p")]
+    for tag in ("svg", "object", "select", "template", "noscript"):
+        for inside in ("x", "<b>x</b> y", "<g><text>x</text></g>", "<option>x<option>y", "<p>x<div>y</div>", "<style>p{}</style>x"):
+            assert leaves(f"<p>a<{tag} k='/'>{inside}</{tag}>b</p><p>c") == want, (tag, inside)
+        for odd in (f"<{tag}>", f"<{tag} k='1' />", f"<{tag}/>", f"<{tag} k=/>"):
+            assert leaves(f"{odd}<p>a<p>b{odd}</p><div>{odd}</div><p>c</p>") == want
+            assert leaves(f"<nav>{odd}</nav><p>a</p><p>b</p><p>c</p><{tag}>x</{tag}>") == want
+    for tag in ("svg", "object", "select", "template"):
+        assert leaves(f"<{tag}>1<{tag}>2</{tag}>3</{tag}><p>a<p>b<p>c") == want
+        assert leaves(f"<nav><{tag}></nav><p>a<p>b<p>c</{tag}>") == want
+    assert leaves("<svg k=1/>x</svg><p>a<p>b<p>c") == want and leaves("<svg><style/><title>x</svg><p>a<p>b<p>c") == want
+    assert leaves("<li>a<object><li>x</object>b") == [("a", "li"), ("b", "li")]
+    assert leaves("<svg><template>" * 3000 + "<p>a<p>b<p>c") == want
+
+
 def test_trees_agree_with_spark(spark):
     """The arrays give the same classes as the model that they were read from."""
     rng, rows = random.Random(1), []
@@ -87,6 +104,14 @@ def test_a_page_of_every_kind_of_boilerplate(trees):
     ]
 
 
+def test_article_after_unclosed_elements(trees):
+    article = "<article><h1>Title</h1><p>First paragraph, with text.</p>{}<p>Last paragraph of this article, which is long enough.</p></article>"
+    page = "<html><body><nav>{}<a href=a>Home</a></nav>" + article + "<footer>&copy; me</footer></body></html>"
+    want = ["Title", "First paragraph, with text.", "Last paragraph of this article, which is long enough."]
+    for odd in ("", "<svg class='i'/>", "<object data=x />", "<select><svg>", "<template>", "<noscript>"):
+        assert text_of(page.format(odd, odd), trees) == want, odd
+
+
 def test_whole_table_and_cases(spark, trees):
     path = "/root/testdata/sf0.001"
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{path}/pages.parquet").collect()}
