@@ -1,5 +1,6 @@
 import datetime as dt
 from decimal import Decimal
+from inspect import signature
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -159,6 +160,10 @@ def test_kafka_options():
     assert kafka.feed_options("h:1", "t", "earliest", 10)["maxOffsetsPerTrigger"] == "10"
 
 
+def test_a_feed_is_read_in_bounded_batches():
+    assert signature(kafka.read_feed).parameters["per_trigger"].default == kafka.PER_TRIGGER
+
+
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
