@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foulee.llm import decontaminate, exact_dedup, html_text, importance, language, line_dedup, packing, pii, simhash, token_counts, whitening
+from foulee.llm import (
+    decontaminate, exact_dedup, html_text, importance, language, line_dedup, packing, pii,
+    simhash, spelling, token_counts, whitening,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
@@ -19,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": packing.op8_packing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_line_dedup": line_dedup.op10_line_dedup,
+    "op11_spelling": spelling.op11_spelling,
     "op13_whitening": whitening.op13_whitening,
 }
 
