@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from foulee.llm import (
-    decontaminate, exact_dedup, html_text, importance, language, line_dedup, packing, pii,
+    chat, decontaminate, exact_dedup, html_text, importance, language, line_dedup, packing, pii,
     simhash, spelling, token_counts, whitening,
 )
 
@@ -23,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_line_dedup": line_dedup.op10_line_dedup,
     "op11_spelling": spelling.op11_spelling,
+    "op12_chat": chat.op12_chat,
     "op13_whitening": whitening.op13_whitening,
 }
 
