@@ -14,6 +14,8 @@ from foulee.functions.numeric import number_or_null
 # The operations that announce an activity, and the default sport name.
 ANNOUNCED_OPS = ("c", "r")
 DEFAULT_SPORT = "Sport"
+#: Why an event is unusable.
+MOTIFS = ("json", "payload", "after", "type_sport", "temps_ecoule_s", "commentaire")
 
 
 def _kind(field: Column) -> Column:
@@ -33,7 +35,9 @@ def _whole_seconds(kind: Column, value: Column) -> Column:
     )
 
 
-def decode_events(events: DataFrame, scale: int = 2, signed: bool = False) -> DataFrame:
+def decode_events(
+    events: DataFrame, scale: int = 2, signed: bool = False, activity_id: bool = False
+) -> DataFrame:
     """Every non-null event as activity fields plus ``motif``, which says why it is unusable.
 
     Events keep their JSON kinds, as a missing key, an explicit null, a number and a text differ: a
@@ -42,6 +46,7 @@ def decode_events(events: DataFrame, scale: int = 2, signed: bool = False) -> Da
     operations, a row that is no object has motif ``after``; a sport that is no text ``type_sport``; a
     duration that is no whole number ``temps_ecoule_s``; a comment that is no text ``commentaire``.
     An empty row or another operation announces nothing. Tombstones (null values) are dropped.
+    ``activity_id`` adds the row's own id, as text, as ``id_activite``.
     """
     # Exploding the one parsed value keeps later filters above it: pushed below a plain column they
     # would parse the text again for every condition.
@@ -53,8 +58,10 @@ def decode_events(events: DataFrame, scale: int = 2, signed: bool = False) -> Da
         return F.try_variant_get(F.col("_json"), path, kind)
 
     names = ["id_salarie", "type_sport", "distance_m", "temps_ecoule_s", "commentaire"]
+    own_id = [get("$.payload.after.id", "string").alias("id_activite")] if activity_id else []
     fields = parsed.select(
         *events.columns,
+        *own_id,
         F.coalesce(_kind(F.col("_json")).startswith("OBJECT"), F.lit(False)).alias("_objet"),
         _kind(get("$.payload")).alias("_payload"),
         get("$.payload.op", "string").alias("op"),
@@ -106,6 +113,7 @@ def decode_events(events: DataFrame, scale: int = 2, signed: bool = False) -> Da
         F.col("_secondes").alias("temps_ecoule_s"),
         F.when(comment == "STRING", F.col("_commentaire")).alias("commentaire"),
         reason.alias("motif"),
+        *[F.col("id_activite") for _ in own_id],
     )
 
 

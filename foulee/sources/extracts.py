@@ -5,7 +5,7 @@ The extracts are CSV (or anything that gives a frame of strings with the same he
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -106,9 +106,13 @@ def load_activities(raw: DataFrame) -> DataFrame:
     )
 
 
-def with_surrogate_id(df: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:
+def with_surrogate_id(
+    df: DataFrame, order: Sequence[str], partitions: int | None = None, first: int | Callable[[int], int] = 1
+) -> DataFrame:
     """Number the rows 1..n in ``order``, then by the remaining columns; equal rows in any order.
 
+    ``first`` is the first number, or gives it for the number of rows (see ``sinks.ids``).
+
     A window without partitions would number everything in one task. Instead the rows are range
     partitioned and sorted (a running number breaks ties, so even a third of all rows being equal
     spreads over many ranges), staged once in the shared folder, and every partition is shifted by
@@ -130,11 +134,13 @@ def with_surrogate_id(df: DataFrame, order: Sequence[str], partitions: int | Non
     sizes = ordered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_lignes"))
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_lignes").over(before), F.lit(0)).alias("_avant"))
+    if callable(first):
+        first = first(ordered.count())
     row = F.col("_position").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (
         ordered.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")  # one row per partition
-        .select(*df.columns, (F.col("_avant") + row + 1).alias("id"))
+        .select(*df.columns, (F.col("_avant") + row + first).alias("id"))
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from decimal import Decimal
 
@@ -26,10 +27,13 @@ from foulee.operators import (
 from foulee.operators.lookup import keep_one, left_lookup
 from foulee.plans import medallion
 from foulee.session import scratch_path
+from foulee.sinks.counts import read_counts
+from foulee.sinks.ids import append_numbered
 from foulee.sinks.lake import rewrite_table, write_table
+from foulee.sinks.rerating import rerate_table
 from foulee.sources import extracts
-from foulee.sources.lake import Lake, read_table
-from foulee.streaming.feeds import read_outbox, start_declaration_feed, start_message_feed
+from foulee.sources.lake import Lake, read_between, read_newest, read_table
+from foulee.streaming.feeds import Once, read_outbox, start_count_feed, start_declaration_feed, start_message_feed
 from foulee.testbed import tables as t
 from foulee.testbed.tables import LENIENT, RULES
 
@@ -325,6 +329,85 @@ def lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, lake, "gold/avantages")
 
 
+def rerate_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Another rate for the stored benefits: files without a bonus stay as they are."""
+    lake = Lake(scratch_path(spark, "lac"))
+    write_table(clean_employees(spark, sf_dir), lake, "silver/salaries")
+    staff = read_table(spark, lake, "silver/salaries")
+    benefits = gold_benefits(spark, sf_dir).repartitionByRange(8, "prime_sportive", "id_salarie")
+    write_table(benefits, lake, "gold/avantages", track=["id_salarie"])
+    rerate_table(spark, lake, "gold/avantages", staff, APPLIED_RATE, unique=True)
+    return read_table(spark, lake, "gold/avantages")
+
+
+def latest_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest activities of a lake table clustered by their start, from the few files that may hold them."""
+    lake = Lake(scratch_path(spark, "lac"))
+    write_table(
+        t.activities(spark, sf_dir).repartitionByRange(16, "date_debut"), lake, "bronze/activites", track=["date_debut"]
+    )
+    return ranking.latest_activities(
+        read_table(spark, lake, "bronze/activites"),
+        clean_employees(spark, sf_dir),
+        newest=lambda n: read_newest(spark, lake, "bronze/activites", "date_debut", n),
+    )
+
+
+def recent_from_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benefits over the activities of the last year, of which only the files of that year are read."""
+    lake = Lake(scratch_path(spark, "lac"))
+    write_table(
+        enrich_activities(spark, sf_dir).repartitionByRange(16, "date_debut"), lake, "silver/activites", track=["date_debut"]
+    )
+    since = t.AS_OF.replace(year=t.AS_OF.year - 1)
+    recent = read_between(spark, lake, "silver/activites", "date_debut", low=dt.datetime.combine(since, dt.time()))
+    return gold.gold_benefits(employee_distances(spark, sf_dir), recent, RULES, only_valid=True)
+
+
+def loads_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The activity extract loaded twice, the second load tried again: every row has an id of its own."""
+    lake = Lake(scratch_path(spark, "lac"))
+    raw = t.through_csv(t.activity_extract(spark, sf_dir), extracts.ACTIVITY_HEADERS)
+    for load in ("janvier", "février", "février"):
+        append_numbered(extracts.load_activities(raw), ["id_salarie", "date_debut"], lake, "bronze/activites", load)
+    return read_table(spark, lake, "bronze/activites")
+
+
+def counts_from_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Activity counts kept up to date from change events, batch by batch."""
+    lake = Lake(scratch_path(spark, "lac"))
+    feed = start_count_feed(
+        t.activity_change_stream(spark, sf_dir), lake, "gold/compteurs", scratch_path(spark, "suivi"), "activites",
+        trigger={"availableNow": True}, once=Once("ts", "60 days"),
+    )
+    feed.awaitTermination()
+    return read_counts(spark, lake, "gold/compteurs")
+
+
+def _feed_twice(spark: SparkSession, sf_dir: str) -> str:
+    """The message feed over a snapshot that is taken twice; the outbox it filled."""
+    outbox, lake = scratch_path(spark, "boite"), Lake(scratch_path(spark, "lac"))
+    write_table(clean_employees(spark, sf_dir), lake, "silver/salaries")
+    feed = start_message_feed(
+        t.snapshot_twice(spark, sf_dir), lambda: read_table(spark, lake, "silver/salaries"), outbox,
+        scratch_path(spark, "suivi"), trigger={"availableNow": True}, once=Once("ts", "60 days"),
+    )
+    feed.awaitTermination()
+    return outbox
+
+
+def messages_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each activity is announced once, although every event comes twice and in several batches."""
+    outbox = _feed_twice(spark, sf_dir)
+    return read_outbox(spark, f"{outbox}/messages").select("event_id", "message")
+
+
+def feed_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the message feed observed while it wrote its batches, added up."""
+    measures = read_outbox(spark, f"{_feed_twice(spark, sf_dir)}/mesures")
+    return measures.groupBy("mesure").agg(F.sum("nombre").alias("nombre"))
+
+
 def _comparable(query: Query) -> Query:
     """The query with decimals as doubles and dates as ISO text: types on which every engine's
     client library agrees, so that results can be compared value by value."""
@@ -384,5 +467,12 @@ QUERIES: dict[str, Query] = {
         reference_fallback,
         reference_file,
         lake_roundtrip,
+        rerate_in_place,
+        latest_from_lake,
+        recent_from_lake,
+        loads_numbered,
+        counts_from_feed,
+        messages_once,
+        feed_measures,
     )
 }

@@ -247,6 +247,9 @@ _TABLES = {
                   WHEN event_id % 31 = 0 OR event_id % 43 = 0 THEN 'temps_ecoule_s'
                   END AS motif
         FROM cdc_all WHERE NOT tombe AND NOT casse AND NOT nul AND NOT vide AND op IN ('c', 'r')""",
+    "rejected": """
+        SELECT event_id, CASE WHEN casse THEN 'json' ELSE 'payload' END AS motif FROM cdc_all WHERE casse OR nul
+        UNION ALL SELECT event_id, motif FROM cdc_announced WHERE motif IS NOT NULL""",
     "cdc_text": """
         SELECT event_id,
                CASE WHEN contains(type_sport, 'Course') OR contains(type_sport, 'Run')
@@ -329,6 +332,31 @@ _STAFF = """* REPLACE (CAST(salaire_brut AS DOUBLE) AS salaire_brut,
     CAST(date_naissance AS VARCHAR) AS date_naissance, CAST(date_embauche AS VARCHAR) AS date_embauche)"""
 
 # The tables a query needs besides itself are found by name, so the order here is free.
+_LATEST = """
+        SELECT id, prenom || ' ' || nom AS salarie, type_sport,
+               ((CAST(distance_m AS BIGINT) + 50) // 100) / 10::DOUBLE AS km,
+               ((temps_ecoule_s + 30) // 60)::DOUBLE AS minutes,
+               commentaire, CAST(date_debut AS VARCHAR) AS date
+        FROM act JOIN emp_clean USING (id_salarie)
+        ORDER BY date_debut DESC NULLS LAST, id DESC NULLS LAST, id_salarie NULLS FIRST, type_sport NULLS FIRST,
+                 distance_m NULLS FIRST, temps_ecoule_s NULLS FIRST, commentaire NULLS FIRST LIMIT 10"""
+
+_LOADED = """
+        SELECT *, row_number() OVER (ORDER BY id_salarie NULLS FIRST, date_debut NULLS FIRST, type_sport NULLS FIRST,
+                   distance_m NULLS FIRST, temps_ecoule_s NULLS FIRST, date_fin NULLS FIRST,
+                   commentaire NULLS FIRST) AS id
+        FROM (SELECT id_salarie, type_sport, CASE WHEN distance_m >= 0 THEN distance_m END AS distance_m,
+                     temps_ecoule_s, date_trunc('minute', date_debut) AS date_debut,
+                     date_trunc('minute', date_fin) AS date_fin, commentaire FROM act)"""
+
+_VALID_ONLY = """
+        SELECT b.* REPLACE (COALESCE(n.nb, 0) AS nb_activites,
+                            CASE WHEN n.nb >= 15 THEN 5 ELSE 0 END::INTEGER AS jours_bienetre)
+        FROM benefits b
+        LEFT JOIN (SELECT id_salarie, count(id) AS nb FROM act_rich
+                   WHERE activite_valide AND date_debut >= DATE '2000-08-02' GROUP BY id_salarie) n
+          USING (id_salarie)"""
+
 _QUERIES = {
     "clean_employees": f"SELECT {_STAFF} FROM emp_clean",
     "clean_activities": "SELECT * FROM act_clean",
@@ -368,13 +396,8 @@ _QUERIES = {
                            WHERE type_sport IS NOT NULL AND temps_ecoule_s > 0 AND date_debut IS NOT NULL)
                        GROUP BY id_salarie)
                    GROUP BY id_salarie) n USING (id_salarie)""",
-    "gold_benefits_valid_only": """
-        SELECT b.* REPLACE (COALESCE(n.nb, 0) AS nb_activites,
-                            CASE WHEN n.nb >= 15 THEN 5 ELSE 0 END::INTEGER AS jours_bienetre)
-        FROM benefits b
-        LEFT JOIN (SELECT id_salarie, count(id) AS nb FROM act_rich
-                   WHERE activite_valide AND date_debut >= DATE '2000-08-02' GROUP BY id_salarie) n
-          USING (id_salarie)""",
+    "gold_benefits_valid_only": _VALID_ONLY,
+    "recent_from_lake": _VALID_ONLY,
     "gold_benefits_lenient": _LENIENT,
     "lenient_run": _LENIENT,
     "top_bonuses": "SELECT * FROM benefits ORDER BY montant_prime DESC, id_salarie LIMIT 5",
@@ -416,14 +439,8 @@ _QUERIES = {
               FROM payroll, (VALUES (3, 0.03), (5, 0.05), (8, 0.08), (10, 0.10), (15, 0.15)) AS r(pct, taux))""",
     "apply_rate": _RERATED.format(rate="0.08"),
     "restore_rate": _RERATED.format(rate="0.05"),
-    "latest_activities": """
-        SELECT id, prenom || ' ' || nom AS salarie, type_sport,
-               ((CAST(distance_m AS BIGINT) + 50) // 100) / 10::DOUBLE AS km,
-               ((temps_ecoule_s + 30) // 60)::DOUBLE AS minutes,
-               commentaire, CAST(date_debut AS VARCHAR) AS date
-        FROM act JOIN emp_clean USING (id_salarie)
-        ORDER BY date_debut DESC NULLS LAST, id DESC NULLS LAST, id_salarie NULLS FIRST, type_sport NULLS FIRST,
-                 distance_m NULLS FIRST, temps_ecoule_s NULLS FIRST, commentaire NULLS FIRST LIMIT 10""",
+    "latest_activities": _LATEST,
+    "latest_from_lake": _LATEST,
     "latest_messages": """
         SELECT id, id_salarie, type_sport, message FROM act_text
         ORDER BY date_debut DESC NULLS LAST, id DESC NULLS LAST, id_salarie NULLS FIRST, type_sport NULLS FIRST,
@@ -431,13 +448,11 @@ _QUERIES = {
     "activity_messages": "SELECT id, id_salarie, type_sport, message FROM act_text",
     "load_employees": f"SELECT {_STAFF} FROM emp",
     "load_declared_sports": "SELECT * FROM declared",
-    "load_activities": """
-        SELECT *, row_number() OVER (ORDER BY id_salarie NULLS FIRST, date_debut NULLS FIRST, type_sport NULLS FIRST,
-                   distance_m NULLS FIRST, temps_ecoule_s NULLS FIRST, date_fin NULLS FIRST,
-                   commentaire NULLS FIRST) AS id
-        FROM (SELECT id_salarie, type_sport, CASE WHEN distance_m >= 0 THEN distance_m END AS distance_m,
-                     temps_ecoule_s, date_trunc('minute', date_debut) AS date_debut,
-                     date_trunc('minute', date_fin) AS date_fin, commentaire FROM act)""",
+    "load_activities": _LOADED,
+    "loads_numbered": f"""
+        SELECT * FROM ({_LOADED})
+        UNION ALL BY NAME
+        SELECT * REPLACE (id + (SELECT count(*) FROM act) AS id) FROM ({_LOADED})""",
     "declaration_errors": """
         SELECT l_orderkey, l_linenumber, id_salarie, type_sport, dist_max IS NOT NULL AS avec_distance,
                nb_erreurs, erreurs
@@ -460,14 +475,28 @@ _QUERIES = {
                temps_ecoule_s, commentaire
         FROM cdc_announced WHERE motif IS NULL""",
     "cdc_messages": "SELECT * FROM cdc_text",
-    "cdc_rejects": """
-        SELECT event_id, CASE WHEN casse THEN 'json' ELSE 'payload' END AS motif FROM cdc_all WHERE casse OR nul
-        UNION ALL SELECT event_id, motif FROM cdc_announced WHERE motif IS NOT NULL""",
+    "cdc_rejects": "SELECT * FROM rejected",
     "cdc_stream": "SELECT * FROM cdc_text",
     "declaration_stream": "SELECT * FROM decl_ok",
     "reference_fallback": _SPORT_COUNTS,
     "reference_file": _SPORT_COUNTS,
     "lake_roundtrip": _RERATED.format(rate="0.08"),
+    "rerate_in_place": _RERATED.format(rate="0.08"),
+    "messages_once": "SELECT * FROM cdc_text",
+    # Every rejected event comes twice and at two times: each is kept.
+    "feed_measures": """
+        SELECT 'messages' AS mesure, count(*) AS nombre FROM cdc_text
+        UNION ALL SELECT 'rejets', 2 * count(*) FROM rejected
+        UNION ALL SELECT 'rejets:' || m, 2 * count(motif)
+        FROM (VALUES ('json'), ('payload'), ('after'), ('type_sport'), ('temps_ecoule_s'), ('commentaire')) AS v(m)
+             LEFT JOIN rejected ON motif = m GROUP BY m""",
+    "counts_from_feed": """
+        SELECT id_salarie, count(id) AS nb_activites, count(*) AS nb_lignes
+        FROM (SELECT CASE WHEN event_id % 97 <> 0 THEN event_id END AS id,
+                     CASE WHEN event_id % 89 = 0 THEN NULL WHEN event_id % 5 = 0 THEN user_id + 1 ELSE user_id END
+                     AS id_salarie
+              FROM events WHERE event_id % 7 <> 0)
+        GROUP BY id_salarie""",
 }
 
 

@@ -7,7 +7,7 @@ like: which values are missing, wrong, repeated or spelled differently.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -207,8 +207,9 @@ def _big_endian_double(x: Column) -> Column:
     return F.lpad(F.hex(bits), 16, "0")
 
 
-def envelope(event: DataFrame) -> DataFrame:
-    """Rows of the events table, batch or streaming, as change events ``event_id, value``."""
+def envelope(event: DataFrame, keep: Sequence[str] = (), identified: bool = False) -> DataFrame:
+    """Rows of the events table, batch or streaming, as change events ``event_id, value`` and the columns ``keep``.
+    ``identified``: rows of activities have an id of their own."""
     k = F.col("event_id")
     metres = (F.col("value") * 100).cast("decimal(18,0)").cast("long")
     cents = F.hex(metres * 100)
@@ -242,6 +243,8 @@ def envelope(event: DataFrame) -> DataFrame:
         .when(k % 8 != 0, F.concat(F.lit('"temps_ecoule_s": '), (k * 37 % 7000).cast("string"))),
         F.when(k % 3 == 0, F.lit('"commentaire": "bravo"')).when(k % 3 == 1, F.lit('"commentaire": "  "')),
     ]
+    if identified:
+        fields = [F.concat(F.lit('"id": '), k.cast("string")), *fields]
     after = F.when(k % 37 == 0, F.lit("null")).otherwise(
         F.concat(F.lit("{"), F.concat_ws(", ", *fields), F.lit("}"))
     )
@@ -249,7 +252,7 @@ def envelope(event: DataFrame) -> DataFrame:
     text = F.when(k % 41 == 0, F.lit('{"payload": null}')).otherwise(text)
     value = F.when(k % 13 == 0, F.lit(None)).when(k % 11 == 0, F.substring(text, 1, 40)).otherwise(text)
     # exploded so that filters on the text do not build it a second time
-    return event.select("event_id", F.explode(F.array(value)).alias("value"))
+    return event.select("event_id", *keep, F.explode(F.array(value)).alias("value"))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,6 +264,55 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope(table_stream(spark, sf_dir, "events"))
 
 
+def _file_stream(rows: Sequence[DataFrame], per_batch: int) -> DataFrame:
+    """Frames written one after the other as files, arriving as a stream in batches of so many files."""
+    spark, path = rows[0].sparkSession, scratch_path(rows[0].sparkSession, "arrivees")
+    for part in rows:
+        part.write.mode("append").parquet(path)
+    return spark.readStream.schema(rows[0].schema).option("maxFilesPerTrigger", per_batch).parquet(path)
+
+
+def snapshot_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change events as a stream of several batches in which the connector takes its snapshot again: a day later
+    every row comes once more, created ones as read."""
+    first = envelope(table(spark, sf_dir, "events"), ["ts"], identified=True)
+    again = F.regexp_replace("value", '"op": "c"', '"op": "r"')
+    later = first.select("event_id", (F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"), again.alias("value"))
+    return _file_stream([first.repartition(3), later.repartition(3)], 2)
+
+
+def activity_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as the life of activities: ``event_id, ts, value``. Each is created or read by a snapshot, a
+    fourth are read again by another one, a fifth move to the next employee, a seventh are deleted; some have no id, some
+    no employee, and some events are broken."""
+    k = F.col("event_id")
+    text = lambda *parts: F.concat(*[F.lit(part) if isinstance(part, str) else part for part in parts])
+    row = lambda salarie: text(
+        '{"id": ', F.when(k % 97 == 0, "null").otherwise(k.cast("string")), ', "id_salarie": ',
+        F.when(k % 89 == 0, "null").otherwise(salarie.cast("string")), "}",
+    )
+    change = lambda op, before, after: text(f'{{"payload": {{"op": "{op}", "before": ', before, ', "after": ', after, "}}")
+    user, moved = F.col("user_id"), k % 5 == 0
+    last = F.when(moved, user + 1).otherwise(user)
+    null = F.lit("null")
+    created = F.when(k % 10 == 3, change("r", null, row(user))).otherwise(change("c", null, row(user)))
+    values = F.array(
+        created,
+        F.when((k % 4 == 0) & (k % 97 != 0), change("r", null, row(user))),
+        F.when(moved, change("u", row(user), row(user + 1))),
+        F.when(k % 7 == 0, change("d", row(last), null)),
+        F.when(k % 31 == 0, change("u", null, row(user))),
+        F.when(k % 37 == 0, F.substring(created, 1, 30)),
+    )
+    rows = table(spark, sf_dir, "events").select("event_id", "ts", F.posexplode(values).alias("etape", "value"))
+    return rows.select("event_id", F.timestamp_add("HOUR", F.col("etape"), F.col("ts")).alias("ts"), "value")
+
+
+def activity_change_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, arriving in several batches."""
+    return _file_stream([activity_changes(spark, sf_dir).repartition(5)], 2)
+
+
 def _extract(df: DataFrame, headers: dict[str, str], **texts: Column) -> DataFrame:
     """A domain table back under its extract's headers, every value as text."""
     return df.select(*[texts.get(c, F.col(c).cast("string")).alias(header) for header, c in headers.items()])
