@@ -28,5 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_decontaminate": decontaminate.ORACLE_OP5,
     "op9_exact_dedup": exact_dedup.ORACLE_OP9,
+    "op12_chat": chat.ORACLE_OP12,
 }

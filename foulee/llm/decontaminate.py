@@ -204,3 +204,34 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
         (F.size("hits") > 0).alias("contaminated"),
     )
+
+
+ORACLE_OP5 = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
+), sized AS (
+  SELECT item_id, words, least(10, len(words)) AS width FROM item WHERE len(words) > 0
+), wanted AS (
+  SELECT DISTINCT CAST(item_id AS VARCHAR) AS item_id, width, array_to_string(words[i : i + width - 1], ' ') AS gram
+  FROM (SELECT *, unnest(range(1, len(words) - width + 2)) AS i FROM sized)
+), placed AS (
+  SELECT doc_id, width, i, array_to_string(words[i : i + width - 1], ' ') AS gram
+  FROM (SELECT doc_id, words, width, unnest(range(1, len(words) - width + 2)) AS i
+        FROM doc, (SELECT DISTINCT width FROM wanted) WHERE len(words) >= width)
+), hit AS (
+  SELECT DISTINCT doc_id, width, i, item_id FROM placed JOIN wanted USING (width, gram)
+), hit_words AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + width)) AS place FROM hit) GROUP BY doc_id
+), hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+  FROM (SELECT DISTINCT doc_id, item_id FROM hit WHERE item_id IS NOT NULL) GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""

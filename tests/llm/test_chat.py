@@ -41,7 +41,7 @@ def test_query_against_brute_force(spark):
     found = QUERIES["op12_chat"](spark, SF_DIR)
     assert dict(found.dtypes) == {
         "conv_id": "bigint", "n_turns": "bigint", "turns_sha256": "string", "loss_chars": "bigint", "loss_sha256": "string",
-        "formatted_chars": "bigint", "n_attachments": "bigint", "text_tokens": "bigint", "expanded_tokens": "bigint",
+        "formatted_chars": "bigint",
     }
     assert _found(found) == _expected(rows)
     # The formatted conversations themselves: their lengths, and texts under the mask.
