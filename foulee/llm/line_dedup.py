@@ -1,44 +1,45 @@
 """Line deduplication by an exact set-similarity join of lines' words.
 
 A line goes if an earlier line (by document id, then line number) has a Jaccard similarity of ``threshold``
-or more of their sets of words. Equal sets collapse by a hash of the set, so only different sets are joined:
+or more of their sets of words. Equal sets are one set with the position of its first line, so only different
+sets are joined:
 
 * Rarity: words are counted in a sketch of ``SKETCH`` counters (a fixed size, so it can be broadcast). Any
   order of words gives the same result; counts that are too high only lengthen lists. A word whose counter
   is 1 is in no other line and needs no entry.
-* Prefix filter: two similar sets share one of their ``size - ceil(threshold * size) + 1`` rarest words.
-* Length and positional filters: of the pairs in a word's list, those whose sizes and positions leave room
-  for enough common words. Then a signature: each word flips one of 64 bits, so two sets differ in at
-  least as many words as their signatures differ in bits.
-* An entry carries its set's true first position, so of two entries the later one is the line that would go,
-  whatever the order in which tasks read the rows.
-* A list of more than ``TILE`` entries is dealt over pairs of tiles. In a list of more than ``PAIRED`` entries
-  a line first meets only its earliest candidate, which settles most lines of large similar groups; lines
-  that this does not settle then meet all others of such lists. No candidate is left out.
-* Verification: words of both lines are fetched, of the documents that a Bloom filter lets through, and compared; for
-  each set the partner with which it shares most lists, then, if that was not similar enough, all the others.
-
-Words are runs of letters and digits, ASCII lower-cased, as 64-bit hashes. Sets have 64-bit names too; should two
-sets ever share one (a second hash tells), everything is named anew with another salt.
+* Prefix filter: two similar sets share one of their ``size - ceil(threshold * size) + 1`` rarest words. A task gives a
+  set's prefix words once, with the earliest position at which it met the set.
+* Lists: an entry of a word's list is a set's name, position, size, the word's place and a signature. Entries of one set
+  from several tasks become one with the earliest position, so of two entries the later one is the line that would go,
+  whatever the order in which tasks read the rows. A list of more than ``TILE`` entries is dealt over pairs of tiles.
+* Length and positional filters: of the pairs in a list, those whose sizes and places leave room for enough common
+  words. A list is in order of size, so pairs of too different sizes are never made. Then the signature: each word flips
+  one of 64 bits, so two sets differ in at least as many words as their signatures differ in bits.
+* First a set meets only its ``paired`` earliest candidates: nearly always one is similar, which settles the set. Sets
+  that this does not settle then meet all others, in the lists that hold such a set. No candidate is left out.
+* Verification: the words of the sets concerned are read from the texts again (a Bloom filter of positions says which
+  lines) and compared with those of their candidates, at most ``SHARD`` with one copy of a candidate's words.
+
+Words are runs of letters and digits, ASCII lower-cased, as 64-bit hashes. Sets have names of 96 bits.
 
 Cases: null text has no lines; a line without words always stays. Rows that repeat with the same id and text
-are one document and get equal results. A null id comes last in order. An empty table gives an empty result.
+are one document and get equal results. A null id comes last in order. An empty table gives an empty result. Texts and
+lines may be of any length: all work on a text grows with its length.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foulee.llm import bloom
-from foulee.llm.frames import annotate, col, fresh, map_arrow, read, slices
+from foulee.llm.frames import col, fresh, map_arrow, read, ship_package, slices
+from foulee.llm.line_words import by_line, mix, tokens
 from foulee.llm.tiles import deal
 from foulee.operators.lookup import left_lookup
 from foulee.session import staged
@@ -46,55 +47,25 @@ from foulee.session import staged
 THRESHOLD = 0.8
 SKETCH = 1 << 22
 TILE = 4096
-PAIRED = 256
-_CACHED = 500_000
+PAIRED = 1
+SHARD = 128
+#: Names and positions that a task remembers; more only repeat entries.
+_REMEMBERED = 500_000
 #: Entries that are compared at a time, if lists are not longer.
 _ROWS = 1 << 17
 
-_WORD = bytes(
-    b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b == 0x0A else b + 32 if 0x41 <= b <= 0x5A else 0x20
-    for b in range(256)
-)
 
-
-class Lines:
-    """Words of lines as hashes, each line's distinct and in order of hash."""
-
-    def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
-
-    def __call__(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Hashes of each line's distinct words; and of each line with words its text's place, number and size."""
-        if len(self.known) > _CACHED:
-            self.known.clear()
-        doc, number, sizes, words = [], [], [], []
-        for i, text in enumerate(texts):
-            for j, line in enumerate((text or b"").translate(_WORD).split(b"\n")):
-                own = set(line.split())
-                if own:
-                    doc.append(i)
-                    number.append(j)
-                    sizes.append(len(own))
-                    words += own
-        for word in set(words).difference(self.known):
-            self.known[word] = xxhash.xxh64_intdigest(word)
-        hashes = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
-        return hashes, np.array(doc, int), np.array(number, int), np.array(sizes, int)
+def row_key(id_col: str, text_col: str) -> Column:
+    """Tells rows of one id apart."""
+    return F.xxhash64(col(id_col), col(text_col))
 
 
-def rarest_first(hashes: np.ndarray, sizes: np.ndarray, often: np.ndarray) -> np.ndarray:
-    """Order of the words within lines: by how often they occur, then by hash."""
-    line = np.repeat(np.arange(len(sizes)), sizes)
-    key = np.minimum(often, (1 << 24) - 1).astype(np.uint64) << np.uint64(40) | hashes >> np.uint64(24)
-    order = np.lexsort((key, line))
-    tied = (key[order][1:] == key[order][:-1]) & (line[order][1:] == line[order][:-1])
-    return np.lexsort((hashes, key, line)) if tied.any() else order
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("row"), col(text_col).alias("text"))
 
 
-def _mix(h: np.ndarray, salt: int) -> np.ndarray:
-    h = (h ^ np.uint64(salt)) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(32))
+def _texts(batch: pa.RecordBatch, at: int) -> list[bytes | None]:
+    return batch.column(at).cast(pa.binary()).to_pylist()
 
 
 def least_overlap(a, b, threshold: float):
@@ -108,11 +79,7 @@ def sketch(docs: DataFrame, text_col: str) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SKETCH, np.int64)
         for batch in slices(batches, 0):
-            words: Counter[bytes] = Counter()
-            for text in batch.column(0).cast(pa.binary()).to_pylist():
-                words.update((text or b"").translate(_WORD).split())
-            places = [xxhash.xxh64_intdigest(word) & (SKETCH - 1) for word in words]
-            np.add.at(counts, np.array(places, np.int64), np.fromiter(words.values(), np.int64, len(words)))
+            np.add.at(counts, (tokens(_texts(batch, 0))[0] & np.uint64(SKETCH - 1)).astype(np.int64), 1)
         used = np.flatnonzero(counts)
         for at in range(0, len(used), 1 << 16):
             some = used[at : at + (1 << 16)]
@@ -127,122 +94,147 @@ def sketch(docs: DataFrame, text_col: str) -> np.ndarray:
     return out
 
 
-_LINE = "struct<line:int,h1:long,h2:long,size:int,signature:long,words:array<long>,places:array<int>>"
-
-
-def _names(hashes: np.ndarray, starts: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Two hashes of each line's set and its signature."""
-    if not len(starts):
-        return (np.zeros(0, np.int64),) * 3
-    sums = [np.add.reduceat(_mix(hashes, salt * 2 + i), starts).view(np.int64) for i in (1, 2)]
-    bits = np.bitwise_xor.reduceat(np.uint64(1) << (_mix(hashes, 3) >> np.uint64(58)), starts)
-    return sums[0], sums[1], bits.view(np.int64)
-
-
-def lines_of(docs: DataFrame, id_col: str, text_col: str, threshold: float, counts, salt: int) -> DataFrame:
-    """A row for each line with words: doc_id, row (a hash of id and text), line, h1 and h2 (the set), size,
-    signature, and the prefix words with their places. Sets that a task has met before have no prefix words:
-    one entry is enough. ``counts`` is the sketch, as a broadcast."""
-    kind = T.DataType.fromDDL(f"array<{_LINE}>")
-
-    def make():
-        lines, frequent, met = Lines(), counts.value, set()
-
-        def work(texts):
-            hashes, doc, number, sizes = lines(texts)
-            often = frequent[(hashes & np.uint64(SKETCH - 1)).astype(np.int64)]
-            order = rarest_first(hashes, sizes, often)
-            hashes, often, starts = hashes[order], often[order], np.cumsum(sizes) - sizes
-            h1, h2, signature = _names(hashes, starts, salt)
-            line = np.repeat(np.arange(len(starts)), sizes)
-            place = np.arange(len(hashes)) - starts[line]
-            prefix = sizes - np.ceil(threshold * sizes - 1e-9).astype(int) + 1
-            new = np.zeros(len(starts), bool)
-            for i, name in enumerate(h1.tolist()):
-                if name not in met:
-                    met.add(name)
+class Sets:
+    """The sets of words of a slice's lines: words in order of rarity, and what names a set."""
+
+    def __init__(self, texts: list[bytes | None], counts: np.ndarray | None = None) -> None:
+        hashes, line, first = tokens(texts)
+        often = np.zeros(len(hashes), np.int64)
+        if counts is not None:
+            often = counts[(hashes & np.uint64(SKETCH - 1)).astype(np.int64)].astype(np.int64)
+        self.words, line, self.often = by_line(hashes, line, often)
+        self.starts = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))[: len(line)]
+        self.sizes = np.diff(np.append(self.starts, len(line)))
+        used = line[self.starts]
+        self.text = np.searchsorted(first, used, side="right") - 1
+        self.number = used - first[self.text]
+
+    def words_of(self, i: int) -> np.ndarray:
+        return self.words[self.starts[i] : self.starts[i] + self.sizes[i]]
+
+    def names(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Two hashes of each set, 64 and 32 bits, and its signature."""
+        if not len(self.starts):
+            return np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)
+        h1, h2 = (np.add.reduceat(mix(self.words, i), self.starts) for i in (1, 2))
+        bits = np.bitwise_xor.reduceat(np.uint64(1) << (mix(self.words, 3) >> np.uint64(58)), self.starts)
+        return h1.view(np.int64), (h2 >> np.uint64(32)).astype(np.uint32).view(np.int32), bits.view(np.int64)
+
+
+def _place(row: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Hash of a line's position."""
+    return mix(mix(row.view(np.uint64), 11) + number.astype(np.uint64), 12).view(np.int64)
+
+
+_SET = "h1 long, h2 int"
+_LINE = f"row long, line int, {_SET}, size int, signature long, words array<long>, places array<int>"
+
+
+def lines_of(docs: DataFrame, id_col: str, text_col: str, threshold: float, counts) -> DataFrame:
+    """A row for each line with words: doc_id, row, line, the set's name, size and signature, and the prefix words with
+    their places. Sets that a task has met at an earlier position have no prefix words: one entry is enough. ``counts``
+    is the sketch, as a broadcast."""
+    docs = _keyed(docs, id_col, text_col)
+    schema = T.StructType([docs.schema["doc_id"], *T.DataType.fromDDL(_LINE)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: dict[tuple, tuple] = {}
+        for batch in slices(batches, 2):
+            found = Sets(_texts(batch, 2), counts.value)
+            h1, h2, signature = found.names()
+            at = pa.array(found.text)
+            doc_id, row = batch.column(0).take(at), batch.column(1).take(at)
+            if len(met) > _REMEMBERED:
+                met.clear()
+            new = np.zeros(len(h1), bool)
+            where = zip(doc_id.to_pylist(), row.to_pylist(), found.number.tolist())
+            for i, (name, (own, key, number)) in enumerate(zip(zip(h1.tolist(), h2.tolist()), where)):
+                position = (own is None, own, key, number)
+                before = met.get(name)
+                if before is None or position < before:
+                    met[name] = position
                     new[i] = True
-            listed = (place < prefix[line]) & (often > 1) & new[line]
-            offsets = np.concatenate(([0], np.cumsum(np.bincount(line[listed], minlength=len(starts)))))
+            line = np.repeat(np.arange(len(h1)), found.sizes)
+            place = np.arange(len(found.words)) - found.starts[line]
+            prefix = found.sizes - np.ceil(threshold * found.sizes - 1e-9).astype(int) + 1
+            listed = (place < prefix[line]) & (found.often > 1) & new[line]
+            offsets = np.concatenate(([0], np.cumsum(np.bincount(line[listed], minlength=len(h1)))))
             offsets = pa.array(offsets.astype(np.int32))
-            entries = pa.StructArray.from_arrays(
+            yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(number.astype(np.int32)), pa.array(h1), pa.array(h2), pa.array(sizes.astype(np.int32)), pa.array(signature),
-                    pa.ListArray.from_arrays(offsets, pa.array(hashes[listed].view(np.int64))),
+                    doc_id, row, pa.array(found.number.astype(np.int32)), pa.array(h1), pa.array(h2),
+                    pa.array(found.sizes.astype(np.int32)), pa.array(signature),
+                    pa.ListArray.from_arrays(offsets, pa.array(found.words[listed].view(np.int64))),
                     pa.ListArray.from_arrays(offsets, pa.array(place[listed].astype(np.int32))),
                 ],
-                ["line", "h1", "h2", "size", "signature", "words", "places"],
+                schema.names,
             )
-            per_doc = np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=len(texts)))))
-            return [pa.ListArray.from_arrays(pa.array(per_doc.astype(np.int32)), entries)]
 
-        return work
-
-    keyed = docs.select(col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("row"), col(text_col).alias("text"))
-    found = annotate(keyed, "text", ["doc_id", "row"], [T.StructField("lines", kind)], make)
-    return found.select("doc_id", "row", F.inline("lines"))
-
-
-def row_key(id_col: str, text_col: str) -> Column:
-    return F.xxhash64(col(id_col), col(text_col))
+    return map_arrow(docs, run, schema)
 
 
-def position() -> Column:
+def position(prefix: str = "") -> Column:
     """Order of lines: by id, null last; rows of one id by their hash."""
-    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "line")
+    names = [f"{prefix}{name}" for name in ("doc_id", "row", "line")]
+    return F.struct(F.col(names[0]).isNull().alias("no_id"), *[F.col(n).alias(n.removeprefix(prefix)) for n in names])
 
 
 _KEYS = ["word", "low", "high"]
-_COLUMNS = [*_KEYS, "h1", "signature", "size", "place", "open"]
-_FIRST = ["no_id", "doc_id", "row", "line"]
+_ENTRY = ["h1", "h2", "signature", "size", "place", "open", "doc_id", "row", "line"]
+
+
+def _first_of_each(run: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+    """Places of the first row of each set in a list."""
+    order = np.lexsort((np.arange(len(run)), h2, h1, run))
+    a, b = order[1:], order[:-1]
+    new = np.concatenate(([True], (run[a] != run[b]) | (h1[a] != h1[b]) | (h2[a] != h2[b])))[: len(order)]
+    return np.sort(order[new])
 
 
 def _candidates(threshold: float, paired: int | None):
-    """Pairs of sets (h1, the later one; e1) of a list, in order of the sets' first lines, that pass the filters. If a
-    list has more than ``paired`` entries, only the first candidate of each set, and one row with the word itself as
-    ``long_list``."""
+    """Pairs of sets of a list that pass the filters: the later one and its earliest candidates, ``paired`` at most, with
+    ``more`` if it has others. Rows come in order of lists and, within a list, of positions."""
 
-    def runs(table: pa.Table) -> pa.RecordBatch:
-        word, low, high, h1, signature, size, place, open_ = (table.column(i).to_numpy() for i in range(8))
+    def runs(batch: pa.Table) -> pa.RecordBatch:
+        word, low, high = (batch.column(i).to_numpy() for i in range(3))
         change = (word[1:] != word[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
         run = np.concatenate(([0], np.cumsum(change)))
-        # A set that several tasks have met has an equal entry from each.
-        order = np.lexsort((np.arange(len(run)), h1, run))
-        repeated = np.zeros(len(run), bool)
-        repeated[order[1:]] = (run[order][1:] == run[order][:-1]) & (h1[order][1:] == h1[order][:-1])
-        word, h1, signature, size, place, open_, run = (x[~repeated] for x in (word, h1, signature, size, place, open_, run))
-        n = len(run)
+        h1, h2, signature, size, place, open_ = (batch.column(i).to_numpy() for i in range(3, 9))
+        first = _first_of_each(run, h1, h2)
+        # In order of size within a list; a row's place in the table still tells which of two is earlier.
+        first = first[np.lexsort((first, size[first], run[first]))]
+        run, signature, size, place, open_ = (x[first] for x in (run, signature.view(np.uint64), size, place, open_))
         end = np.searchsorted(run, run, side="right")
-        length = end - np.searchsorted(run, run, side="left")
-        signature = signature.view(np.uint64)
-        rest, out = np.arange(n), [np.zeros((2, 0), int)]
-        for s in range(1, int((end - np.arange(n)).max(initial=0))):
+        reach = np.floor(size / threshold + 1e-9)
+        rest, out = np.arange(len(run)), [np.zeros((2, 0), np.int64)]
+        for s in range(1, len(run)):
             rest = rest[end[rest] > rest + s]
+            rest = rest[size[rest + s] <= reach[rest]]
+            if not len(rest):
+                break
             i, j = rest, rest + s
             need = least_overlap(size[i], size[j], threshold)
+            fits = np.bitwise_count(signature[i] ^ signature[j]) <= size[i] + size[j] - 2 * need
+            i, j, need = i[fits], j[fits], need[fits]
             fits = np.minimum(size[i] - place[i], size[j] - place[j]) >= need
-            fits &= np.minimum(size[i], size[j]) >= threshold * np.maximum(size[i], size[j]) - 1e-9
-            fits &= np.bitwise_count(signature[i] ^ signature[j]) <= size[i] + size[j] - 2 * need
-            fits &= open_[j]
-            out.append(np.stack([i[fits], j[fits]]))
-        earlier, later = np.concatenate(out, axis=1)
-        many = np.zeros(0, int)
+            i, j = i[fits], j[fits]
+            later = np.where(first[i] > first[j], i, j)
+            pair = np.stack([later, i + j - later])
+            out.append(pair[:, open_[later]])
+        later, earlier = np.concatenate(out, axis=1)
+        order = np.lexsort((first[earlier], later))
+        later, earlier = later[order], earlier[order]
+        starts = np.flatnonzero(np.concatenate(([True], later[1:] != later[:-1])))[: len(later)]
+        sizes = np.diff(np.append(starts, len(later)))
+        nth, more = np.arange(len(later)) - np.repeat(starts, sizes), np.repeat(sizes, sizes)
         if paired is not None:
-            order = np.lexsort((earlier, later))
-            earlier, later = earlier[order], later[order]
-            first = np.concatenate(([True], later[1:] != later[:-1]))[: len(later)]
-            keep = first | (length[later] <= paired)
-            many = np.unique(word[later[~keep]])
-            earlier, later = earlier[keep], later[keep]
-        none = np.zeros(len(many), np.int64)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate([h1[later], none])),
-                pa.array(np.concatenate([h1[earlier], none])),
-                pa.array([None] * len(later) + many.tolist(), pa.int64()),
-            ],
-            ["h1", "e1", "long_list"],
-        )
+            kept = nth < paired
+            later, earlier, more = later[kept], earlier[kept], more[kept] > paired
+        else:
+            more = np.zeros(len(later), bool)
+        sides = [pa.array(first[side]) for side in (later, earlier)]
+        columns = [batch.column(i).combine_chunks().take(side) for side in sides for i in (3, 4, 9, 10, 11)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(more)], [*_X, *_E, "more"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -262,106 +254,241 @@ def _candidates(threshold: float, paired: int | None):
     return run
 
 
+_X = ["h1", "h2", "doc_id", "row", "line"]
+_E = [f"e_{name}" for name in _X]
+
+
 def candidates(entries: DataFrame, threshold: float, paired: int | None, tile: int) -> DataFrame:
-    """Pairs of sets from ``entries`` (word, h1, the set's first position, signature, size, place, open), each once, with
-    the number of lists in which they met."""
+    """Later and earlier sets (name and position each) of the pairs under any word, and ``more``. ``entries`` has word and
+    the columns of an entry."""
     dealt = deal(entries, ["word"], ["h1"], tile)
-    dealt = dealt.repartition(*_KEYS).sortWithinPartitions(*_KEYS, *_FIRST).select(*_COLUMNS)
-    pairs = map_arrow(dealt, _candidates(threshold, paired), "h1 long, e1 long, long_list long")
-    return pairs.groupBy("h1", "e1", "long_list").agg(F.count(F.lit(1)).alias("lists"))
+    order = [F.col("doc_id").isNull(), "doc_id", "row", "line"]
+    dealt = dealt.repartition(*_KEYS).sortWithinPartitions(*_KEYS, *order).select(*_KEYS, *_ENTRY)
+    kinds = dict(zip(_X, ("long", "integer", None, "long", "integer")))
+    schema = T.StructType()
+    for name in (*_X, *_E):
+        kind = kinds[name.removeprefix("e_")]
+        schema = schema.add(name, entries.schema["doc_id"].dataType if kind is None else kind)
+    return map_arrow(dealt, _candidates(threshold, paired), schema.add("more", "boolean"))
+
+
+def _wanted_places(deliveries: DataFrame) -> np.ndarray | None:
+    """A Bloom filter of the positions whose words are wanted, 32 MB at most; None if there are none."""
+    bits = bloom.size_for(deliveries.count())
+    block, own = _probes(F.col("place"), bits)
+    positions = deliveries.select(block.alias("block"), F.explode(F.array(*own)).alias("bit"))
+    found = positions.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bitmap")).collect()
+    out = np.zeros((bits // bloom.BLOCK_BITS, bloom.BLOCK_BITS // 8), np.uint8)
+    for row in found:
+        out[row["block"]] = np.frombuffer(row["bitmap"], np.uint8)
+    return out if found else None
+
+
+def _probes(place: Column, bits: int) -> tuple[Column, list[Column]]:
+    """A position's block and bits; the hash of a position is used as it is."""
+    block = F.shiftrightunsigned(place, 34) % F.lit(max(1, bits // bloom.BLOCK_BITS))
+    return block, [F.shiftright(place, 15 * i).bitwiseAND(F.lit(bloom.BLOCK_BITS - 1)) for i in range(bloom.PROBES)]
+
+
+def _among(place: np.ndarray, bitmaps: np.ndarray) -> np.ndarray:
+    block = ((place.view(np.uint64) >> np.uint64(34)) % np.uint64(len(bitmaps))).astype(np.int64)
+    found = np.ones(len(place), bool)
+    for i in range(bloom.PROBES):
+        bit = (place >> (15 * i)) & (bloom.BLOCK_BITS - 1)
+        found &= (bitmaps[block, bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+    return found
+
+
+def _words_at(docs: DataFrame, id_col: str, text_col: str, deliveries: DataFrame) -> DataFrame | None:
+    """Positions (place, doc_id, row, line) and words of the lines that may be wanted, each once a task."""
+    filters = _wanted_places(deliveries)
+    if filters is None:
+        return None
+    docs = _keyed(docs, id_col, text_col)
+    bitmaps = docs.sparkSession.sparkContext.broadcast(filters)
+    schema = T.StructType([docs.schema["doc_id"], *T.DataType.fromDDL("row long, line int, place long, words array<long>")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()
+        for batch in slices(batches, 2):
+            found = Sets(_texts(batch, 2))
+            rows = batch.column(1).to_numpy()[found.text]
+            place = _place(rows, found.number)
+            if len(sent) > _REMEMBERED:
+                sent.clear()
+            chosen = [i for i in np.flatnonzero(_among(place, bitmaps.value)).tolist() if int(place[i]) not in sent]
+            sent.update(place[chosen].tolist())
+            if not chosen:
+                continue
+            lists = [found.words_of(i) for i in chosen]
+            ends = np.concatenate(([0], np.cumsum([len(own) for own in lists])))
+            words = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate(lists).view(np.int64)))
+            at = np.array(chosen)
+            columns = [
+                batch.column(0).take(pa.array(found.text[at])), pa.array(rows[at]), pa.array(found.number[at].astype(np.int32)),
+                pa.array(place[at]), words,
+            ]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    return map_arrow(docs, run, schema)
+
+
+def _places(pairs: DataFrame) -> DataFrame:
+    """``pairs`` with the hashes of both positions."""
+    schema = T.StructType([*pairs.schema]).add("place", "long").add("e_place", "long")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = dict(zip(batch.schema.names, batch.columns))
+            made = [pa.array(_place(columns[f"{p}row"].to_numpy(), columns[f"{p}line"].to_numpy())) for p in ("", "e_")]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], schema.names)
+
+    return map_arrow(pairs, run, schema)
 
-def _words_of(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
-    """h1 and all words of the lines ``wanted`` (h1, row, line), a written table."""
-    by_row = staged(wanted.groupBy("row").agg(F.collect_list(F.struct("line", "h1")).alias("wanted")), "wanted_rows")
-    keyed = docs.select(row_key(id_col, text_col).alias("row"), col(text_col).alias("text"))
-    kind = T.DataType.fromDDL("array<struct<line:int,words:array<long>>>")
 
-    def make():
-        lines = Lines()
+_GROUP = ["e_h1", "e_h2", "shard"]
 
-        def work(texts):
-            hashes, doc, number, sizes = lines(texts)
-            offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
-            words = pa.ListArray.from_arrays(offsets, pa.array(hashes.view(np.int64)))
-            entries = pa.StructArray.from_arrays([pa.array(number.astype(np.int32)), words], ["line", "words"])
-            per_doc = np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=len(texts)))))
-            return [pa.ListArray.from_arrays(pa.array(per_doc.astype(np.int32)), entries)]
 
-        return work
+def _compare(threshold: float):
+    """Names of the sets that are similar to their group's candidate. A group's rows follow its candidate's."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, own = None, np.zeros(0, np.int64)
+        for batch in batches:
+            keys = list(zip(*(batch.column(i).to_pylist() for i in range(3))))
+            candidate, words = batch.column(3).to_pylist(), batch.column(6)
+            flat, ends = words.values.to_numpy(), words.offsets.to_numpy()
+            similar = []
+            for i, key in enumerate(keys):
+                these = flat[ends[i] : ends[i + 1]]
+                if candidate[i]:
+                    group, own = key, np.sort(these)
+                elif key == group and len(own):
+                    at = np.minimum(np.searchsorted(own, these), len(own) - 1)
+                    common = int((own[at] == these).sum())
+                    if common >= threshold * (len(these) + len(own) - common) - 1e-9:
+                        similar.append(i)
+            at = pa.array(similar, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(4).take(at), batch.column(5).take(at)], ["h1", "h2"])
 
-    found = annotate(bloom.members(keyed, by_row, "row"), "text", ["wanted"], [T.StructField("lines", kind)], make)
-    found = found.select(F.map_from_entries("lines").alias("lines"), F.inline("wanted"))
-    return found.select("h1", F.col("lines")[F.col("line")].alias("words")).dropDuplicates(["h1"])
+    return run
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, docs: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
-    """h1, the later set, of the pairs (h1, e1) that are similar enough."""
-    wanted = pairs.select(F.explode(F.array("h1", "e1")).alias("h1")).distinct()
-    wanted = staged(wanted.join(sets, "h1").select("h1", "first.row", "first.line"), "wanted_lines")
-    words = staged(_words_of(docs, id_col, text_col, wanted), "line_words")
-    other = words.select(F.col("h1").alias("e1"), F.col("words").alias("others"))
-    both = left_lookup(left_lookup(pairs, words, ["h1"], unique=True), other, ["e1"], unique=True)
-    common = F.size(F.array_intersect("words", "others"))
-    jaccard = common / (F.size("words") + F.size("others") - common)
-    return both.filter(jaccard >= threshold - 1e-9).select("h1").distinct()
+def _similar(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
+    """h1, h2 of the later sets of ``pairs`` that are similar enough, a written table."""
+    pairs = staged(_places(pairs.select(*_X, *_E)), "pairs")
+    # A candidate that many sets have is sent to one group for each SHARD of them.
+    crowds = pairs.groupBy("e_h1", "e_h2").agg(F.min(position("e_")).alias("at"), F.min("e_place").alias("e_place"), F.count(F.lit(1)).alias("n"))
+    crowds = crowds.withColumn("shards", F.ceil(F.col("n") / SHARD).cast("int"))
+    crowds = staged(crowds.select("e_h1", "e_h2", "at", "e_place", "shards"), "pair_groups")
+    crowded = crowds.filter("shards > 1").select("e_h1", "e_h2", "shards")
+    later = left_lookup(pairs, crowded, ["e_h1", "e_h2"], unique=True)
+    shard = F.when(F.col("shards").isNull(), 0).otherwise(F.pmod(F.xxhash64("h1", "h2"), "shards")).cast("int")
+    later = later.select("e_h1", "e_h2", shard.alias("shard"), F.lit(False).alias("candidate"), "h1", "h2", "doc_id", "row", "line", "place")
+    first = crowds.select(
+        "e_h1", "e_h2", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), F.lit(True).alias("candidate"),
+        F.col("e_h1").alias("h1"), F.col("e_h2").alias("h2"), "at.doc_id", "at.row", "at.line", F.col("e_place").alias("place"),
+    )
+    deliveries = staged(later.unionByName(first), "deliveries")
+    words = _words_at(docs, id_col, text_col, deliveries.select("place"))
+    if words is None:
+        return staged(deliveries.select("h1", "h2"), "similar")
+    found = words.withColumnsRenamed({"doc_id": "w_id", "row": "w_row", "line": "w_line"})
+    same = F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("row") == F.col("w_row")) & (F.col("line") == F.col("w_line"))
+    sent = found.join(deliveries, "place").filter(same).select(*_GROUP, "candidate", "h1", "h2", "words")
+    sent = sent.repartition(*_GROUP).sortWithinPartitions(*_GROUP, F.desc("candidate"))
+    return staged(map_arrow(sent, _compare(threshold), _SET).distinct(), "similar")
 
 
 def removed_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
     tile: int = TILE, paired: int = PAIRED,
 ) -> DataFrame:
-    """row (hash of id and text) and the numbers of the lines that go, for documents that lose lines."""
+    """doc_id, row (hash of id and text) and the numbers of the lines that go, for documents that lose lines."""
     counts = docs.sparkSession.sparkContext.broadcast(sketch(docs, text_col))
-    salt, clashes = 0, True
-    while clashes:
-        lines = staged(lines_of(docs, id_col, text_col, threshold, counts, salt), "lines")
-        named = lines.groupBy("h1").agg(F.min(position()).alias("first"), F.min("h2").alias("low"), F.max("h2").alias("high"))
-        sets = staged(named, "line_sets")
-        clashes, salt = not sets.filter("low <> high").isEmpty(), salt + 1
-    listed = lines.filter(F.size("words") > 0).select("h1", "signature", "size", "words", "places")
-    listed = staged(listed.join(sets.select("h1", "first.*"), "h1"), "prefixes")
-    entries = listed.select(F.inline(F.arrays_zip("words", "places")), "h1", *_FIRST, "signature", "size")
+    lines = staged(lines_of(docs, id_col, text_col, threshold, counts), "lines")
+    listed = lines.filter(F.size("words") > 0)
+    entries = listed.select(F.inline(F.arrays_zip("words", "places")), "h1", "h2", "doc_id", "row", "line", "signature", "size")
     entries = entries.withColumnsRenamed({"words": "word", "places": "place"})
-    met = staged(candidates(entries.withColumn("open", F.lit(True)), threshold, paired, tile), "candidates")
-    pairs = met.filter("long_list is null")
-    # The likeliest partner first: most sets need no other.
-    best = pairs.groupBy("h1").agg(F.max_by("e1", F.struct("lists", "e1")).alias("e1"))
-    best = staged(best, "best_candidates")
-    first = staged(_similar(best, sets, docs, id_col, text_col, threshold), "similar")
-    rest = pairs.join(first.withColumn("gone", F.lit(True)), "h1", "left").filter("gone is null")
-    rest = staged(rest.select("h1", "e1").join(best, ["h1", "e1"], "left_anti"), "other_candidates")
-    second = _similar(rest, sets, docs, id_col, text_col, threshold)
-    found = staged(first.unionByName(second).distinct(), "similar")
-    pairs = pairs.select("h1", "e1")
-    # Long lists again, for the sets that have stayed so far.
-    long_lists = staged(met.filter("long_list is not null").select(F.col("long_list").alias("word")).distinct(), "long_lists")
-    again = entries.join(long_lists, "word", "left_semi")
-    again = left_lookup(again, found.withColumn("gone", F.lit(True)), ["h1"], unique=True)
-    again = again.select(*entries.columns, F.col("gone").isNull().alias("open"))
-    more = candidates(again, threshold, None, tile).select("h1", "e1").join(pairs, ["h1", "e1"], "left_anti")
-    more = _similar(staged(more, "more_candidates"), sets, docs, id_col, text_col, threshold)
-    similar = found.unionByName(more).distinct().withColumn("similar", F.lit(True))
-    marked = left_lookup(sets.select("h1", "first"), similar, ["h1"], unique=True)
-    marked = left_lookup(lines.select("doc_id", "row", "line", "h1"), marked, ["h1"], unique=True)
+    met = candidates(entries.withColumn("open", F.lit(True)), threshold, paired, tile)
+    # The earliest candidates of each set over all its lists, and whether it has others.
+    earlier = F.struct(*_position_first("e_"))
+    best = F.min(earlier) if paired == 1 else F.slice(F.array_sort(F.collect_set(earlier)), 1, paired)
+    met = met.groupBy("h1", "h2").agg(
+        F.min(position()).alias("at"), (F.array(best) if paired == 1 else best).alias("chosen"),
+        (F.max("more") | (F.max(earlier) > _last(best, paired))).alias("more"),
+    )
+    met = staged(met.select("h1", "h2", "at.doc_id", "at.row", "at.line", "chosen", "more"), "candidates")
+    pairs = met.select(*_X, F.explode("chosen").alias("e")).select(
+        *_X, *[F.col(f"e.{name}").alias(f"e_{name}") for name in _X]
+    )
+    found = _similar(pairs, docs, id_col, text_col, threshold)
+    # Sets that are still open meet all their candidates.
+    left = staged(met.filter("more").select("h1", "h2").join(found, ["h1", "h2"], "left_anti"), "open_sets")
+    if not left.isEmpty():
+        opened = left_lookup(entries, left.withColumn("left", F.lit(True)), ["h1", "h2"], unique=True)
+        opened = opened.withColumn("open", F.col("left").isNotNull()).drop("left")
+        words = staged(opened.filter("open").select("word").distinct(), "open_lists")
+        again = candidates(opened.join(words, "word", "left_semi"), threshold, None, tile).select(*_X, *_E).distinct()
+        found = found.unionByName(_similar(again, docs, id_col, text_col, threshold)).distinct()
+    return _gone(lines.select("doc_id", "row", "line", "h1", "h2"), found)
+
+
+def _position_first(prefix: str) -> list[Column]:
+    """A set by its position, then its name: structs of these are in order of position."""
+    names = ["doc_id", "row", "line", "h1", "h2"]
+    return [F.col(f"{prefix}doc_id").isNull().alias("no_id"), *[F.col(f"{prefix}{n}").alias(n) for n in names]]
+
+
+def _last(best: Column, paired: int) -> Column:
+    return best if paired == 1 else F.element_at(best, -1)
+
+
+def _gone(lines: DataFrame, similar: DataFrame) -> DataFrame:
+    """The lines of sets that are similar to an earlier one, and all but the first line of the others."""
+    marks = similar.withColumn("similar", F.lit(True))
+    sets = lines.groupBy("h1", "h2").agg(F.min(position()).alias("first"), F.max(position()).alias("last"))
+    sets = left_lookup(sets, marks, ["h1", "h2"], unique=True).filter("similar or first <> last")
+    sets = staged(sets.select("h1", "h2", "first", "similar"), "line_sets")
+    marked = left_lookup(lines, sets, ["h1", "h2"], unique=True)
     gone = marked.filter(F.col("similar").isNotNull() | (position() != F.col("first")))
-    return gone.groupBy("row").agg(F.array_sort(F.collect_set("line")).alias("removed"))
+    return gone.groupBy("doc_id", "row").agg(F.array_sort(F.collect_set("line")).alias("removed"))
+
+
+def _with_removed(rows: DataFrame, found: DataFrame, id_name: str, row: str, gone: str) -> DataFrame:
+    """``rows`` with the numbers of the lines that go, by id and row hash."""
+    no_id, own = fresh([*rows.columns, gone], "no_id"), fresh([*rows.columns, gone], "own_id")
+    rows = rows.withColumns({no_id: col(id_name).isNull(), own: F.coalesce(col(id_name).cast("string"), F.lit(""))})
+    found = found.select(
+        F.col("row").alias(row), F.col("doc_id").isNull().alias(no_id),
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(own), F.col("removed").alias(gone),
+    )
+    return left_lookup(rows, found, [row, no_id, own], unique=True)
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with the text of each without the lines that go; other columns as they are."""
     row, gone = fresh(docs.columns, "row"), fresh(docs.columns, "removed")
-    found = removed_lines(docs, id_col, text_col, **options).withColumnsRenamed({"row": row, "removed": gone})
-    joined = left_lookup(docs.withColumn(row, row_key(id_col, text_col)), found, [row], unique=True)
-    lines = F.filter(F.split(col(text_col), "\n", -1), lambda line, i: ~F.array_contains(col(gone), i))
-    text = F.when(col(gone).isNull(), col(text_col)).otherwise(F.array_join(lines, "\n"))
+    found = removed_lines(docs, id_col, text_col, **options)
+    joined = _with_removed(docs.withColumn(row, row_key(id_col, text_col)), found, id_col, row, gone)
+    ship_package(docs.sparkSession)
+
+    @F.udf("string")
+    def without(text, numbers):
+        # Spark may call this for rows that lose nothing, too.
+        dropped = set(numbers or ())
+        if text is None:
+            return None
+        return "\n".join(line for i, line in enumerate(text.split("\n")) if i not in dropped)
+
+    text = F.when(col(gone).isNull(), col(text_col)).otherwise(without(col(text_col), col(gone)))
     return joined.select(*[text.alias(name) if name == text_col else col(name) for name in docs.columns])
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     rows = docs.select("doc_id", row_key("doc_id", "text").alias("row"), F.size(F.split("text", "\n", -1)).alias("n"))
-    rows = left_lookup(rows, removed_lines(docs), ["row"], unique=True)
+    rows = _with_removed(rows, removed_lines(docs), "doc_id", "row", "removed")
     return rows.select(
         "doc_id",
         F.when(F.col("n") < 0, 0).otherwise(F.col("n")).cast("long").alias("n_lines"),
