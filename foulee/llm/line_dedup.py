@@ -15,10 +15,11 @@ sets are joined:
 * Length and positional filters: of the pairs in a list, those whose sizes and places leave room for enough common
   words. A list is in order of size, so pairs of too different sizes are never made. Then the signature: each word flips
   one of 64 bits, so two sets differ in at least as many words as their signatures differ in bits.
-* First a set meets only its ``paired`` earliest candidates: nearly always one is similar, which settles the set. Sets
-  that this does not settle then meet all others, in the lists that hold such a set. No candidate is left out.
-* Verification: the words of the sets concerned are read from the texts again (a Bloom filter of positions says which
-  lines) and compared with those of their candidates, at most ``SHARD`` with one copy of a candidate's words.
+* Each list gives a set's ``paired`` earliest candidates. Of these the earliest is verified first, then, for sets that it
+  does not settle, the others, and last, for sets that are still open and had more of them in a list, all candidates of
+  these lists. No candidate is left out.
+* Verification: the words of the sets concerned are read from the texts again (Bloom filters say in which texts
+  and lines) and compared with those of their candidates, at most ``SHARD`` with one copy of a candidate's words.
 
 Words are runs of letters and digits, ASCII lower-cased, as 64-bit hashes. Sets have names of 96 bits.
 
@@ -47,12 +48,14 @@ from foulee.session import staged
 THRESHOLD = 0.8
 SKETCH = 1 << 22
 TILE = 4096
-PAIRED = 1
+PAIRED = 4
 SHARD = 128
 #: Names and positions that a task remembers; more only repeat entries.
 _REMEMBERED = 500_000
 #: Entries that are compared at a time, if lists are not longer.
 _ROWS = 1 << 17
+#: Counters of the sketch that travel as one row.
+_COUNTERS = 4096
 
 
 def row_key(id_col: str, text_col: str) -> Column:
@@ -74,31 +77,54 @@ def least_overlap(a, b, threshold: float):
 
 
 def sketch(docs: DataFrame, text_col: str) -> np.ndarray:
-    """How often words fall on each counter: at least the number of lines that have the word."""
+    """How often words fall on each counter: at least the number of lines that have the word. Counters travel and are
+    added up in blocks, each of them a row with the used ones."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SKETCH, np.int64)
         for batch in slices(batches, 0):
             np.add.at(counts, (tokens(_texts(batch, 0))[0] & np.uint64(SKETCH - 1)).astype(np.int64), 1)
         used = np.flatnonzero(counts)
-        for at in range(0, len(used), 1 << 16):
-            some = used[at : at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[some])], ["counter", "n"])
-
-    counted = map_arrow(docs.select(col(text_col).alias("text")), count, "counter int, n long")
-    # At most SKETCH rows of 8 bytes.
-    total = F.least(F.sum("n"), F.lit((1 << 31) - 1)).cast("int")
-    found = counted.groupBy("counter").agg(total.alias("n")).toArrow()
-    out = np.zeros(SKETCH, np.int32)
-    out[found["counter"].to_numpy()] = found["n"].to_numpy()
-    return out
+        starts = np.searchsorted(used, np.arange(0, SKETCH + 1, _COUNTERS))
+        ends = pa.array(starts.astype(np.int32))
+        at, n = (pa.ListArray.from_arrays(ends, pa.array(x)) for x in ((used % _COUNTERS).astype(np.int32), counts[used]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(starts) - 1, dtype=np.int32)), at, n], ["block", "at", "n"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, total = None, np.zeros(_COUNTERS, np.int64)
+
+        def done() -> pa.RecordBatch:
+            held = np.minimum(total, (1 << 31) - 1).astype("<i4").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([held], pa.binary())], ["block", "counts"])
+
+        for batch in batches:
+            for own, at, n in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                if own != block:
+                    if block is not None:
+                        yield done()
+                    block, total = own, np.zeros(_COUNTERS, np.int64)
+                total[at.values.to_numpy()] += n.values.to_numpy()
+        if block is not None:
+            yield done()
+
+    counted = map_arrow(docs.select(col(text_col).alias("text")), count, "block int, at array<int>, n array<long>")
+    added = map_arrow(counted.repartition("block").sortWithinPartitions("block"), add, "block int, counts binary")
+    out = np.zeros((SKETCH // _COUNTERS, _COUNTERS), np.int32)
+    for row in added.toArrow().to_pylist():  # SKETCH counters of 4 bytes
+        out[row["block"]] = np.frombuffer(row["counts"], "<i4")
+    return out.ravel()
 
 
 class Sets:
     """The sets of words of a slice's lines: words in order of rarity, and what names a set."""
 
-    def __init__(self, texts: list[bytes | None], counts: np.ndarray | None = None) -> None:
+    def __init__(self, texts: list[bytes | None], counts: np.ndarray | None = None, wanted=None) -> None:
+        """``wanted`` says of texts' places and line numbers which lines are of use."""
         hashes, line, first = tokens(texts)
+        if wanted is not None:
+            text = np.repeat(np.arange(len(texts)), np.diff(first))
+            use = wanted(text, np.arange(first[-1]) - first[text])
+            hashes, line = hashes[use[line]], line[use[line]]
         often = np.zeros(len(hashes), np.int64)
         if counts is not None:
             often = counts[(hashes & np.uint64(SKETCH - 1)).astype(np.int64)].astype(np.int64)
@@ -179,8 +205,21 @@ def position(prefix: str = "") -> Column:
     return F.struct(F.col(names[0]).isNull().alias("no_id"), *[F.col(n).alias(n.removeprefix(prefix)) for n in names])
 
 
-_KEYS = ["word", "low", "high"]
-_ENTRY = ["h1", "h2", "signature", "size", "place", "open", "doc_id", "row", "line"]
+_KEYS = ["word", "tile"]
+#: An entry in eight longs: name and size, signature, position with the word's place.
+_ENTRY = ["h1", "h2_size", "signature", "doc_id", "row", "line_place"]
+#: Of an entry's size, the bit that says that its set needs no more candidates.
+_SETTLED = 1 << 31
+
+
+def _entries(lines: DataFrame) -> DataFrame:
+    """Rows of the words' lists."""
+    listed = lines.filter(F.size("words") > 0)
+    two = lambda high, low: F.shiftleft(F.col(high).cast("long"), 32).bitwiseOR(F.col(low).cast("long"))
+    spread = listed.select(
+        F.inline(F.arrays_zip("words", "places")), "h1", two("h2", "size").alias("h2_size"), "signature", "doc_id", "row", "line"
+    )
+    return spread.select(F.col("words").alias("word"), *_ENTRY[:5], two("line", "places").alias("line_place"))
 
 
 def _first_of_each(run: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
@@ -193,14 +232,14 @@ def _first_of_each(run: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> np.ndarra
 
 def _candidates(threshold: float, paired: int | None):
     """Pairs of sets of a list that pass the filters: the later one and its earliest candidates, ``paired`` at most, with
-    ``more`` if it has others. Rows come in order of lists and, within a list, of positions."""
+    the word as ``more`` if it has others. Rows come in order of lists and, within a list, of positions."""
 
     def runs(batch: pa.Table) -> pa.RecordBatch:
-        word, low, high = (batch.column(i).to_numpy() for i in range(3))
-        change = (word[1:] != word[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
-        run = np.concatenate(([0], np.cumsum(change)))
-        h1, h2, signature, size, place, open_ = (batch.column(i).to_numpy() for i in range(3, 9))
-        first = _first_of_each(run, h1, h2)
+        word, tile, h1, h2_size, signature = (batch.column(i).to_numpy() for i in range(5))
+        run = np.concatenate(([0], np.cumsum((word[1:] != word[:-1]) | (tile[1:] != tile[:-1]))))
+        size, place = h2_size & (_SETTLED - 1), batch.column(7).to_numpy() & 0xFFFFFFFF
+        open_ = (h2_size & _SETTLED) == 0
+        first = _first_of_each(run, h1, h2_size >> 32)
         # In order of size within a list; a row's place in the table still tells which of two is earlier.
         first = first[np.lexsort((first, size[first], run[first]))]
         run, signature, size, place, open_ = (x[first] for x in (run, signature.view(np.uint64), size, place, open_))
@@ -232,9 +271,12 @@ def _candidates(threshold: float, paired: int | None):
             later, earlier, more = later[kept], earlier[kept], more[kept] > paired
         else:
             more = np.zeros(len(later), bool)
-        sides = [pa.array(first[side]) for side in (later, earlier)]
-        columns = [batch.column(i).combine_chunks().take(side) for side in sides for i in (3, 4, 9, 10, 11)]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(more)], [*_X, *_E, "more"])
+        columns = []
+        for side in (first[later], first[earlier]):
+            doc_id, row = (batch.column(i).combine_chunks().take(pa.array(side)) for i in (5, 6))
+            line = (batch.column(7).to_numpy()[side] >> 32).astype(np.int32)
+            columns += [pa.array(h1[side]), pa.array((h2_size[side] >> 32).astype(np.int32)), doc_id, row, pa.array(line)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(word[first[later]], mask=~more)], [*_X, *_E, "more"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -243,7 +285,7 @@ def _candidates(threshold: float, paired: int | None):
             held = pa.concat_tables([held, table]) if held is not None else table
             if held.num_rows < _ROWS:
                 continue
-            keys = [held.column(i).to_numpy() for i in range(3)]
+            keys = [held.column(i).to_numpy() for i in range(2)]
             changes = np.flatnonzero(np.logical_or.reduce([key[1:] != key[:-1] for key in keys]))
             if len(changes):
                 yield runs(held.slice(0, int(changes[-1]) + 1))
@@ -259,33 +301,39 @@ _E = [f"e_{name}" for name in _X]
 
 
 def candidates(entries: DataFrame, threshold: float, paired: int | None, tile: int) -> DataFrame:
-    """Later and earlier sets (name and position each) of the pairs under any word, and ``more``. ``entries`` has word and
-    the columns of an entry."""
+    """Later and earlier sets (name and position each) of the pairs under any word, and ``more``."""
     dealt = deal(entries, ["word"], ["h1"], tile)
-    order = [F.col("doc_id").isNull(), "doc_id", "row", "line"]
-    dealt = dealt.repartition(*_KEYS).sortWithinPartitions(*_KEYS, *order).select(*_KEYS, *_ENTRY)
+    tiles = F.shiftleft(F.col("low").cast("long"), 32).bitwiseOR(F.col("high").cast("long"))
+    dealt = dealt.select("word", tiles.alias("tile"), *_ENTRY).repartition(*_KEYS)
+    dealt = dealt.sortWithinPartitions(*_KEYS, F.asc_nulls_last("doc_id"), "row", "line_place")
     kinds = dict(zip(_X, ("long", "integer", None, "long", "integer")))
     schema = T.StructType()
     for name in (*_X, *_E):
         kind = kinds[name.removeprefix("e_")]
         schema = schema.add(name, entries.schema["doc_id"].dataType if kind is None else kind)
-    return map_arrow(dealt, _candidates(threshold, paired), schema.add("more", "boolean"))
+    return map_arrow(dealt, _candidates(threshold, paired), schema.add("more", "long"))
 
 
-def _wanted_places(deliveries: DataFrame) -> np.ndarray | None:
-    """A Bloom filter of the positions whose words are wanted, 32 MB at most; None if there are none."""
-    bits = bloom.size_for(deliveries.count())
-    block, own = _probes(F.col("place"), bits)
-    positions = deliveries.select(block.alias("block"), F.explode(F.array(*own)).alias("bit"))
+def _of_sets(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """The ``rows`` of some sets, a written table of names; only rows that a Bloom filter lets through are shuffled."""
+    names = staged(sets.select("h1").distinct(), "set_names")
+    return bloom.members(rows, names, "h1").select(*rows.columns).join(sets.select("h1", "h2"), ["h1", "h2"], "left_semi")
+
+
+def _filter_of(hashes: DataFrame, name: str, rows: int) -> np.ndarray:
+    """A Bloom filter of a column of hashes, 32 MB at most."""
+    bits = bloom.size_for(rows)
+    block, own = _probes(F.col(name), bits)
+    positions = hashes.select(block.alias("block"), F.explode(F.array(*own)).alias("bit"))
     found = positions.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bitmap")).collect()
     out = np.zeros((bits // bloom.BLOCK_BITS, bloom.BLOCK_BITS // 8), np.uint8)
     for row in found:
         out[row["block"]] = np.frombuffer(row["bitmap"], np.uint8)
-    return out if found else None
+    return out
 
 
 def _probes(place: Column, bits: int) -> tuple[Column, list[Column]]:
-    """A position's block and bits; the hash of a position is used as it is."""
+    """Block and bits of a column that is a hash itself."""
     block = F.shiftrightunsigned(place, 34) % F.lit(max(1, bits // bloom.BLOCK_BITS))
     return block, [F.shiftright(place, 15 * i).bitwiseAND(F.lit(bloom.BLOCK_BITS - 1)) for i in range(bloom.PROBES)]
 
@@ -301,22 +349,28 @@ def _among(place: np.ndarray, bitmaps: np.ndarray) -> np.ndarray:
 
 def _words_at(docs: DataFrame, id_col: str, text_col: str, deliveries: DataFrame) -> DataFrame | None:
     """Positions (place, doc_id, row, line) and words of the lines that may be wanted, each once a task."""
-    filters = _wanted_places(deliveries)
-    if filters is None:
+    n = deliveries.count()
+    if not n:
         return None
     docs = _keyed(docs, id_col, text_col)
-    bitmaps = docs.sparkSession.sparkContext.broadcast(filters)
+    share = docs.sparkSession.sparkContext.broadcast
+    bitmaps, of_rows = share(_filter_of(deliveries, "place", n)), share(_filter_of(deliveries, "row", n))
     schema = T.StructType([docs.schema["doc_id"], *T.DataType.fromDDL("row long, line int, place long, words array<long>")])
 
+    def wanted(rows: np.ndarray):
+        return lambda text, number: _among(_place(rows[text], number), bitmaps.value)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
         for batch in slices(batches, 2):
-            found = Sets(_texts(batch, 2))
-            rows = batch.column(1).to_numpy()[found.text]
+            batch = batch.filter(pa.array(_among(batch.column(1).to_numpy(), of_rows.value)))
+            rows = batch.column(1).to_numpy()
+            found = Sets(_texts(batch, 2), wanted=wanted(rows))
+            rows = rows[found.text]
             place = _place(rows, found.number)
             if len(sent) > _REMEMBERED:
                 sent.clear()
-            chosen = [i for i in np.flatnonzero(_among(place, bitmaps.value)).tolist() if int(place[i]) not in sent]
+            chosen = [i for i, own in enumerate(place.tolist()) if own not in sent]
             sent.update(place[chosen].tolist())
             if not chosen:
                 continue
@@ -390,7 +444,7 @@ def _similar(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, thre
         F.col("e_h1").alias("h1"), F.col("e_h2").alias("h2"), "at.doc_id", "at.row", "at.line", F.col("e_place").alias("place"),
     )
     deliveries = staged(later.unionByName(first), "deliveries")
-    words = _words_at(docs, id_col, text_col, deliveries.select("place"))
+    words = _words_at(docs, id_col, text_col, deliveries.select("place", "row"))
     if words is None:
         return staged(deliveries.select("h1", "h2"), "similar")
     found = words.withColumnsRenamed({"doc_id": "w_id", "row": "w_row", "line": "w_line"})
@@ -407,31 +461,31 @@ def removed_lines(
     """doc_id, row (hash of id and text) and the numbers of the lines that go, for documents that lose lines."""
     counts = docs.sparkSession.sparkContext.broadcast(sketch(docs, text_col))
     lines = staged(lines_of(docs, id_col, text_col, threshold, counts), "lines")
-    listed = lines.filter(F.size("words") > 0)
-    entries = listed.select(F.inline(F.arrays_zip("words", "places")), "h1", "h2", "doc_id", "row", "line", "signature", "size")
-    entries = entries.withColumnsRenamed({"words": "word", "places": "place"})
-    met = candidates(entries.withColumn("open", F.lit(True)), threshold, paired, tile)
-    # The earliest candidates of each set over all its lists, and whether it has others.
-    earlier = F.struct(*_position_first("e_"))
-    best = F.min(earlier) if paired == 1 else F.slice(F.array_sort(F.collect_set(earlier)), 1, paired)
-    met = met.groupBy("h1", "h2").agg(
-        F.min(position()).alias("at"), (F.array(best) if paired == 1 else best).alias("chosen"),
-        (F.max("more") | (F.max(earlier) > _last(best, paired))).alias("more"),
-    )
-    met = staged(met.select("h1", "h2", "at.doc_id", "at.row", "at.line", "chosen", "more"), "candidates")
-    pairs = met.select(*_X, F.explode("chosen").alias("e")).select(
-        *_X, *[F.col(f"e.{name}").alias(f"e_{name}") for name in _X]
-    )
-    found = _similar(pairs, docs, id_col, text_col, threshold)
-    # Sets that are still open meet all their candidates.
-    left = staged(met.filter("more").select("h1", "h2").join(found, ["h1", "h2"], "left_anti"), "open_sets")
-    if not left.isEmpty():
-        opened = left_lookup(entries, left.withColumn("left", F.lit(True)), ["h1", "h2"], unique=True)
-        opened = opened.withColumn("open", F.col("left").isNotNull()).drop("left")
-        words = staged(opened.filter("open").select("word").distinct(), "open_lists")
-        again = candidates(opened.join(words, "word", "left_semi"), threshold, None, tile).select(*_X, *_E).distinct()
-        found = found.unionByName(_similar(again, docs, id_col, text_col, threshold)).distinct()
-    return _gone(lines.select("doc_id", "row", "line", "h1", "h2"), found)
+    entries = _entries(lines)
+    met = staged(candidates(entries, threshold, paired, tile), "candidates")
+    first = met.groupBy("h1", "h2").agg(F.min(position()).alias("at"), F.min(F.struct(*_position_first("e_"))).alias("e"))
+    first = first.select("h1", "h2", "at.doc_id", "at.row", "at.line", *[F.col(f"e.{name}").alias(f"e_{name}") for name in _X])
+    first = staged(first, "first_candidates")
+    found = _similar(first, docs, id_col, text_col, threshold)
+    left = staged(first.select("h1", "h2").join(found, ["h1", "h2"], "left_anti"), "open_sets")
+    # Sets that are still open meet the others of the candidates found.
+    others = _of_sets(met, left)
+    rest = others.select(*_X, *_E).distinct().join(first.select("h1", "h2", "e_h1", "e_h2"), ["h1", "h2", "e_h1", "e_h2"], "left_anti")
+    second = _similar(rest.select(*_X, *_E), docs, id_col, text_col, threshold)
+    # Then all of the lists that had more.
+    crowded = others.filter("more is not null").join(second, ["h1", "h2"], "left_anti").select("h1", "h2", "more")
+    crowded = staged(crowded, "crowded_sets")
+    found = found.unionByName(second)
+    if not crowded.isEmpty():
+        words = staged(crowded.select(F.col("more").alias("word")).distinct(), "crowded_lists")
+        opened = staged(crowded.select("h1", "h2", F.lit(True).alias("open")).distinct(), "opened_sets")
+        again = bloom.members(entries, words, "word").withColumn("h2", F.shiftright("h2_size", 32).cast("int"))
+        again = left_lookup(again, opened, ["h1", "h2"], unique=True)
+        settled = F.when(F.col("open").isNull(), F.col("h2_size").bitwiseOR(F.lit(_SETTLED))).otherwise(F.col("h2_size"))
+        again = again.withColumn("h2_size", settled).select("word", *_ENTRY)
+        third = candidates(again, threshold, None, tile).select(*_X, *_E).distinct()
+        found = found.unionByName(_similar(third, docs, id_col, text_col, threshold))
+    return _gone(lines.select("doc_id", "row", "line", "h1", "h2"), found.distinct())
 
 
 def _position_first(prefix: str) -> list[Column]:
@@ -440,10 +494,6 @@ def _position_first(prefix: str) -> list[Column]:
     return [F.col(f"{prefix}doc_id").isNull().alias("no_id"), *[F.col(f"{prefix}{n}").alias(n) for n in names]]
 
 
-def _last(best: Column, paired: int) -> Column:
-    return best if paired == 1 else F.element_at(best, -1)
-
-
 def _gone(lines: DataFrame, similar: DataFrame) -> DataFrame:
     """The lines of sets that are similar to an earlier one, and all but the first line of the others."""
     marks = similar.withColumn("similar", F.lit(True))
