@@ -3,7 +3,8 @@
 The vocabulary's words never reach over white space, so a text's ids are those of its words in order, and
 a word's ids are looked up once for each worker. Only chunks of ASCII and Latin-1 letters, digits and
 marks are cut further (letters, single digits, runs of marks); a chunk with anything else, apostrophes
-included, goes to the tokenizer as it is. All ids come from the tokenizer itself.
+included, goes to the tokenizer as it is, and so does one that holds a special token's string: the tokenizer gives the
+token's id there, in the case of letters that it asks for. All ids come from the tokenizer itself.
 """
 
 from __future__ import annotations
@@ -29,7 +30,9 @@ class WordEncoder:
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        # No text matches the empty alternative's stand-in: a vocabulary may have no such tokens.
+        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)", re.I)
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -51,7 +54,7 @@ class WordEncoder:
                 self.pieces.update((w, one.tobytes()) for w, one in zip(group, self._ids(group)))
 
     def _learn(self, new: set[str]) -> None:
-        odd = [chunk for chunk in new if _ODD.search(chunk) or chunk != chunk.lower()]
+        odd = [chunk for chunk in new if _ODD.search(chunk) or chunk != chunk.lower() or self.special.search(chunk)]
         self.chunks.update((chunk, ids.tobytes()) for chunk, ids in zip(odd, self._ids(odd)))
         cut = {chunk: _PIECE.findall(chunk) for chunk in new.difference(odd)}
         self._learn_pieces(list({piece for pieces in cut.values() for piece in pieces}.difference(self.pieces)))
@@ -64,7 +67,8 @@ class WordEncoder:
             self.chunks.clear()
         if len(self.pieces) > CACHED:
             self.pieces.clear()
-        cut = [_CHUNK.findall(text) if _ODD.search(text) else text.lower().split() for text in texts]
+        as_it_is = lambda text: _ODD.search(text) or self.special.search(text)
+        cut = [_CHUNK.findall(text) if as_it_is(text) else text.lower().split() for text in texts]
         new: set[str] = set()
         for chunks in cut:
             new.update(chunks)

@@ -11,9 +11,17 @@ from foulee.llm.word_bpe import WordEncoder
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(packing.tokenizer_path())
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(packing.tokenizer_path())
+
+
+def test_special_strings_have_the_tokenizers_ids(tokenizer):
+    texts = [
+        "a <|endoftext|> b", "a<|endoftext|>b<|startoftext|>", "<|ENDOFTEXT|> <|EndOfText|>", "Élan <|endoftext|>", "<|endoftext|",
+        "<|<|endoftext|>|>", "x\n<|startoftext|>\ty A", "<|endoftext|>" * 3, "<|end oftext|>",
+    ]
+    found = [np.frombuffer(ids, "<u4").tolist() for ids in WordEncoder(packing.tokenizer_path()).encode(texts)]
+    assert found == [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert found[0] == [320, 49407, 321]
 
 
 def slots(intervals):
