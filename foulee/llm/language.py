@@ -130,16 +130,30 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             )
 
 
+#: Places in the draw of documents to learn from.
+DRAWS = 1 << 60
+
+
+def _draw(hashed: Column) -> Column:
+    """A hash as a place in the draw, its low bits first."""
+    low, high = F.pmod(hashed, F.lit(1 << 20)), F.shiftrightunsigned(hashed, 20).bitwiseAND(F.lit((1 << 40) - 1))
+    return F.shiftleft(low, 40) + high
+
+
+def sample_limit(count: int, max_docs: int) -> int:
+    """Places below which a share of ``count`` documents falls that is about ``max_docs``: never none."""
+    return max(1, max_docs * DRAWS // count)
+
+
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = MAX_DOCS) -> Filters:
     """Filters from labelled documents that are not held out."""
     labelled = docs.select(col(lang_col).alias("lang"), col(text_col).alias("text"), col(id_col).alias("id"))
     labelled = labelled.filter(F.col("lang").isNotNull() & (_remainder(F.col("id")) != 2))
     counts = {row.lang: row["count"] for row in labelled.groupBy("lang").count().collect()}  # a row per language
-    place = F.pmod(F.xxhash64(F.lit("sample"), "id"), F.lit(1 << 20))
-    limit = F.lit(1 << 20)
+    place, limit = _draw(F.xxhash64(F.lit("sample"), "id")), F.lit(DRAWS)
     for name, count in counts.items():
         if count > max_docs:
-            limit = F.when(F.col("lang") == name, F.lit(max_docs * (1 << 20) // count)).otherwise(limit)
+            limit = F.when(F.col("lang") == name, F.lit(sample_limit(count, max_docs))).otherwise(limit)
     sample = labelled.filter(place < limit).select("lang", "text")
     seen = sample.groupBy("lang").count().withColumnRenamed("count", "all")
     counted = map_arrow(sample, _document_counts, "lang string, gram long, documents long")

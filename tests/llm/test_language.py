@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from foulee.llm import language
 
@@ -68,3 +69,56 @@ def test_held_out_rows_are_not_learned_from(spark):
     held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 == 2]
     df = docs_of(spark, [(i, "only held out words", "xx") for i in held] + [(1000, "other text", "en")])
     assert "xx" not in language.learn(df).languages
+
+
+def test_a_language_of_any_size_is_learned_from():
+    for count in (4001, 10**6, 5 * 10**9, 10**15, 10**25):
+        limit = language.sample_limit(count, 4000)
+        assert 1 <= limit <= language.DRAWS and (count > 10**20 or abs(limit * count / language.DRAWS - 4000) < 1)
+
+
+def test_the_draw_is_even(spark):
+    df = spark.range(200_000).select(language._draw(F.xxhash64("id")).alias("place"))
+    assert df.filter((F.col("place") < 0) | (F.col("place") >= language.DRAWS)).count() == 0
+    assert abs(df.filter(F.col("place") < language.sample_limit(200_000, 4000)).count() - 4000) < 400
+
+
+def _plain_sets(filters, found):
+    """Slots of each language as plain sets, without any bit operation on whole tables."""
+    out = {}
+    for name in filters.languages:
+        out[name] = {int(s) for slot in filters._slots(found[name]) for s in slot}
+    return out
+
+
+def test_predictions_against_plain_sets(spark):
+    """Every n-gram is looked up in each language's own set of slots; shares are corrected one by one."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    filters = language.learn(docs)
+    # What was learned, by counting over the documents it may be learned from.
+    rows = [r for r in docs.collect() if r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2]
+    found = {}
+    for name in {r.lang for r in rows}:
+        own = [r for r in rows if r.lang == name]
+        counts = {}
+        for r in own:
+            for gram in {int(h) for part in language.grams((r.text or "").encode()) for h in part}:
+                counts[gram] = counts.get(gram, 0) + 1
+        found[name] = np.array([g for g, n in counts.items() if n >= language.MIN_SHARE * len(own)], np.uint64)
+    plain = language.Filters(found)
+    assert plain.languages == filters.languages and (plain.table == filters.table).all()
+    sets = _plain_sets(plain, found)
+    for r in docs.collect():
+        hashes = np.array([int(h) for part in language.grams((r.text or "").encode()) for h in part], np.uint64)
+        slots = [slot.tolist() for slot in plain._slots(hashes)]
+        shares = []
+        for name in plain.languages:
+            hits = sum(all(slot[i] in sets[name] for slot in slots) for i in range(len(hashes)))
+            false = (len(sets[name]) / len(plain.table)) ** language.PROBES
+            shares.append(min(1, max(0, (hits / max(1, len(hashes)) - false) / (1 - false))))
+        lang, score = filters.predict((r.text or "").encode())
+        if not len(hashes):
+            assert (lang, score) == ("und", 0.0)
+        else:
+            best = max(range(len(shares)), key=lambda i: (shares[i], -i))
+            assert lang == plain.languages[best] and abs(score - shares[best]) < 1e-12
