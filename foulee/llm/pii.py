@@ -13,7 +13,7 @@ score: an IBAN that passes mod-97 has it, a number in the form of a US social se
 word that says so.
 
 Cases: null text counts as empty; an empty text has no spans, and the digest of an empty list. Repeated
-rows get equal results. Only the id and the text are read, so names of other columns cannot clash.
+rows get equal results. Kept columns of any name stay as they are.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foulee.llm.frames import col, read
+from foulee.llm.frames import col, fresh, read
 
 _LOCAL = r"[A-Za-z0-9._%+-]"
 #: Code points on either side of a span in which context words count, up to the next match of the kind.
@@ -131,9 +131,14 @@ def _spans(text: Column, kind: Kind) -> Column:
             .alias("out"),
         )
 
-    count = F.ceil(F.size(cells) / _BLOCK).cast("int")
-    blocks = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.slice(cells, i * _BLOCK + 1, _BLOCK))
-    blocks = F.transform(blocks, lambda block: F.aggregate(block, begin, step))
+
+    def in_blocks(cells: Column) -> Column:
+        last = F.ceil(F.size(cells) / _BLOCK).cast("int") - 1
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(cells, i * _BLOCK + 1, _BLOCK))
+        return F.transform(blocks, lambda block: F.aggregate(block, begin, step))
+
+    # As the element of an array the cells are made once; a lambda evaluates any other column anew for each element.
+    blocks = F.element_at(F.transform(F.array(cells), in_blocks), 1)
     outer = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{entry}>").alias("out"))
 
     def move(state: Column, block: Column) -> Column:
@@ -157,9 +162,10 @@ def _spans(text: Column, kind: Kind) -> Column:
 
 
 def find(docs: DataFrame, text_col: str, keep: Sequence[str], kinds: Sequence[Kind] = KINDS) -> DataFrame:
-    """Columns ``keep`` and, for each kind, an array of spans."""
+    """Columns ``keep`` and, for each kind, an array of spans under the kind's name (with underscores added where a kept
+    column has that name)."""
     text = F.coalesce(col(text_col), F.lit(""))
-    return docs.select(*[col(name) for name in keep], *[_spans(text, kind).alias(kind.name) for kind in kinds])
+    return docs.select(*[col(name) for name in keep], *[_spans(text, kind).alias(fresh(keep, kind.name)) for kind in kinds])
 
 
 def redact(text: Column, spans: Column) -> Column:
