@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foulee.llm.frames import col, fresh
 from foulee.session import staged
 
 BITS_PER_ROW = 16
@@ -47,11 +48,13 @@ def _is_set(bitmap: Column, bit: Column) -> Column:
 def tested(rows: DataFrame, key: Column, bits: int, filters: DataFrame, name: str) -> DataFrame:
     """``rows`` with ``name``: false only if the filter cannot hold the key. The filter's size has a bound."""
     block, own = probes(key, bits)
-    joined = rows.withColumn("block", block).join(F.broadcast(filters), "block", "left")
-    maybe = F.col("bitmap").isNotNull()
+    at, bitmap = fresh([*rows.columns, name], "block"), fresh([*rows.columns, name], "bitmap")
+    filters = filters.select(F.col("block").alias(at), F.col("bitmap").alias(bitmap))
+    joined = rows.withColumn(at, block).join(F.broadcast(filters), at, "left")
+    maybe = F.col(bitmap).isNotNull()
     for bit in own:
-        maybe = maybe & _is_set(F.col("bitmap"), bit)
-    return joined.select(*rows.columns, F.coalesce(maybe, F.lit(False)).alias(name))
+        maybe = maybe & _is_set(F.col(bitmap), bit)
+    return joined.select(*[col(own_name) for own_name in rows.columns], F.coalesce(maybe, F.lit(False)).alias(name))
 
 
 def members(rows: DataFrame, keys: DataFrame, name: str) -> DataFrame:
@@ -59,8 +62,8 @@ def members(rows: DataFrame, keys: DataFrame, name: str) -> DataFrame:
     Only rows that the filter lets through are shuffled."""
     bits = size_for(keys.count())
     filters = staged(bitmaps(keys, F.col(name), bits), "members")
-    maybe = tested(rows, F.col(name), bits, filters, "_maybe").filter("_maybe").drop("_maybe")
-    return maybe.join(keys, name)
+    mark = fresh([*rows.columns, *keys.columns], "_maybe")
+    return tested(rows, F.col(name), bits, filters, mark).filter(mark).drop(mark).join(keys, name)
 
 
 def among(rows: DataFrame, keys: DataFrame, name: str) -> DataFrame:
@@ -71,10 +74,11 @@ def among(rows: DataFrame, keys: DataFrame, name: str) -> DataFrame:
     """
     bits = size_for(keys.count())
     filters = staged(bitmaps(keys, F.col(name), bits), "members")
-    maybe = tested(rows, F.col(name), bits, filters, "_maybe").filter("_maybe").drop("_maybe")
+    mark, doubt = fresh(rows.columns, "_maybe"), fresh(rows.columns, "_doubt")
+    maybe = tested(rows, F.col(name), bits, filters, mark).filter(mark).drop(mark)
     wrong = staged(maybe.select(name).distinct().join(keys, name, "left_anti"), "false_positives")
     few = size_for(wrong.count())
     doubtful = staged(bitmaps(wrong, F.col(name), few), "doubtful")
-    marked = tested(maybe, F.col(name), few, doubtful, "_doubt")
-    sure, unsure = (marked.filter(condition).drop("_doubt") for condition in ("not _doubt", "_doubt"))
+    marked = tested(maybe, F.col(name), few, doubtful, doubt)
+    sure, unsure = (marked.filter(condition).drop(doubt) for condition in (~F.col(doubt), F.col(doubt)))
     return sure.unionByName(unsure.join(keys, name, "left_semi"))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foulee.llm.frames import annotate, col, fresh, read, ship_package
+from foulee.llm.frames import annotate, col, fresh, read, row_hashes, ship_package
 from foulee.operators.lookup import left_lookup
 from foulee.session import staged
 
@@ -133,22 +133,23 @@ def mark(
     parts = 1 if size <= block_bytes else -(-2 * size // block_bytes)
     if parts == 1:
         return _pass(docs, text_col, keep, items, names, width)
-    row = fresh(docs.columns, "row_hash")
-    docs = docs.withColumn(row, F.xxhash64(*[col(name) for name in docs.columns]))
+    row = [fresh(docs.columns, name) for name in ("row_hash", "row_hash_2")]
+    own = [col(name) for name in docs.columns]
+    docs = docs.select(*own, *[hashed.alias(name) for hashed, name in zip(row_hashes(own), row)])
     items = items.withColumn("part", F.pmod(F.xxhash64("item", "text"), F.lit(parts)))
     count, hits, owners = names
     found = []
     for part in range(parts):
         one = items.filter(F.col("part") == part).drop("part")
         if part == 0:
-            first = _pass(docs, text_col, [*keep, row], one, names, width)
+            first = _pass(docs, text_col, [*keep, *row], one, names, width)
         else:
-            more = _pass(docs, text_col, [row], one, names, width).filter(F.size(hits) > 0)
+            more = _pass(docs, text_col, row, one, names, width).filter(F.size(hits) > 0)
             found.append(staged(more.drop(count).distinct(), "hits"))
-    added = reduce(DataFrame.unionByName, found).groupBy(row)
+    added = reduce(DataFrame.unionByName, found).groupBy(*row)
     added = added.agg(F.flatten(F.collect_list(hits)).alias("more"), F.flatten(F.collect_list(owners)).alias("others"))
     empty = [F.array().cast("array<int>"), F.array().cast("array<string>")]
-    return left_lookup(first, added, [row], unique=True).select(
+    return left_lookup(first, added, row, unique=True).select(
         *[col(name) for name in keep],
         count,
         F.array_sort(F.array_union(hits, F.coalesce("more", empty[0]))).alias(hits),

@@ -113,3 +113,8 @@ def fresh(names: Sequence[str], wanted: str) -> str:
     while wanted.lower() in taken:
         wanted += "_"
     return wanted
+
+
+def row_hashes(columns: Sequence[Column]) -> list[Column]:
+    """Two independent hashes of a row, 128 bits together: what tells rows apart, and equal rows not."""
+    return [F.xxhash64(*columns), F.xxhash64(F.lit("second"), *columns)]

@@ -31,8 +31,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foulee.llm import bloom
 from foulee.llm.components import components
-from foulee.llm.frames import annotate, col, fresh, map_arrow, read
+from foulee.llm.frames import annotate, col, fresh, map_arrow, read, row_hashes
 from foulee.llm.tiles import deal
 from foulee.operators.lookup import left_lookup
 from foulee.session import staged
@@ -199,24 +200,48 @@ def label(marks: DataFrame, id_col: str, radius: int = RADIUS, tile: int = TILE)
     return left_lookup(marks, named, ["fp"], unique=True)
 
 
+def _without(rows: DataFrame, odd: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``rows`` without those of ``odd`` (row0, row1, stays) that do not stay, and one of each that does."""
+    bits = bloom.size_for(odd.count())
+    filters = staged(bloom.bitmaps(odd, F.col("row0"), bits), "odd_row_filter")
+    maybe, stays = fresh(rows.columns, "maybe"), fresh([*rows.columns, "maybe"], "stays")
+    tested = bloom.tested(rows, col(names[0]), bits, filters, maybe)
+    odd = odd.select(F.col("row0").alias(names[0]), F.col("row1").alias(names[1]), F.col("stays").alias(stays))
+    looked_up = left_lookup(tested.filter(maybe).drop(maybe), odd, list(names), unique=True)
+    parts = [
+        tested.filter(~F.col(maybe)).drop(maybe),
+        looked_up.filter(F.col(stays).isNull()).drop(stays),
+        # A row may be repeated as a whole; the copies are equal, so any of them can stay.
+        looked_up.filter(F.col(stays)).drop(stays).dropDuplicates(list(names)),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def keep_first(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS
 ) -> DataFrame:
-    """``docs`` with one row of each component: the one with the smallest id, then hash of the row."""
-    row = fresh(docs.columns, "row_hash")
-    hashed = docs.withColumn(row, F.xxhash64(*[col(name) for name in docs.columns]))
-    marks = hashed.select(col(id_col).alias("id"), col(row).alias("row"), col(text_col).alias("text"))
-    marks = label(staged(fingerprints(marks, "text", ["id", "row"], words), "fingerprints"), "id", radius)
+    """``docs`` with one row of each component: the one with the smallest id, then hash of the row.
+
+    Only rows that may go are shuffled: a Bloom filter of those that go lets all others pass.
+    """
+    names = [fresh(docs.columns, name) for name in ("row_hash", "row_hash_2")]
+    own = [col(name) for name in docs.columns]
+    hashed = docs.select(*own, *[h.alias(n) for h, n in zip(row_hashes(own), names)])
+    marks = hashed.select(col(id_col).alias("id"), *[col(n).alias(f"row{i}") for i, n in enumerate(names)], col(text_col).alias("text"))
+    marks = label(staged(fingerprints(marks, "text", ["id", "row0", "row1"], words), "fingerprints"), "id", radius)
     # Counted for each row first: a component that holds a third of all rows shrinks before it meets.
-    rows = marks.groupBy("component", "row").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
-    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "row", "copies")
-    first = rows.groupBy("component").agg(F.min(order).alias("first"))
-    copies = fresh([*docs.columns, row], "copies")
-    first = first.select(F.col("first.row").alias(row), F.col("first.copies").alias(copies))
-    kept = hashed.join(first, row)
-    # A row may be repeated as a whole; the copies are equal, so any of them can stay.
-    parts = [kept.filter(col(copies) == 1), kept.filter(col(copies) > 1).dropDuplicates([row])]
-    return reduce(DataFrame.unionByName, parts).select(*[col(name) for name in docs.columns])
+    rows = marks.groupBy("component", "row0", "row1").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
+    rows = staged(rows, "component_rows")
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "row0", "row1")
+    first = rows.groupBy("component").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("rows"))
+    # Components of one row that occurs once are not looked at again.
+    first = first.filter("rows > 1").select("component", "first.row0", "first.row1", F.lit(True).alias("stays"))
+    crowded = left_lookup(rows, first.select("component").withColumn("crowded", F.lit(True)), ["component"], unique=True)
+    crowded = crowded.filter("crowded or copies > 1")
+    chosen = left_lookup(crowded, first, ["component", "row0", "row1"], unique=True)
+    stays = F.coalesce("stays", F.col("crowded").isNull())
+    odd = staged(chosen.select("row0", "row1", "copies", stays.alias("stays")).filter("not stays or copies > 1").drop("copies"), "odd_rows")
+    return _without(hashed, odd, names).select(*own)
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,3 +13,12 @@ def test_membership_is_exact_at_any_fill(spark, monkeypatch):
             assert sorted(r.id for r in found.collect()) == [i for i in range(6000) if i % 3 == 0]
     none = keys.limit(0)
     assert bloom.among(rows, staged(none, "keys"), "key").count() == 0 and bloom.among(rows.limit(0), keys, "key").count() == 0
+
+
+def test_columns_of_any_name(spark):
+    rows = spark.range(100).select(
+        "id", F.col("id").alias("block"), F.lit("b").alias("bitmap"), F.lit(1).alias("_maybe"), F.lit(2).alias("_doubt"), F.lit(3).alias("a.b")
+    )
+    keys = staged(spark.range(0, 100, 7), "keys")
+    for found in (bloom.among(rows, keys, "id"), bloom.members(rows, keys, "id")):
+        assert sorted(map(tuple, found.select(*[f"`{c}`" for c in rows.columns]).collect())) == [(i, i, "b", 1, 2, 3) for i in range(0, 100, 7)]

@@ -90,3 +90,26 @@ def test_nulls_empty_repeats_and_keep_first(spark):
     kept = sorted(map(tuple, simhash.keep_first(df).collect()))
     assert kept == [(4, "", "y"), (7, "one two three four", "a"), (9, "other words entirely here", None)]
     assert simhash.keep_first(df.limit(0)).collect() == []
+
+
+def test_keep_first_against_brute_force(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(60)]
+    base = [[rng.choice(words) for _ in range(80)] for _ in range(12)]
+    rows = []
+    for i in range(150):
+        text = list(rng.choice(base))
+        if rng.random() < 0.5:
+            text[rng.randrange(80)] = rng.choice(words)
+        rows.append((None if i % 40 == 0 else rng.randrange(100), " ".join(text), i % 3, "m", True))
+    rows += rows[:30]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row_hash int, maybe string, stays boolean").repartition(4)
+    component = slow_components([slow_fingerprint(r[1]) for r in rows], 2)
+    kept = simhash.keep_first(df)
+    assert kept.columns == df.columns
+    found = kept.collect()
+    root = {r[1]: c for r, c in zip(rows, component)}
+    assert sorted(root[r.text] for r in found) == sorted(set(component))
+    for r in found:
+        own = [x[0] for x, c in zip(rows, component) if c == root[r.text]]
+        assert r.doc_id == min((x for x in own if x is not None), default=None) and tuple(r) in rows
