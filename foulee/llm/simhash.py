@@ -188,15 +188,16 @@ def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
 
 
 def label(marks: DataFrame, id_col: str, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """``marks`` (an id and ``fp``) with ``component``: the smallest id of all documents reachable."""
+    """``marks`` (an id and ``fp``) with ``component``, the smallest id of all documents reachable, and ``root``, a
+    fingerprint that names the component even where ids are null or repeat in others."""
     fps = staged(marks.groupBy("fp").agg(F.min(col(id_col)).alias("first")), "distinct_fingerprints")
     roots = components(links(fps.select("fp"), radius, tile))
     rooted = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     rooted = staged(rooted.join(fps, F.col("node") == F.col("fp")).select("fp", "root", "first"), "rooted")
     least = rooted.groupBy("root").agg(F.min("first").alias("least"))
-    named = left_lookup(rooted, least, ["root"], unique=True).select("fp", "least")
+    named = left_lookup(rooted, least, ["root"], unique=True).select("fp", "root", "least")
     named = left_lookup(fps, named, ["fp"], unique=True)
-    named = named.select("fp", F.coalesce("least", "first").alias("component"))
+    named = named.select("fp", F.coalesce("least", "first").alias("component"), F.coalesce("root", "fp").alias("root"))
     return left_lookup(marks, named, ["fp"], unique=True)
 
 
@@ -230,15 +231,15 @@ def keep_first(
     marks = hashed.select(col(id_col).alias("id"), *[col(n).alias(f"row{i}") for i, n in enumerate(names)], col(text_col).alias("text"))
     marks = label(staged(fingerprints(marks, "text", ["id", "row0", "row1"], words), "fingerprints"), "id", radius)
     # Counted for each row first: a component that holds a third of all rows shrinks before it meets.
-    rows = marks.groupBy("component", "row0", "row1").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
+    rows = marks.groupBy("root", "row0", "row1").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
     rows = staged(rows, "component_rows")
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "row0", "row1")
-    first = rows.groupBy("component").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("rows"))
+    first = rows.groupBy("root").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("rows"))
     # Components of one row that occurs once are not looked at again.
-    first = first.filter("rows > 1").select("component", "first.row0", "first.row1", F.lit(True).alias("stays"))
-    crowded = left_lookup(rows, first.select("component").withColumn("crowded", F.lit(True)), ["component"], unique=True)
+    first = first.filter("rows > 1").select("root", "first.row0", "first.row1", F.lit(True).alias("stays"))
+    crowded = left_lookup(rows, first.select("root").withColumn("crowded", F.lit(True)), ["root"], unique=True)
     crowded = crowded.filter("crowded or copies > 1")
-    chosen = left_lookup(crowded, first, ["component", "row0", "row1"], unique=True)
+    chosen = left_lookup(crowded, first, ["root", "row0", "row1"], unique=True)
     stays = F.coalesce("stays", F.col("crowded").isNull())
     odd = staged(chosen.select("row0", "row1", "copies", stays.alias("stays")).filter("not stays or copies > 1").drop("copies"), "odd_rows")
     return _without(hashed, odd, names).select(*own)
