@@ -14,10 +14,11 @@ sets are joined:
   whatever the order in which tasks read the rows. A list of more than ``TILE`` entries is dealt over pairs of tiles.
 * Length and positional filters: of the pairs in a list, those whose sizes and places leave room for enough common
   words. A list is in order of size, so pairs of too different sizes are never made. Then the signature: each word flips
-  one of 64 bits, so two sets differ in at least as many words as their signatures differ in bits.
-* Each list gives a set's ``paired`` earliest candidates. Of these the earliest is verified first, then, for sets that it
-  does not settle, the others, and last, for sets that are still open and had more of them in a list, all candidates of
-  these lists. No candidate is left out.
+  one of 64 bits (of 128 in sets of ``WIDE`` words or more), so two sets differ in at least as many words as their
+  signatures differ in bits.
+* Each list gives the ``paired`` earlier candidates whose signatures differ least from a set's. The best of these is
+  verified first, then, for sets that it does not settle, the others, and last, for sets that are still open and had
+  more of them in a list, all candidates of these lists. No candidate is left out.
 * Verification: the words of the sets concerned are read from the texts again (Bloom filters say in which texts
   and lines) and compared with those of their candidates, at most ``SHARD`` with one copy of a candidate's words.
 
@@ -50,6 +51,8 @@ SKETCH = 1 << 22
 TILE = 4096
 PAIRED = 4
 SHARD = 128
+#: Words of a set from which on its signature has 128 bits: 64 say little of that many words.
+WIDE = 40
 #: Names and positions that a task remembers; more only repeat entries.
 _REMEMBERED = 500_000
 #: Entries that are compared at a time, if lists are not longer.
@@ -138,13 +141,17 @@ class Sets:
     def words_of(self, i: int) -> np.ndarray:
         return self.words[self.starts[i] : self.starts[i] + self.sizes[i]]
 
-    def names(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Two hashes of each set, 64 and 32 bits, and its signature."""
+    def names(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Two hashes of each set, 64 and 32 bits, and the halves of its signature; a small set's is folded into one."""
         if not len(self.starts):
-            return np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)
+            return np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
         h1, h2 = (np.add.reduceat(mix(self.words, i), self.starts) for i in (1, 2))
-        bits = np.bitwise_xor.reduceat(np.uint64(1) << (mix(self.words, 3) >> np.uint64(58)), self.starts)
-        return h1.view(np.int64), (h2 >> np.uint64(32)).astype(np.uint32).view(np.int32), bits.view(np.int64)
+        place = mix(self.words, 3)
+        bit, second = np.uint64(1) << (place >> np.uint64(58)), (place & np.uint64(1)).astype(bool)
+        halves = [np.bitwise_xor.reduceat(np.where(second == half, bit, np.uint64(0)), self.starts) for half in (False, True)]
+        wide = self.sizes >= WIDE
+        first, other = np.where(wide, halves[0], halves[0] ^ halves[1]), np.where(wide, halves[1], np.uint64(0))
+        return h1.view(np.int64), (h2 >> np.uint64(32)).astype(np.uint32).view(np.int32), first.view(np.int64), other.view(np.int64)
 
 
 def _place(row: np.ndarray, number: np.ndarray) -> np.ndarray:
@@ -153,7 +160,7 @@ def _place(row: np.ndarray, number: np.ndarray) -> np.ndarray:
 
 
 _SET = "h1 long, h2 int"
-_LINE = f"row long, line int, {_SET}, size int, signature long, words array<long>, places array<int>"
+_LINE = f"row long, line int, {_SET}, size int, signature long, signature_2 long, words array<long>, places array<int>"
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str, threshold: float, counts) -> DataFrame:
@@ -167,7 +174,7 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str, threshold: float, coun
         met: dict[tuple, tuple] = {}
         for batch in slices(batches, 2):
             found = Sets(_texts(batch, 2), counts.value)
-            h1, h2, signature = found.names()
+            h1, h2, signature, signature_2 = found.names()
             at = pa.array(found.text)
             doc_id, row = batch.column(0).take(at), batch.column(1).take(at)
             if len(met) > _REMEMBERED:
@@ -189,7 +196,7 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str, threshold: float, coun
             yield pa.RecordBatch.from_arrays(
                 [
                     doc_id, row, pa.array(found.number.astype(np.int32)), pa.array(h1), pa.array(h2),
-                    pa.array(found.sizes.astype(np.int32)), pa.array(signature),
+                    pa.array(found.sizes.astype(np.int32)), pa.array(signature), pa.array(signature_2),
                     pa.ListArray.from_arrays(offsets, pa.array(found.words[listed].view(np.int64))),
                     pa.ListArray.from_arrays(offsets, pa.array(place[listed].astype(np.int32))),
                 ],
@@ -206,8 +213,8 @@ def position(prefix: str = "") -> Column:
 
 
 _KEYS = ["word", "tile"]
-#: An entry in eight longs: name and size, signature, position with the word's place.
-_ENTRY = ["h1", "h2_size", "signature", "doc_id", "row", "line_place"]
+#: An entry in nine longs: name and size, signature, position with the word's place.
+_ENTRY = ["h1", "h2_size", "signature", "signature_2", "doc_id", "row", "line_place"]
 #: Of an entry's size, the bit that says that its set needs no more candidates.
 _SETTLED = 1 << 31
 
@@ -217,9 +224,10 @@ def _entries(lines: DataFrame) -> DataFrame:
     listed = lines.filter(F.size("words") > 0)
     two = lambda high, low: F.shiftleft(F.col(high).cast("long"), 32).bitwiseOR(F.col(low).cast("long"))
     spread = listed.select(
-        F.inline(F.arrays_zip("words", "places")), "h1", two("h2", "size").alias("h2_size"), "signature", "doc_id", "row", "line"
+        F.inline(F.arrays_zip("words", "places")), "h1", two("h2", "size").alias("h2_size"), "signature", "signature_2",
+        "doc_id", "row", "line",
     )
-    return spread.select(F.col("words").alias("word"), *_ENTRY[:5], two("line", "places").alias("line_place"))
+    return spread.select(F.col("words").alias("word"), *_ENTRY[:6], two("line", "places").alias("line_place"))
 
 
 def _first_of_each(run: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
@@ -231,21 +239,23 @@ def _first_of_each(run: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> np.ndarra
 
 
 def _candidates(threshold: float, paired: int | None):
-    """Pairs of sets of a list that pass the filters: the later one and its earliest candidates, ``paired`` at most, with
+    """Pairs of sets of a list that pass the filters: the later one and the nearest earlier ones, ``paired`` at most, with
     the word as ``more`` if it has others. Rows come in order of lists and, within a list, of positions."""
 
     def runs(batch: pa.Table) -> pa.RecordBatch:
-        word, tile, h1, h2_size, signature = (batch.column(i).to_numpy() for i in range(5))
+        word, tile, h1, h2_size, signature, signature_2 = (batch.column(i).to_numpy() for i in range(6))
         run = np.concatenate(([0], np.cumsum((word[1:] != word[:-1]) | (tile[1:] != tile[:-1]))))
-        size, place = h2_size & (_SETTLED - 1), batch.column(7).to_numpy() & 0xFFFFFFFF
+        size, place = h2_size & (_SETTLED - 1), batch.column(8).to_numpy() & 0xFFFFFFFF
         open_ = (h2_size & _SETTLED) == 0
         first = _first_of_each(run, h1, h2_size >> 32)
         # In order of size within a list; a row's place in the table still tells which of two is earlier.
         first = first[np.lexsort((first, size[first], run[first]))]
-        run, signature, size, place, open_ = (x[first] for x in (run, signature.view(np.uint64), size, place, open_))
+        run, size, place, open_ = (x[first] for x in (run, size, place, open_))
+        halves = [x[first].view(np.uint64) for x in (signature, signature_2)]
+        folded, wide = halves[0] ^ halves[1], size >= WIDE
         end = np.searchsorted(run, run, side="right")
         reach = np.floor(size / threshold + 1e-9)
-        rest, out = np.arange(len(run)), [np.zeros((2, 0), np.int64)]
+        rest, out = np.arange(len(run)), [np.zeros((3, 0), np.int64)]
         for s in range(1, len(run)):
             rest = rest[end[rest] > rest + s]
             rest = rest[size[rest + s] <= reach[rest]]
@@ -253,30 +263,36 @@ def _candidates(threshold: float, paired: int | None):
                 break
             i, j = rest, rest + s
             need = least_overlap(size[i], size[j], threshold)
-            fits = np.bitwise_count(signature[i] ^ signature[j]) <= size[i] + size[j] - 2 * need
-            i, j, need = i[fits], j[fits], need[fits]
-            fits = np.minimum(size[i] - place[i], size[j] - place[j]) >= need
-            i, j = i[fits], j[fits]
+            most = size[i] + size[j] - 2 * need
+            fits = np.bitwise_count(folded[i] ^ folded[j]) <= most
+            fits &= np.minimum(size[i] - place[i], size[j] - place[j]) >= need
+            i, j, most = i[fits], j[fits], most[fits]
+            # The folded halves differ in fewer bits than the halves do. Lists are in order of size: j is the larger.
+            bits = sum(np.bitwise_count(half[i] ^ half[j]).astype(np.int64) for half in halves)
+            bits = np.where(wide[i], bits, np.bitwise_count(folded[i] ^ folded[j]))
+            fits = bits <= most
+            i, j, bits = i[fits], j[fits], bits[fits]
             later = np.where(first[i] > first[j], i, j)
-            pair = np.stack([later, i + j - later])
-            out.append(pair[:, open_[later]])
-        later, earlier = np.concatenate(out, axis=1)
-        order = np.lexsort((first[earlier], later))
-        later, earlier = later[order], earlier[order]
+            found = np.stack([later, i + j - later, bits * 1000 // (size[i] + size[j])])
+            out.append(found[:, open_[later]])
+        later, earlier, apart = np.concatenate(out, axis=1)
+        order = np.lexsort((first[earlier], apart, later))
+        later, earlier, apart = later[order], earlier[order], apart[order]
         starts = np.flatnonzero(np.concatenate(([True], later[1:] != later[:-1])))[: len(later)]
         sizes = np.diff(np.append(starts, len(later)))
         nth, more = np.arange(len(later)) - np.repeat(starts, sizes), np.repeat(sizes, sizes)
         if paired is not None:
             kept = nth < paired
-            later, earlier, more = later[kept], earlier[kept], more[kept] > paired
+            later, earlier, apart, more = later[kept], earlier[kept], apart[kept], more[kept] > paired
         else:
             more = np.zeros(len(later), bool)
         columns = []
         for side in (first[later], first[earlier]):
-            doc_id, row = (batch.column(i).combine_chunks().take(pa.array(side)) for i in (5, 6))
-            line = (batch.column(7).to_numpy()[side] >> 32).astype(np.int32)
+            doc_id, row = (batch.column(i).combine_chunks().take(pa.array(side)) for i in (6, 7))
+            line = (batch.column(8).to_numpy()[side] >> 32).astype(np.int32)
             columns += [pa.array(h1[side]), pa.array((h2_size[side] >> 32).astype(np.int32)), doc_id, row, pa.array(line)]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(word[first[later]], mask=~more)], [*_X, *_E, "more"])
+        columns += [pa.array(apart.astype(np.int32)), pa.array(word[first[later]], mask=~more)]
+        return pa.RecordBatch.from_arrays(columns, [*_X, *_E, "apart", "more"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -301,7 +317,8 @@ _E = [f"e_{name}" for name in _X]
 
 
 def candidates(entries: DataFrame, threshold: float, paired: int | None, tile: int) -> DataFrame:
-    """Later and earlier sets (name and position each) of the pairs under any word, and ``more``."""
+    """Later and earlier sets (name and position each) of the pairs under any word, how many bits their signatures are
+    ``apart`` for a thousand words, and ``more``."""
     dealt = deal(entries, ["word"], ["h1"], tile)
     tiles = F.shiftleft(F.col("low").cast("long"), 32).bitwiseOR(F.col("high").cast("long"))
     dealt = dealt.select("word", tiles.alias("tile"), *_ENTRY).repartition(*_KEYS)
@@ -311,7 +328,7 @@ def candidates(entries: DataFrame, threshold: float, paired: int | None, tile: i
     for name in (*_X, *_E):
         kind = kinds[name.removeprefix("e_")]
         schema = schema.add(name, entries.schema["doc_id"].dataType if kind is None else kind)
-    return map_arrow(dealt, _candidates(threshold, paired), schema.add("more", "long"))
+    return map_arrow(dealt, _candidates(threshold, paired), schema.add("apart", "integer").add("more", "long"))
 
 
 def _of_sets(rows: DataFrame, sets: DataFrame) -> DataFrame:
@@ -463,7 +480,7 @@ def removed_lines(
     lines = staged(lines_of(docs, id_col, text_col, threshold, counts), "lines")
     entries = _entries(lines)
     met = staged(candidates(entries, threshold, paired, tile), "candidates")
-    first = met.groupBy("h1", "h2").agg(F.min(position()).alias("at"), F.min(F.struct(*_position_first("e_"))).alias("e"))
+    first = met.groupBy("h1", "h2").agg(F.min(position()).alias("at"), F.min(F.struct("apart", *_position_first("e_"))).alias("e"))
     first = first.select("h1", "h2", "at.doc_id", "at.row", "at.line", *[F.col(f"e.{name}").alias(f"e_{name}") for name in _X])
     first = staged(first, "first_candidates")
     found = _similar(first, docs, id_col, text_col, threshold)
