@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>?", re.S
@@ -20,8 +21,6 @@ _RAW = {
 _NEXT = {tag: re.compile(rf"<(/?){tag}\b[^>]*>?", re.I) for tag in _RAW}
 #: Elements with markup inside that is no text of the page. One without a close tag of its own is left out instead.
 _DROPPED = frozenset("svg object select template".split())
-#: Readings of a page in which more such tags turn out to have no close tag, before all of them are left out.
-_READINGS = 5
 #: A slash that ends an unquoted value closes nothing.
 _UNQUOTED = re.compile(r"""=\s*[^\s"'=][^\s"'>]*\Z""")
 _INLINE = frozenset(
@@ -56,22 +55,21 @@ def _self_closed(attributes: str) -> bool:
 
 
 def parse(page: str) -> list[Node]:
-    """Nodes in page order, parents first. Leaves, with tag ``#text``, hold decoded text in single spaces."""
-    left_out: set[int] | None = set()
-    for _ in range(_READINGS):
-        nodes, unclosed = _read(page, left_out)
-        if not unclosed:
-            return nodes
-        left_out |= unclosed
-    return _read(page, None)[0]
-
-
-def _read(page: str, left_out: set[int] | None) -> tuple[list[Node], set[int]]:
-    """The nodes without those in dropped elements, and where dropped elements begin that have no close tag of their
-    own. Tags of such elements that begin at ``left_out`` (None: all) are passed over."""
+    """Nodes in page order, parents first. Leaves, with tag ``#text``, hold decoded text in single spaces.
+
+    A first reading finds where dropped elements end that have a close tag of their own. If there are any dropped tags,
+    a second one skips those elements and passes over the tags of the others.
+    """
+    nodes, ends = _read(page, None)
+    return nodes if ends is None else _read(page, ends)[0]
+
+
+def _read(page: str, skip: dict[int, int] | None) -> tuple[list[Node], dict[int, int] | None]:
+    """The nodes, and by their start the ends of dropped elements that have a close tag of their own (None if the page has
+    no tag of a dropped element). ``skip``: such ends as an earlier reading found them."""
     root = Node("#root", None)
     dropped: list[tuple[int, int]] = []  # depth and start of open dropped elements
-    unclosed: set[int] = set()
+    ends: dict[int, int] | None = None
     nodes, open_, links, run, linked, at = [root], [root], [0], [], 0, 0
 
     def add_text(raw: str) -> None:
@@ -93,13 +91,18 @@ def _read(page: str, left_out: set[int] | None) -> tuple[list[Node], set[int]]:
             run.clear()
         linked = 0
 
-    def close(depth: int, own: bool = False) -> None:
+    def close(depth: int, end: int | None = None) -> None:
+        """Ends the open elements from ``depth`` on, the first of them by a close tag of its own that ends at ``end``."""
         while dropped and dropped[-1][0] >= depth:
             at_depth, start = dropped.pop()
-            if not (own and at_depth == depth):
-                unclosed.add(start)
+            if end is not None and at_depth == depth:
+                ends[start] = end
+        for element in open_[depth:]:
+            count[element.tag] -= 1
         del open_[depth:], links[depth:]
 
+    count: Counter[str] = Counter()
+
     while True:
         found = _TAG.search(page, at)
         add_text(page[at : found.start()] if found else page[at:])
@@ -117,10 +120,10 @@ def _read(page: str, left_out: set[int] | None) -> tuple[list[Node], set[int]]:
             continue
         flush()
         if found[1]:
-            for depth in range(len(open_) - 1, 0, -1):
-                if open_[depth].tag == tag or (tag in _HEADINGS and open_[depth].tag in _HEADINGS):
-                    close(depth, own=True)
-                    break
+            same = _HEADINGS if tag in _HEADINGS else (tag,)
+            if any(count[name] for name in same):
+                depth = next(d for d in range(len(open_) - 1, 0, -1) if open_[d].tag in same)
+                close(depth, found.end())
             continue
         if tag in _RAW:
             if tag == "noscript" or dropped:
@@ -132,9 +135,14 @@ def _read(page: str, left_out: set[int] | None) -> tuple[list[Node], set[int]]:
                 at = end.end() if end else len(page)
             continue
         if tag in _DROPPED:
-            if left_out is not None and found.start() not in left_out and not (tag == "svg" and _self_closed(found[3])):
+            if skip is not None:
+                at = skip.get(found.start(), at)
+                continue
+            ends = {} if ends is None else ends
+            if not (tag == "svg" and _self_closed(found[3])):
                 dropped.append((len(open_), found.start()))
                 open_.append(Node(tag, None))
+                count[tag] += 1
                 links.append(links[-1])
             continue
         if open_[-1].tag == "p":
@@ -152,7 +160,7 @@ def _read(page: str, left_out: set[int] | None) -> tuple[list[Node], set[int]]:
             nodes.append(node)
         if tag not in _VOID:
             open_.append(node)
+            count[tag] += 1
             links.append(links[-1])
     flush()
-    unclosed.update(start for _, start in dropped)
-    return nodes, unclosed
+    return nodes, ends

@@ -1,11 +1,13 @@
 """Main text of web pages: boosted trees over DOM nodes, then one consistent choice for the whole tree.
 
 A node's features are its tag and its ancestors' tags, tokens of class, id and role in groups, depth,
-subtree density, share of link text, punctuation and the statistics of its siblings. The trees are fitted
+subtree density, share of link text, punctuation, whether its lines end as sentences do, its share of the page's prose
+(text that is no link), the statistics of its siblings, and what its parent and grandparent hold. The trees are fitted
 by Spark ML on nodes of generated pages whose layout, and so whose labels, are known (``TRAINING_PAGES``, a
 documented bound; no page of the table is needed). Each task scores the nodes of many pages at once.
 
-Decoding: a node's log odds and the best of its subtrees add up from the leaves to the root; from the root
+Decoding: an element that holds one stretch of text and nothing else stays or goes with it, so both get the mean of their
+log odds. Then a node's log odds and the best of its subtrees add up from the leaves to the root; from the root
 down, a subtree is kept if its sum is positive. So nothing is kept inside what is dropped, and a container
 goes with what it holds, whatever its own score.
 
@@ -30,9 +32,9 @@ from pyspark.sql import types as T
 from foulee.llm.dom import Node, parse
 from foulee.llm.frames import annotate, read
 
-TRAINING_PAGES = 600
-TREES = 30
-DEPTH = 5
+TRAINING_PAGES = 2400
+TREES = 40
+DEPTH = 6
 
 _TAGS = "p h1 h2 h3 div article main section ul ol li table tr td blockquote pre figure figcaption dl nav header footer aside form button label hr #text".split()
 _ABOVE = "article main section ul ol table blockquote pre figure nav header footer aside form button".split()
@@ -52,6 +54,9 @@ GROUPS = {
 }
 _GROUP_OF = {word: i for i, words in enumerate(GROUPS.values()) for word in words.split()}
 _MARKS = re.compile(r"[.,;:!?]")
+_ENDS = tuple(".!?:;\u2026\"\u201d\u00bb)")
+_OWNERS = re.compile(r"\u00a9|\(c\)|copyright|rights reserved", re.I)
+_HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Marks the kept text of generated pages; removed before anything is measured.
 _KEPT = ""
 
@@ -65,12 +70,14 @@ def measured(nodes: Sequence[Node]) -> list[tuple]:
     n = len(nodes)
     place = {id(node): i for i, node in enumerate(nodes)}
     parents = [place.get(id(node.parent), -1) for node in nodes]
-    text, link, marks, words, tags = ([0] * n for _ in range(5))
+    text, link, marks, words, tags, lines, ended, owners, paragraphs, headings = ([0] * n for _ in range(10))
     for i in range(n - 1, -1, -1):
         node, up = nodes[i], parents[i]
         if node.text:
             text[i], link[i] = len(node.text), node.link
             marks[i], words[i] = len(_MARKS.findall(node.text)), node.text.count(" ") + 1
+            lines[i], ended[i] = 1, int(node.text.endswith(_ENDS))
+            owners[i] = int(bool(_OWNERS.search(node.text)))
         elif node.tag != "#text":
             tags[i] += 1
         if up >= 0:
@@ -79,9 +86,14 @@ def measured(nodes: Sequence[Node]) -> list[tuple]:
             marks[up] += marks[i]
             words[up] += words[i]
             tags[up] += tags[i]
+            lines[up] += lines[i]
+            ended[up] += ended[i]
+            owners[up] += owners[i]
+            paragraphs[up] += node.tag == "p"
+            headings[up] += node.tag in _HEADING
     passed: list[tuple[int, int, bool]] = []  # what each node hands down: tags, groups, hidden
     rows = []
-    total = max(text[0], 1)
+    total, prose = max(text[0], 1), max(text[0] - link[0], 1)
     for i, node in enumerate(nodes):
         up = parents[i]
         tag_bits, group_bits, hidden = passed[up] if up >= 0 else (0, 0, False)
@@ -92,11 +104,16 @@ def measured(nodes: Sequence[Node]) -> list[tuple]:
                     own_bits |= 1 << _GROUP_OF[token]
         hidden = hidden or bool(node.hidden)
         siblings, outer = (len(node.parent.children), up) if up >= 0 else (1, i)
+        further = parents[outer] if parents[outer] >= 0 else outer
+        before = node.parent.children[node.index - 1].tag if up >= 0 and node.index else ""
         rows.append(
             (
                 _TAG_INDEX.get(node.tag, len(_TAGS)), tag_bits, own_bits, group_bits, hidden, node.depth,
                 text[i], link[i], marks[i], words[i], tags[i], len(node.children), node.index, siblings,
                 text[outer], link[outer], marks[outer], words[outer], total,
+                lines[i], ended[i], owners[i], paragraphs[i], headings[i], (text[i] - link[i]) / prose,
+                lines[outer], ended[outer], owners[outer], paragraphs[outer], headings[outer], (text[outer] - link[outer]) / prose,
+                paragraphs[further], (text[further] - link[further]) / prose, before in _HEADING, before == "p",
             )
         )
         passed.append((tag_bits | _ABOVE_BIT.get(node.tag, 0), group_bits | own_bits, hidden))
@@ -107,13 +124,17 @@ def features(rows: Sequence[tuple]) -> np.ndarray:
     """The trees' features of nodes that were measured, of any number of pages."""
     table = np.array(rows, np.float64)
     tag, above, own, group = table[:, :4].astype(np.int64).T
-    hidden, depth, text, link, marks, words, tags, children, index, siblings, text_up, link_up, marks_up, words_up, total = table[:, 4:].T
+    hidden, depth, text, link, marks, words, tags, children, index, siblings, text_up, link_up, marks_up, words_up, total = table[:, 4:19].T
+    lines, ended, owners, paragraphs, headings, prose, lines_up, ended_up, owners_up, paragraphs_up, headings_up = table[:, 19:30].T
+    prose_up, paragraphs_above, prose_above, after_heading, after_paragraph = table[:, 30:].T
     bits = lambda x, n: x[:, None] >> np.arange(n) & 1
     least = lambda x: np.maximum(x, 1)
     numbers = [
         hidden, depth, np.log1p(text), text / total, link / least(text), marks / least(words), np.log1p(words),
         text / (tags + 1), children, index / siblings, np.log1p(siblings), text / (text_up / siblings + 1),
         text_up / total, link_up / least(text_up), marks_up / least(words_up),
+        lines, ended / least(lines), owners, paragraphs, headings, prose, ended_up / least(lines_up), owners_up, paragraphs_up,
+        headings_up, prose_up, paragraphs_above, prose_above, after_heading, after_paragraph,
     ]
     kinds = (tag[:, None] == np.arange(len(_TAGS))).astype(np.float64)
     return np.column_stack([kinds, bits(above, len(_ABOVE)), bits(own, len(GROUPS)), bits(group, len(GROUPS)), *numbers])
@@ -122,20 +143,23 @@ def features(rows: Sequence[tuple]) -> np.ndarray:
 # --- Generated pages ---------------------------------------------------------------------------------
 
 
-def _words(rng: random.Random, low: int, high: int) -> str:
-    """Prose of invented words, with the marks that prose has."""
-    out = []
-    for i in range(rng.randint(low, high)):
-        word = "".join(rng.choice("aeioulnrst") + rng.choice("bcdfghmnprst") for _ in range(rng.randint(1, 4)))
-        mark = rng.random()
-        out.append(word + (", " if mark < 0.08 else ". " if mark < 0.16 else " "))
-    return "".join(out).strip() + rng.choice(["", ".", "."])
+def _words(rng: random.Random, low: int, high: int, prose: bool | None = None) -> str:
+    """Invented words. Prose has the marks and capitals that prose has and ends as a sentence; what is no prose has few."""
+    out, begins, count = [], True, rng.randint(low, high)
+    prose = count > 4 if prose is None else prose
+    for i in range(count):
+        word = "".join(rng.choice("aeioulnrst") + rng.choice("bcdfghmnprst") for _ in range(rng.choice([1, 1, 2, 2, 3, 4])))
+        mark = rng.random() if prose and i + 1 < count else 1
+        out.append((word.capitalize() if begins or not prose and rng.random() < 0.3 else word) + (", " if mark < 0.08 else ". " if mark < 0.16 else " "))
+        begins = 0.08 <= mark < 0.16
+    return "".join(out).strip() + (rng.choice([".", ".", ".", ".", "!", "?", ":", ""]) if prose else "")
 
 
 def _element(rng: random.Random, tag: str, group: str | None, inside: str) -> str:
     """An element that, more often than not, is named after what it is."""
     names = ""
-    if group and rng.random() < 0.75:
+    # What is no article says so more often: pages style it apart.
+    if group and rng.random() < (0.75 if group == "content" else 0.9):
         word = rng.choice(GROUPS[group].split())
         word = rng.choice([word, f"{word}-{rng.choice(['box', 'wrap', 'list', 'area'])}", f"site-{word}", f"{word}{rng.randint(1, 9)}"])
         names = f' {rng.choice(["class", "class", "id"])}="{word}"'
@@ -145,7 +169,10 @@ def _element(rng: random.Random, tag: str, group: str | None, inside: str) -> st
 
 
 def _links(rng: random.Random, low: int = 2, high: int = 9) -> str:
-    links = [f'<a href="/{i}">{_words(rng, 1, 3)}</a>' for i in range(rng.randint(low, high))]
+    if rng.random() < 0.05:
+        return _words(rng, 1, 3, False)
+    longest = rng.choice([2, 3, 3, 9])  # teasers of other pages are longer
+    links = [f'<a href="/{i}">{_words(rng, 1, longest, False)}</a>' for i in range(rng.randint(low, high))]
     if rng.random() < 0.6:
         return "<ul>" + "".join(f"<li>{link}</li>" for link in links) + "</ul>"
     return rng.choice([" | ", " ", ""]).join(links)
@@ -154,11 +181,16 @@ def _links(rng: random.Random, low: int = 2, high: int = 9) -> str:
 def _boilerplate(rng: random.Random, kind: str) -> str:
     text = _words(rng, 2, 30)
     if kind == "menu":
-        return _element(rng, rng.choice(["nav", "nav", "div", "ul"]), "menu", _links(rng))
+        return _element(rng, rng.choice(["nav", "nav", "div", "div", "ul"]), rng.choice(["menu", "menu", None]), _links(rng))
     if kind == "head":
-        return _element(rng, rng.choice(["header", "header", "div"]), "head", rng.choice([f"<h1>{_words(rng, 1, 4)}</h1>", _words(rng, 1, 6)]) + rng.choice(["", _links(rng)]))
+        title = rng.choice([f"<h1>{_words(rng, 1, 4, False)}</h1>", _words(rng, 1, 6, False), f'<a href="/">{_words(rng, 1, 3, False)}</a>'])
+        menu = rng.choice(["", "", _links(rng), f"<nav>{_links(rng)}</nav>"])
+        return _element(rng, rng.choice(["header", "header", "div"]), "head", title + menu)
     if kind == "foot":
-        return _element(rng, rng.choice(["footer", "footer", "div"]), "foot", rng.choice(["", f"<p>{text}</p>", _links(rng)]) + f"&copy; {_words(rng, 2, 25)}")
+        owner = f"{rng.choice(['&copy;', '&copy;', 'Copyright', '(c)'])} {rng.choice(['', '2019 ', '2024 '])}{_words(rng, 1, 12)}{rng.choice(['', ' All rights reserved.'])}"
+        owner = rng.choice(["{}", "<p>{}</p>", "<small>{}</small>"]).format(owner)
+        inside = rng.choice(["", "", f"<p>{text}</p>", _links(rng)]) + (owner if rng.random() < 0.85 else f"<p>{text}</p>")
+        return _element(rng, rng.choice(["footer", "footer", "div"]), rng.choice(["foot", "foot", None]), inside)
     if kind == "side":
         inside = "".join(f"<h3>{_words(rng, 1, 3)}</h3>{rng.choice([_links(rng), f'<p>{text}</p>'])}" for _ in range(rng.randint(1, 3)))
         return _element(rng, rng.choice(["aside", "aside", "div"]), "side", inside)
@@ -181,18 +213,23 @@ def _boilerplate(rng: random.Random, kind: str) -> str:
 def _article(rng: random.Random) -> str:
     """Kept blocks, and now and then an advert or share links between them."""
     keep = lambda low, high: _KEPT + _words(rng, low, high)
-    out = [rng.choice([f"<h1>{keep(1, 9)}</h1>", f"<h2>{keep(1, 9)}</h2>", ""])]
+    heading = lambda low, high: _KEPT + _words(rng, low, high, rng.random() < 0.1)
+    out = [rng.choice([f"<h1>{heading(1, 9)}</h1>", f"<h1>{heading(1, 9)}</h1>", f"<h2>{heading(1, 9)}</h2>", ""])]
     if rng.random() < 0.2:
         out[0] = f"<header>{out[0]}</header>"
-    count = rng.choice([1, 1, 1, 1, 2, 3, 5, 8, 12, 20])
+    count = rng.choice([1, 1, 1, 2, 2, 3, 3, 5, 8, 12, 20])
     for _ in range(count):
         kind = rng.random() * (0.7 if count == 1 else 1)
         if kind < 0.68:
-            linked = f' <a href="y">{_words(rng, 1, 3)}</a> ' if rng.random() < 0.2 else ""
-            out.append(rng.choice(["<p>{}</p>", "<p>{}</p>", "<p>{}", "<p><b>{}<br>", "<div>{}</div>"]).format(keep(1, rng.choice([8, 40, 90])) + linked))
+            block = _KEPT + _words(rng, 1, rng.choice([2, 8, 40, 90]), rng.random() < 0.9)
+            if rng.random() < 0.3:
+                # A link of a few words or of most of the paragraph, at its end or within it.
+                link = f'<a href="y">{_words(rng, 1, rng.choice([3, 3, 8, 16]), False)}</a>'
+                block = rng.choice([f"{block} {link}", f"{block} {link}.", f"{block} {link} {_words(rng, 1, 30)}", f"{keep(1, 3)} {link}."])
+            out.append(rng.choice(["<p>{}</p>", "<p>{}</p>", "<p>{}</p>", "<p>{}", "<p><b>{}<br>", "<div>{}</div>"]).format(block))
         elif kind < 0.76:
             level = rng.randint(2, 4)
-            out.append(f"<h{level}>{keep(1, 6)}</h{level}>")
+            out.append(f"<h{level}>{heading(1, 6)}</h{level}>")
         elif kind < 0.82:
             tag = rng.choice(["ul", "ol"])
             out.append(f"<{tag}>" + "".join(f"<li>{keep(1, 25)}</li>" for _ in range(rng.randint(1, 6))) + f"</{tag}>")
@@ -213,13 +250,19 @@ def generated_page(rng: random.Random) -> str:
     """A page whose kept blocks begin with the mark."""
     some = lambda kinds, chance: "".join(_boilerplate(rng, k) for k in kinds if rng.random() < chance)
     inside = _article(rng) if rng.random() < 0.97 else ""
-    main = _element(rng, rng.choice(["article", "article", "article", "main", "div", "section"]), "content", inside)
+    wrap = rng.choice(["article"] * 4 + ["main"] * 2 + ["div"] * 4 + ["section"] * 2 + [""])
+    # Without a wrapper the blocks are the body's own.
+    main = _element(rng, wrap, rng.choice(["content", None, None]), inside) if wrap else inside
     if rng.random() < 0.4:
         main = _element(rng, rng.choice(["main", "div", "section"]), rng.choice(["content", None]), some(["menu", "advert"], 0.2) + main + some(["share", "comment", "side"], 0.3))
-    parts = [some(["notice", "head", "menu", "form", "advert"], 0.5), main, some(["share", "comment", "side", "advert", "notice", "form"], 0.35), some(["foot"], 0.8)]
-    if rng.random() < 0.25:
+    for _ in range(rng.choice([0, 0, 0, 1, 2])):
+        main = f"<div>{main}</div>"
+    parts = [some(["notice", "head", "menu", "form", "advert"], 0.45), main, some(["share", "comment", "side", "advert", "notice", "form"], 0.3), some(["foot"], 0.8)]
+    if rng.random() < 0.15:
         parts[1], parts[2] = parts[2], parts[1]
     body = "".join(parts)
+    if rng.random() < 0.05:  # a page without an article
+        body = "".join(_boilerplate(rng, rng.choice(["menu", "menu", "head", "foot", "form", "notice"])) for _ in range(rng.choice([1, 1, 2])))
     if rng.random() < 0.2:
         body = _element(rng, "div", None, body)
     page = f"<html><head><title>{_words(rng, 2, 6)}</title></head><body>{body}</body></html>"
@@ -321,6 +364,17 @@ def fitted(spark: SparkSession) -> Trees:
     return _FITTED[TRAINING_PAGES]
 
 
+def together(nodes: Sequence[Node], odds: np.ndarray) -> np.ndarray:
+    """``odds`` with the mean of both for an element and its only child, where that is text."""
+    out = odds.copy()
+    place = {id(node): i for i, node in enumerate(nodes)}
+    for i, node in enumerate(nodes):
+        if node.text and node.parent is not None and len(node.parent.children) == 1 and node.parent.parent is not None:
+            up = place[id(node.parent)]
+            out[i] = out[up] = (odds[i] + odds[up]) / 2
+    return out
+
+
 def chosen(nodes: Sequence[Node], odds: np.ndarray) -> list[str]:
     """Texts of the leaves in the best choice that keeps no node under one that goes."""
     best = odds.tolist()
@@ -350,7 +404,7 @@ def extract(pages: DataFrame, html_col: str, keep: Sequence[str], trees: Trees |
             rows = [row for nodes in trees_of for row in measured(nodes)]
             odds, at, out = own.log_odds(features(rows)), 0, []
             for nodes in trees_of:
-                out.append("\n\n".join(chosen(nodes, odds[at : at + len(nodes)])))
+                out.append("\n\n".join(chosen(nodes, together(nodes, odds[at : at + len(nodes)]))))
                 at += len(nodes)
             return [pa.array(out, pa.string())]
 
