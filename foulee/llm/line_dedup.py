@@ -499,7 +499,8 @@ def removed_lines(
         again = bloom.members(entries, words, "word").withColumn("h2", F.shiftright("h2_size", 32).cast("int"))
         again = left_lookup(again, opened, ["h1", "h2"], unique=True)
         settled = F.when(F.col("open").isNull(), F.col("h2_size").bitwiseOR(F.lit(_SETTLED))).otherwise(F.col("h2_size"))
-        again = again.withColumn("h2_size", settled).select("word", *_ENTRY)
+        # Written once: dealing reads them three times, and they come from a scan of all entries.
+        again = staged(again.withColumn("h2_size", settled).select("word", *_ENTRY), "crowded_entries")
         third = candidates(again, threshold, None, tile).select(*_X, *_E).distinct()
         found = found.unionByName(_similar(third, docs, id_col, text_col, threshold))
     return _gone(lines.select("doc_id", "row", "line", "h1", "h2"), found.distinct())
