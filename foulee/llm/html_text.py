@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import random
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +30,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foulee.llm.dom import Node, parse
-from foulee.llm.frames import annotate, read
+from foulee.llm.frames import annotate, map_arrow, read
 
 TRAINING_PAGES = 2400
 TREES = 40
 DEPTH = 6
+#: Tasks that measure the training pages, and the rows of a block, which goes to one of them as a whole.
+SLICES = 4
+DEALT = 1024
 
 _TAGS = "p h1 h2 h3 div article main section ul ol li table tr td blockquote pre figure figcaption dl nav header footer aside form button label hr #text".split()
 _ABOVE = "article main section ul ol table blockquote pre figure nav header footer aside form button".split()
@@ -341,14 +344,37 @@ class Trees:
         return 2 * total
 
 
+def training_rows(spark: SparkSession, n_pages: int, seed: int) -> DataFrame:
+    """Features ``x`` and ``label`` of each node of generated pages. The driver draws the pages, whose number is fixed;
+    their nodes, a hundred times as large, are measured in tasks and stay there. Rows are dealt to ``SLICES`` tasks in
+    order and then round robin, on every cluster alike, as Spark ML's thresholds come from a sample of each partition."""
+    rng = random.Random(seed)
+    pages = [generated_page(rng) for _ in range(n_pages)]
+    begins = np.cumsum([0, *(len(parse(page)) for page in pages)])
+    blocks = -(-int(begins[-1]) // DEALT)
+    cuts = [min(i * blocks // SLICES * DEALT, int(begins[-1])) for i in range(SLICES + 1)]
+    slices = []
+    for low, high in zip(cuts, cuts[1:]):
+        first, last = int(np.searchsorted(begins, low, "right")) - 1, int(np.searchsorted(begins, high))
+        slices.append((pages[first:last], low - int(begins[first]), high - low))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for one in (row for batch in batches for row in batch.to_pylist()):
+            skip, left = one["skip"], one["n"]
+            for page in one["pages"]:
+                nodes, labels = labelled(page)
+                x, y = features(measured(nodes))[skip : skip + left], labels[skip : skip + left]
+                skip, left = 0, left - len(y)
+                offsets = pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1])
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(offsets, pa.array(x.ravel())), pa.array(y, pa.float64())], ["x", "label"])
+
+    frame = spark.createDataFrame(spark.sparkContext.parallelize(slices, SLICES), "pages array<string>, skip long, n long")
+    return map_arrow(frame, run, "x array<double>, label double").repartition(SLICES)
+
+
 def fit(spark: SparkSession, n_pages: int = TRAINING_PAGES, seed: int = 7) -> Trees:
     """Boosted trees for generated pages, fitted by Spark ML."""
-    rng, rows = random.Random(seed), []
-    for _ in range(n_pages):
-        nodes, labels = labelled(generated_page(rng))
-        rows += list(zip(features(measured(nodes)).tolist(), labels))
-    frame = spark.createDataFrame(rows, "x array<double>, label double").repartition(4)
-    frame = frame.select(array_to_vector("x").alias("features"), "label").cache()
+    frame = training_rows(spark, n_pages, seed).select(array_to_vector("x").alias("features"), "label").cache()
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=seed, maxBins=64).fit(frame)
     frame.unpersist()
     return Trees(model.toDebugString)

@@ -1,4 +1,5 @@
 import html
+import os
 import random
 import re
 
@@ -52,6 +53,28 @@ def test_svg_object_select_template_and_noscript():
     assert leaves("<svg><template>" * 3000 + "<p>a<p>b<p>c") == want
 
 
+def test_nodes_of_training_pages_stay_in_tasks(spark, monkeypatch):
+    """The driver measures no node: only tasks do. The rows are those of the pages, wherever the slices end."""
+    rng, want = random.Random(3), []
+    for _ in range(9):
+        nodes, labels = html_text.labelled(html_text.generated_page(rng))
+        want += list(zip(html_text.features(html_text.measured(nodes)).tolist(), labels))
+    for dealt in (1, 50, 1024):
+        monkeypatch.setattr(html_text, "DEALT", dealt)
+        rows = html_text.training_rows(spark, 9, 3)
+        assert sorted((r.x, r.label) for r in rows.collect()) == sorted(want) and rows.rdd.getNumPartitions() == 4
+
+    driver, real = os.getpid(), html_text.measured
+
+    def in_task(nodes):
+        assert os.getpid() != driver
+        return real(nodes)
+
+    monkeypatch.setattr(html_text, "measured", in_task)
+    monkeypatch.setattr(html_text, "TREES", 2)
+    assert len(html_text.fit(spark, 9).trees) == 2
+
+
 def test_trees_agree_with_spark(spark):
     """The arrays give the same classes as the model that they were read from."""
     rng, rows = random.Random(1), []
