@@ -1,10 +1,11 @@
 """Token ids of whole texts from a tokenizer of the ``tokenizers`` library, word by word.
 
 The vocabulary's words never reach over white space, so a text's ids are those of its words in order, and
-a word's ids are looked up once for each worker. Only chunks of ASCII and Latin-1 letters, digits and
-marks are cut further (letters, single digits, runs of marks); a chunk with anything else, apostrophes
-included, goes to the tokenizer as it is, and so does one that holds a special token's string: the tokenizer gives the
-token's id there, in the case of letters that it asks for. All ids come from the tokenizer itself.
+a word's ids are looked up once for each worker. A text of ASCII and Latin-1 letters, digits and marks is cut into
+pieces at once (letters, single digits, runs of marks). Other texts are cut into chunks at white space first: a chunk
+with anything else, apostrophes included, goes to the tokenizer as it is, and so does one that holds a special token's
+string: the tokenizer gives the token's id there, in the case of letters that it asks for. All ids come from the
+tokenizer itself.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ _PIECE = re.compile(rf"[a-zß-öø-ÿ]+|[0-9]|[{_MARKS}]+")
 _CHUNK = re.compile(rf"[^{_SPACE}]+")
 #: Entries that a worker remembers of chunks and of pieces: about 200 bytes each.
 CACHED = 500_000
-_JOINED = 1000
+#: Pieces that the tokenizer gets as one text; of longer ones it takes more time a piece.
+_JOINED = 100
 
 
 class WordEncoder:
@@ -67,14 +69,19 @@ class WordEncoder:
             self.chunks.clear()
         if len(self.pieces) > CACHED:
             self.pieces.clear()
-        as_it_is = lambda text: _ODD.search(text) or self.special.search(text)
-        cut = [_CHUNK.findall(text) if as_it_is(text) else text.lower().split() for text in texts]
         new: set[str] = set()
-        for chunks in cut:
-            new.update(chunks)
+        pieces: set[str] = set()
+        cut = []
+        for text in texts:
+            if _ODD.search(text) or self.special.search(text):
+                cut.append((self.chunks, _CHUNK.findall(text)))
+                new.update(cut[-1][1])
+            else:
+                cut.append((self.pieces, _PIECE.findall(text.lower())))
+                pieces.update(cut[-1][1])
+        self._learn_pieces(list(pieces.difference(self.pieces)))
         self._learn(new.difference(self.chunks))
-        known = self.chunks.__getitem__
-        return [b"".join(map(known, chunks)) for chunks in cut]
+        return [b"".join(map(known.__getitem__, words)) for known, words in cut]
 
 
 @lru_cache(maxsize=1)

@@ -24,6 +24,16 @@ def test_special_strings_have_the_tokenizers_ids(tokenizer):
     assert found[0] == [320, 49407, 321]
 
 
+def test_plain_texts_are_cut_at_once(tokenizer):
+    """Only distinct letters, digits and marks are remembered of plain texts, not every word with the marks around it."""
+    encoder = WordEncoder(packing.tokenizer_path())
+    texts = ["Ab, ab. (ab) ab!? 12\tÉlan\x0bélan...", "", "ab", " \n", "a-b_c"]
+    found = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(texts)]
+    assert found == [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert not encoder.chunks
+    assert set(encoder.pieces) == {"ab", ",", ".", "(", ")", "!?", "1", "2", "élan", "...", "a", "-", "b", "_", "c"}
+
+
 def slots(intervals):
     return [
         (length, rank + i, sequence + i, offset)
