@@ -264,12 +264,14 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope(table_stream(spark, sf_dir, "events"))
 
 
-def _file_stream(rows: Sequence[DataFrame], per_batch: int) -> DataFrame:
-    """Frames written one after the other as files, arriving as a stream in batches of so many files."""
+def _file_stream(rows: Sequence[DataFrame], parts: int, per_batch: int) -> DataFrame:
+    """Frames written one after the other, each in so many parts, arriving as a stream in batches of ``per_batch`` parts.
+    A part is as many files as give every core one of a batch: a file is written, read and decoded by one task."""
     spark, path = rows[0].sparkSession, scratch_path(rows[0].sparkSession, "arrivees")
-    for part in rows:
-        part.write.mode("append").parquet(path)
-    return spark.readStream.schema(rows[0].schema).option("maxFilesPerTrigger", per_batch).parquet(path)
+    files = -(-spark.sparkContext.defaultParallelism // per_batch)
+    for frame in rows:
+        frame.repartition(parts * files).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows[0].schema).option("maxFilesPerTrigger", per_batch * files).parquet(path)
 
 
 def snapshot_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,7 +280,7 @@ def snapshot_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = envelope(table(spark, sf_dir, "events"), ["ts"], identified=True)
     again = F.regexp_replace("value", '"op": "c"', '"op": "r"')
     later = first.select("event_id", (F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"), again.alias("value"))
-    return _file_stream([first.repartition(3), later.repartition(3)], 2)
+    return _file_stream([first, later], 3, 2)
 
 
 def activity_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -310,7 +312,7 @@ def activity_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def activity_change_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, arriving in several batches."""
-    return _file_stream([activity_changes(spark, sf_dir).repartition(5)], 2)
+    return _file_stream([activity_changes(spark, sf_dir)], 5, 2)
 
 
 def _extract(df: DataFrame, headers: dict[str, str], **texts: Column) -> DataFrame:

@@ -245,3 +245,23 @@ def test_measures_are_what_the_folders_hold(spark):
     for lot in {lot for lot, _ in measured}:
         assert measured[lot, "messages"] == read_outbox(spark, f"{outbox}/messages").filter(F.col("lot") == lot).count()
         assert measured[lot, "rejets"] == sum(n for (own, name), n in measured.items() if own == lot and name.startswith("rejets:"))
+
+
+def test_stream_files_give_every_core_one_of_each_batch(spark):
+    """A file is one task's work from its writing to its decoding: batches hold as many files as there are cores."""
+    from foulee.testbed import tables
+
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(1000).selectExpr("id")
+    for parts, per_batch in ((3, 2), (5, 2)):
+        sizes, seen = [], []
+
+        def each(batch, _):
+            found = batch.selectExpr("id", "input_file_name() AS file").collect()
+            sizes.append(len({r.file for r in found}))
+            seen.extend(r.id for r in found)
+
+        stream = tables._file_stream([rows, rows], parts, per_batch)
+        stream.writeStream.foreachBatch(each).trigger(availableNow=True).start().awaitTermination()
+        assert len(sizes) == -(-2 * parts // per_batch) and all(n >= cores for n in sizes)
+        assert sorted(seen) == sorted([*range(1000)] * 2)
