@@ -264,11 +264,12 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope(table_stream(spark, sf_dir, "events"))
 
 
-def _file_stream(rows: Sequence[DataFrame], parts: int, per_batch: int) -> DataFrame:
+def _file_stream(rows: Sequence[DataFrame], parts: int, per_batch: int, spread: bool = False) -> DataFrame:
     """Frames written one after the other, each in so many parts, arriving as a stream in batches of ``per_batch`` parts.
-    A part is as many files as give every core one of a batch: a file is written, read and decoded by one task."""
+    A part is a file, or, ``spread``, as many as give every core one of a batch: a file is one task's work. What comes in
+    which batch then depends on the number of cores."""
     spark, path = rows[0].sparkSession, scratch_path(rows[0].sparkSession, "arrivees")
-    files = -(-spark.sparkContext.defaultParallelism // per_batch)
+    files = -(-spark.sparkContext.defaultParallelism // per_batch) if spread else 1
     for frame in rows:
         frame.repartition(parts * files).write.mode("append").parquet(path)
     return spark.readStream.schema(rows[0].schema).option("maxFilesPerTrigger", per_batch * files).parquet(path)
@@ -280,7 +281,7 @@ def snapshot_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = envelope(table(spark, sf_dir, "events"), ["ts"], identified=True)
     again = F.regexp_replace("value", '"op": "c"', '"op": "r"')
     later = first.select("event_id", (F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"), again.alias("value"))
-    return _file_stream([first, later], 3, 2)
+    return _file_stream([first, later], 3, 2, spread=True)
 
 
 def activity_changes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -261,7 +261,7 @@ def test_stream_files_give_every_core_one_of_each_batch(spark):
             sizes.append(len({r.file for r in found}))
             seen.extend(r.id for r in found)
 
-        stream = tables._file_stream([rows, rows], parts, per_batch)
+        stream = tables._file_stream([rows, rows], parts, per_batch, spread=True)
         stream.writeStream.foreachBatch(each).trigger(availableNow=True).start().awaitTermination()
         assert len(sizes) == -(-2 * parts // per_batch) and all(n >= cores for n in sizes)
         assert sorted(seen) == sorted([*range(1000)] * 2)
