@@ -11,7 +11,8 @@ sets are joined:
   set's prefix words once, with the earliest position at which it met the set.
 * Lists: an entry of a word's list is a set's name, position, size, the word's place and a signature. Entries of one set
   from several tasks become one with the earliest position, so of two entries the later one is the line that would go,
-  whatever the order in which tasks read the rows. A list of more than ``TILE`` entries is dealt over pairs of tiles.
+  whatever the order in which tasks read the rows. A list of more than ``TILE`` entries is dealt over pairs of tiles; only
+  words whose counter is above that are counted for it.
 * Length and positional filters: of the pairs in a list, those whose sizes and places leave room for enough common
   words. A list is in order of size, so pairs of too different sizes are never made. Then the signature: each word flips
   one of 64 bits (of 128 in sets of ``WIDE`` words or more), so two sets differ in at least as many words as their
@@ -35,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -160,13 +162,14 @@ def _place(row: np.ndarray, number: np.ndarray) -> np.ndarray:
 
 
 _SET = "h1 long, h2 int"
-_LINE = f"row long, line int, {_SET}, size int, signature long, signature_2 long, words array<long>, places array<int>"
+_LISTS = "words array<long>, places array<int>, often array<long>, often_places array<int>"
+_LINE = f"row long, line int, {_SET}, size int, signature long, signature_2 long, {_LISTS}"
 
 
-def lines_of(docs: DataFrame, id_col: str, text_col: str, threshold: float, counts) -> DataFrame:
+def lines_of(docs: DataFrame, id_col: str, text_col: str, threshold: float, counts, tile: int) -> DataFrame:
     """A row for each line with words: doc_id, row, line, the set's name, size and signature, and the prefix words with
-    their places. Sets that a task has met at an earlier position have no prefix words: one entry is enough. ``counts``
-    is the sketch, as a broadcast."""
+    their places; ``often`` has those whose lists may have more than ``tile`` entries. Sets that a task has met at an
+    earlier position have no prefix words: one entry is enough. ``counts`` is the sketch, as a broadcast."""
     docs = _keyed(docs, id_col, text_col)
     schema = T.StructType([docs.schema["doc_id"], *T.DataType.fromDDL(_LINE)])
 
@@ -191,14 +194,15 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str, threshold: float, coun
             place = np.arange(len(found.words)) - found.starts[line]
             prefix = found.sizes - np.ceil(threshold * found.sizes - 1e-9).astype(int) + 1
             listed = (place < prefix[line]) & (found.often > 1) & new[line]
-            offsets = np.concatenate(([0], np.cumsum(np.bincount(line[listed], minlength=len(h1)))))
-            offsets = pa.array(offsets.astype(np.int32))
+            lists = []
+            for some in (listed & (found.often <= tile), listed & (found.often > tile)):
+                offsets = np.concatenate(([0], np.cumsum(np.bincount(line[some], minlength=len(h1)))))
+                for values in (found.words[some].view(np.int64), place[some].astype(np.int32)):
+                    lists.append(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values)))
             yield pa.RecordBatch.from_arrays(
                 [
                     doc_id, row, pa.array(found.number.astype(np.int32)), pa.array(h1), pa.array(h2),
-                    pa.array(found.sizes.astype(np.int32)), pa.array(signature), pa.array(signature_2),
-                    pa.ListArray.from_arrays(offsets, pa.array(found.words[listed].view(np.int64))),
-                    pa.ListArray.from_arrays(offsets, pa.array(place[listed].astype(np.int32))),
+                    pa.array(found.sizes.astype(np.int32)), pa.array(signature), pa.array(signature_2), *lists,
                 ],
                 schema.names,
             )
@@ -212,44 +216,91 @@ def position(prefix: str = "") -> Column:
     return F.struct(F.col(names[0]).isNull().alias("no_id"), *[F.col(n).alias(n.removeprefix(prefix)) for n in names])
 
 
-_KEYS = ["word", "tile"]
-#: An entry in nine longs: name and size, signature, position with the word's place.
+#: An entry in nine longs, with word and tile: name and size, signature, position with the word's place.
 _ENTRY = ["h1", "h2_size", "signature", "signature_2", "doc_id", "row", "line_place"]
 #: Of an entry's size, the bit that says that its set needs no more candidates.
 _SETTLED = 1 << 31
 
 
-def _entries(lines: DataFrame) -> DataFrame:
-    """Rows of the words' lists."""
-    listed = lines.filter(F.size("words") > 0)
-    two = lambda high, low: F.shiftleft(F.col(high).cast("long"), 32).bitwiseOR(F.col(low).cast("long"))
-    spread = listed.select(
-        F.inline(F.arrays_zip("words", "places")), "h1", two("h2", "size").alias("h2_size"), "signature", "signature_2",
-        "doc_id", "row", "line",
-    )
-    return spread.select(F.col("words").alias("word"), *_ENTRY[:6], two("line", "places").alias("line_place"))
+def _two(high: str, low: str) -> Column:
+    """Two ints as a long."""
+    return F.shiftleft(F.col(high).cast("long"), 32).bitwiseOR(F.col(low).cast("long"))
+
+
+def _entries(lines: DataFrame, words: str, places: str) -> DataFrame:
+    """Rows of the lists of these words."""
+    spread = lines.filter(F.size(words) > 0).select(
+        F.inline(F.arrays_zip(F.col(words).alias("word"), F.col(places).alias("place"))),
+        "h1", _two("h2", "size").alias("h2_size"), "signature", "signature_2", "doc_id", "row", "line",
+    )
+    return spread.select("word", *_ENTRY[:6], _two("line", "place").alias("line_place"))
+
+
+def _entries_under(lines: DataFrame, words: DataFrame) -> DataFrame:
+    """Rows of the lists of ``words``, a written table of distinct ones."""
+    bitmaps = lines.sparkSession.sparkContext.broadcast(_filter_of(words, "word", words.count()))
+    lists = [F.concat("words", "often").alias("words"), F.concat("places", "often_places").alias("places")]
+    narrow = lines.select(*lists, "line", "h1", _two("h2", "size").alias("h2_size"), "signature", "signature_2", "doc_id", "row")
+    names = ["word", *_ENTRY]
+    kinds = {"doc_id": lines.schema["doc_id"].dataType}
+    schema = T.StructType([T.StructField(name, kinds.get(name, T.LongType())) for name in names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            word, place = (batch.column(i).flatten().to_numpy() for i in (0, 1))
+            some = np.flatnonzero(_among(word, bitmaps.value))
+            if not len(some):
+                continue
+            at = np.repeat(np.arange(batch.num_rows), batch.column(0).value_lengths().to_numpy())[some]
+            line = batch.column(2).to_numpy()[at].astype(np.int64)
+            columns = [column.take(pa.array(at)) for column in batch.columns[3:]]
+            line_place = pa.array(line << 32 | place[some].astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(word[some]), *columns, line_place], names)
+
+    return map_arrow(narrow, run, schema).join(words, "word", "left_semi")
+
+
+def _ranks(entries: pa.Table, at: np.ndarray) -> np.ndarray:
+    """Of the entries at these places, the order of their positions."""
+    own = pa.table([entries.column(i) for i in (6, 7, 8)], ["doc_id", "row", "line_place"]).take(pa.array(at))
+    order = pc.sort_indices(own, sort_keys=[(name, "ascending") for name in own.column_names], null_placement="at_end")
+    out = np.empty(len(at), np.int64)
+    out[order.to_numpy()] = np.arange(len(at))
+    return out
 
 
-def _first_of_each(run: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
-    """Places of the first row of each set in a list."""
-    order = np.lexsort((np.arange(len(run)), h2, h1, run))
+def _first_of_each(entries: pa.Table, run: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+    """Places of the entry of the earliest position of each set in a list."""
+    key = h1.view(np.uint64) ^ mix(run.astype(np.uint64), 13)
+    order = np.argsort(key)
     a, b = order[1:], order[:-1]
-    new = np.concatenate(([True], (run[a] != run[b]) | (h1[a] != h1[b]) | (h2[a] != h2[b])))[: len(order)]
-    return np.sort(order[new])
+    other = (run[a] != run[b]) | (h1[a] != h1[b]) | (h2[a] != h2[b])
+    if ((key[a] == key[b]) & other).any():
+        order = np.lexsort((h2, h1, run))
+        a, b = order[1:], order[:-1]
+        other = (run[a] != run[b]) | (h1[a] != h1[b]) | (h2[a] != h2[b])
+    starts = np.flatnonzero(np.concatenate(([True], other)))
+    sizes = np.diff(np.append(starts, len(run)))
+    repeated = np.repeat(sizes > 1, sizes)
+    several, group = order[repeated], np.repeat(np.arange(len(sizes)), sizes)[repeated]
+    by = np.lexsort((_ranks(entries, several), group))
+    several, group = several[by], group[by]
+    return np.concatenate((order[~repeated], several[np.diff(group, prepend=-1) > 0]))
 
 
 def _candidates(threshold: float, paired: int | None):
     """Pairs of sets of a list that pass the filters: the later one and the nearest earlier ones, ``paired`` at most, with
-    the word as ``more`` if it has others. Rows come in order of lists and, within a list, of positions."""
+    the word as ``more`` if it has others. Rows come list by list."""
 
     def runs(batch: pa.Table) -> pa.RecordBatch:
+        batch = batch.combine_chunks()
         word, tile, h1, h2_size, signature, signature_2 = (batch.column(i).to_numpy() for i in range(6))
-        run = np.concatenate(([0], np.cumsum((word[1:] != word[:-1]) | (tile[1:] != tile[:-1]))))
+        run = np.concatenate(([0], np.cumsum((word ^ tile)[1:] != (word ^ tile)[:-1])))
         size, place = h2_size & (_SETTLED - 1), batch.column(8).to_numpy() & 0xFFFFFFFF
         open_ = (h2_size & _SETTLED) == 0
-        first = _first_of_each(run, h1, h2_size >> 32)
-        # In order of size within a list; a row's place in the table still tells which of two is earlier.
-        first = first[np.lexsort((first, size[first], run[first]))]
+        first = _first_of_each(batch, run, h1, h2_size >> 32)
+        # In order of size within a list.
+        first = first[np.argsort(run[first] << 32 | size[first])]
         run, size, place, open_ = (x[first] for x in (run, size, place, open_))
         halves = [x[first].view(np.uint64) for x in (signature, signature_2)]
         folded, wide = halves[0] ^ halves[1], size >= WIDE
@@ -266,17 +317,23 @@ def _candidates(threshold: float, paired: int | None):
             most = size[i] + size[j] - 2 * need
             fits = np.bitwise_count(folded[i] ^ folded[j]) <= most
             fits &= np.minimum(size[i] - place[i], size[j] - place[j]) >= need
+            fits &= open_[i] | open_[j]
             i, j, most = i[fits], j[fits], most[fits]
             # The folded halves differ in fewer bits than the halves do. Lists are in order of size: j is the larger.
             bits = sum(np.bitwise_count(half[i] ^ half[j]).astype(np.int64) for half in halves)
             bits = np.where(wide[i], bits, np.bitwise_count(folded[i] ^ folded[j]))
             fits = bits <= most
             i, j, bits = i[fits], j[fits], bits[fits]
-            later = np.where(first[i] > first[j], i, j)
-            found = np.stack([later, i + j - later, bits * 1000 // (size[i] + size[j])])
-            out.append(found[:, open_[later]])
-        later, earlier, apart = np.concatenate(out, axis=1)
-        order = np.lexsort((first[earlier], apart, later))
+            out.append(np.stack([i, j, bits * 1000 // (size[i] + size[j])]))
+        i, j, apart = np.concatenate(out, axis=1)
+        met = np.zeros(len(run), bool)
+        met[i] = met[j] = True
+        rank = np.zeros(len(run), np.int64)
+        rank[met] = _ranks(batch, first[met])
+        later = np.where(rank[i] > rank[j], i, j)
+        use = open_[later]
+        later, earlier, apart = later[use], (i + j - later)[use], apart[use]
+        order = np.lexsort((rank[earlier], apart, later))
         later, earlier, apart = later[order], earlier[order], apart[order]
         starts = np.flatnonzero(np.concatenate(([True], later[1:] != later[:-1])))[: len(later)]
         sizes = np.diff(np.append(starts, len(later)))
@@ -301,8 +358,8 @@ def _candidates(threshold: float, paired: int | None):
             held = pa.concat_tables([held, table]) if held is not None else table
             if held.num_rows < _ROWS:
                 continue
-            keys = [held.column(i).to_numpy() for i in range(2)]
-            changes = np.flatnonzero(np.logical_or.reduce([key[1:] != key[:-1] for key in keys]))
+            key = held.column(0).to_numpy() ^ held.column(1).to_numpy()
+            changes = np.flatnonzero(key[1:] != key[:-1])
             if len(changes):
                 yield runs(held.slice(0, int(changes[-1]) + 1))
                 held = held.slice(int(changes[-1]) + 1)
@@ -316,13 +373,18 @@ _X = ["h1", "h2", "doc_id", "row", "line"]
 _E = [f"e_{name}" for name in _X]
 
 
-def candidates(entries: DataFrame, threshold: float, paired: int | None, tile: int) -> DataFrame:
-    """Later and earlier sets (name and position each) of the pairs under any word, how many bits their signatures are
-    ``apart`` for a thousand words, and ``more``."""
+def _dealt(entries: DataFrame, tile: int) -> DataFrame:
+    """``entries`` with the tile of the list; an entry of a list of more than ``tile`` comes once for each of its tiles."""
     dealt = deal(entries, ["word"], ["h1"], tile)
-    tiles = F.shiftleft(F.col("low").cast("long"), 32).bitwiseOR(F.col("high").cast("long"))
-    dealt = dealt.select("word", tiles.alias("tile"), *_ENTRY).repartition(*_KEYS)
-    dealt = dealt.sortWithinPartitions(*_KEYS, F.asc_nulls_last("doc_id"), "row", "line_place")
+    return dealt.select("word", _two("low", "high").alias("tile"), *_ENTRY)
+
+
+def candidates(entries: DataFrame, threshold: float, paired: int | None) -> DataFrame:
+    """Later and earlier sets (name and position each) of the pairs under any word and tile, how many bits their signatures
+    are ``apart`` for a thousand words, and ``more``."""
+    # One long to sort by. Lists that it mixes up are one list with some more pairs to look at.
+    key = F.col("word").bitwiseXOR(F.col("tile"))
+    dealt = entries.select("word", "tile", *_ENTRY).repartition(key).sortWithinPartitions(key)
     kinds = dict(zip(_X, ("long", "integer", None, "long", "integer")))
     schema = T.StructType()
     for name in (*_X, *_E):
@@ -477,16 +539,17 @@ def removed_lines(
 ) -> DataFrame:
     """doc_id, row (hash of id and text) and the numbers of the lines that go, for documents that lose lines."""
     counts = docs.sparkSession.sparkContext.broadcast(sketch(docs, text_col))
-    lines = staged(lines_of(docs, id_col, text_col, threshold, counts), "lines")
-    entries = _entries(lines)
-    met = staged(candidates(entries, threshold, paired, tile), "candidates")
+    lines = staged(lines_of(docs, id_col, text_col, threshold, counts, tile), "lines")
+    entries = _entries(lines, "words", "places").withColumn("tile", F.lit(0).cast("long"))
+    entries = entries.unionByName(_dealt(_entries(lines, "often", "often_places"), tile))
+    met = staged(candidates(entries, threshold, paired), "candidates")
     first = met.groupBy("h1", "h2").agg(F.min(position()).alias("at"), F.min(F.struct("apart", *_position_first("e_"))).alias("e"))
     first = first.select("h1", "h2", "at.doc_id", "at.row", "at.line", *[F.col(f"e.{name}").alias(f"e_{name}") for name in _X])
     first = staged(first, "first_candidates")
     found = _similar(first, docs, id_col, text_col, threshold)
     left = staged(first.select("h1", "h2").join(found, ["h1", "h2"], "left_anti"), "open_sets")
     # Sets that are still open meet the others of the candidates found.
-    others = _of_sets(met, left)
+    others = staged(_of_sets(met, left), "other_candidates")
     rest = others.select(*_X, *_E).distinct().join(first.select("h1", "h2", "e_h1", "e_h2"), ["h1", "h2", "e_h1", "e_h2"], "left_anti")
     second = _similar(rest.select(*_X, *_E), docs, id_col, text_col, threshold)
     # Then all of the lists that had more.
@@ -496,12 +559,12 @@ def removed_lines(
     if not crowded.isEmpty():
         words = staged(crowded.select(F.col("more").alias("word")).distinct(), "crowded_lists")
         opened = staged(crowded.select("h1", "h2", F.lit(True).alias("open")).distinct(), "opened_sets")
-        again = bloom.members(entries, words, "word").withColumn("h2", F.shiftright("h2_size", 32).cast("int"))
+        again = _entries_under(lines, words).withColumn("h2", F.shiftright("h2_size", 32).cast("int"))
         again = left_lookup(again, opened, ["h1", "h2"], unique=True)
         settled = F.when(F.col("open").isNull(), F.col("h2_size").bitwiseOR(F.lit(_SETTLED))).otherwise(F.col("h2_size"))
-        # Written once: dealing reads them three times, and they come from a scan of all entries.
+        # Written once: dealing reads them three times, and they come from a scan of all lines.
         again = staged(again.withColumn("h2_size", settled).select("word", *_ENTRY), "crowded_entries")
-        third = candidates(again, threshold, None, tile).select(*_X, *_E).distinct()
+        third = candidates(_dealt(again, tile), threshold, None).select(*_X, *_E).distinct()
         found = found.unionByName(_similar(third, docs, id_col, text_col, threshold))
     return _gone(lines.select("doc_id", "row", "line", "h1", "h2"), found.distinct())
 
@@ -515,8 +578,8 @@ def _position_first(prefix: str) -> list[Column]:
 def _gone(lines: DataFrame, similar: DataFrame) -> DataFrame:
     """The lines of sets that are similar to an earlier one, and all but the first line of the others."""
     marks = similar.withColumn("similar", F.lit(True))
-    sets = lines.groupBy("h1", "h2").agg(F.min(position()).alias("first"), F.max(position()).alias("last"))
-    sets = left_lookup(sets, marks, ["h1", "h2"], unique=True).filter("similar or first <> last")
+    sets = lines.groupBy("h1", "h2").agg(F.min(position()).alias("first"), F.count(F.lit(1)).alias("n"))
+    sets = left_lookup(sets, marks, ["h1", "h2"], unique=True).filter("similar or n > 1")
     sets = staged(sets.select("h1", "h2", "first", "similar"), "line_sets")
     marked = left_lookup(lines, sets, ["h1", "h2"], unique=True)
     gone = marked.filter(F.col("similar").isNotNull() | (position() != F.col("first")))

@@ -1,14 +1,13 @@
 """Words of lines as 64-bit hashes, for whole slices of texts at once.
 
-A text's bytes are classed by a table, words are runs of word bytes, and a word's hash comes from running sums over all
-bytes of a window: each byte adds a value of its own times a power of an odd base, and the sum over a word is divided by
-the power at its start. So no word becomes an object. Words are runs of ASCII letters and digits, A-Z lower-cased, and of
-all bytes above ASCII. A word of more than ``LONG`` bytes is hashed on its own.
+A text's bytes are lowered by a table that turns all others into spaces, words are what lies between, and a word's hash
+takes its bytes eight at a time: the first eight of all words of a window, then the next eight of those that have more. So no
+word becomes an object. Words are runs of ASCII letters and digits, A-Z lower-cased, and of all bytes above ASCII. A word
+of more than ``LONG`` bytes is hashed on its own.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,13 +15,15 @@ import xxhash
 
 LONG = 1024
 _WINDOW = 1 << 18
-_BASE = 0x9E3779B97F4A7C15
+#: Where a window's last word must end, unless it comes alone.
+_SPAN = 2 * _WINDOW
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 _LOWER = bytes(
     b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256)
 )
-_IS_WORD = np.frombuffer(_LOWER, np.uint8) != 0x20
-_GAP = re.compile(b"[" + re.escape(bytes(b for b in range(256) if not _IS_WORD[b])) + b"]")
+#: The first bytes of a little-endian long, by their number.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def mix(h: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -31,68 +32,49 @@ def mix(h: np.ndarray, salt: int = 0) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-_VALUE = np.where(_IS_WORD, mix(np.frombuffer(_LOWER, np.uint8).astype(np.uint64) + np.uint64(1), 9) | np.uint64(1), np.uint64(0))
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.ones(n, np.uint64)
-    done = 1
-    while done < n:
-        more = min(done, n - done)
-        out[done : done + more] = out[:more] * (out[done - 1 : done] * np.uint64(base))
-        done += more
-    return out
-
-
-_SPAN = 2 * _WINDOW
-_POWER = _powers(_BASE, _SPAN)
-_INVERSE = _powers(pow(_BASE, -1, 1 << 64), _SPAN)
-
-
-def _hashed(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _hashed(lowered: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Starts and hashes of the words of a window."""
-    inside = np.zeros(len(raw) + 2, np.int8)
-    inside[1:-1] = _IS_WORD[raw]
-    edges = np.flatnonzero(np.diff(inside))
+    inside = np.zeros(len(lowered) + 2, bool)
+    inside[1:-1] = np.frombuffer(lowered, np.uint8) != 0x20
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = edges[::2], edges[1::2]
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_VALUE[raw] * _POWER[: len(raw)], out=sums[1:])
-    found = mix((sums[end] - sums[start]) * _INVERSE[start] ^ (end - start).astype(np.uint64), 5)
-    for i in np.flatnonzero(end - start > LONG).tolist():
-        found[i] = _long(raw[start[i] : end[i]].tobytes())
+    longs = np.frombuffer(lowered + bytes(16 - len(lowered) % 8), "<u8")
+    found = (end - start).astype(np.uint64) * _ODD
+    alone = end - start > LONG
+    word, at, left = np.arange(len(start)), start, np.where(alone, 0, end - start)
+    while len(word):
+        shift = (at & 7).astype(np.uint64) << np.uint64(3)
+        # A shift by 64 bits gives 0.
+        eight = longs[at >> 3] >> shift | longs[(at >> 3) + 1] << np.uint64(64) - shift
+        found[word] = mix(found[word] * _ODD ^ eight & _FIRST[np.minimum(left, 8)], 5)
+        more = left > 8
+        word, at, left = word[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(alone).tolist():
+        found[i] = _long(lowered[start[i] : end[i]])
     return start, found
 
 
-def _long(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word.translate(_LOWER))
-
-
-def _alone(word: bytes) -> np.ndarray:
-    return np.array([_long(word)], np.uint64)
+def _long(lowered: bytes) -> int:
+    return xxhash.xxh64_intdigest(lowered)
 
 
-def _windows(data: bytes) -> Iterator[tuple[int, np.ndarray | None, np.ndarray | int]]:
+def _windows(lowered: bytes) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Start of each window with its words' starts and hashes; a word that is as long as a window comes alone."""
-    raw = np.frombuffer(data, np.uint8)
     at = 0
-    while at < len(raw):
-        end = min(at + _SPAN, len(raw))
-        if end < len(raw):
-            gaps = np.flatnonzero(~_IS_WORD[raw[at + _WINDOW : end]])
-            if len(gaps):
-                end = at + _WINDOW + int(gaps[0])
-            else:
-                # Up to the start of the long word, then the word itself.
-                gaps = np.flatnonzero(~_IS_WORD[raw[at : at + _WINDOW]])
-                start = at + int(gaps[-1]) + 1 if len(gaps) else at
-                if start > at:
-                    yield at, *_hashed(raw[at:start])
-                after = _GAP.search(data, at + _WINDOW)
-                end = after.start() if after else len(data)
-                yield start, np.zeros(1, np.int64), _hashed(raw[start:end])[1] if end - start <= LONG else _alone(data[start:end])
+    while at < len(lowered):
+        end = lowered.find(b" ", at + _WINDOW, at + _SPAN)
+        if end < 0 and at + _SPAN < len(lowered):
+            # Up to the start of the long word, then the word itself.
+            start = max(at, lowered.rfind(b" ", at, at + _WINDOW) + 1)
+            yield at, *_hashed(lowered[at:start])
+            end = lowered.find(b" ", at + _WINDOW)
+            at, end = start, end if end >= 0 else len(lowered)
+            if end - at > LONG:
+                yield at, np.zeros(1, np.int64), np.array([_long(lowered[at:end])], np.uint64)
                 at = end
                 continue
-        yield at, *_hashed(raw[at:end])
+        end = end if end >= 0 else len(lowered)
+        yield at, *_hashed(lowered[at:end])
         at = end
 
 
@@ -102,11 +84,13 @@ def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     first = np.cumsum([0, *(text.count(b"\n") + 1 for text in texts)])
     data = b"\n".join(texts)
     starts, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-    for at, start, found in _windows(data):
+    for at, start, found in _windows(data.translate(_LOWER)):
         starts.append(start + at)
         hashes.append(found)
     breaks = np.flatnonzero(np.frombuffer(data, np.uint8) == 0x0A)
-    return np.concatenate(hashes), np.searchsorted(breaks, np.concatenate(starts)), first
+    words = np.searchsorted(np.concatenate(starts), breaks)
+    words = np.diff(words, prepend=0, append=sum(map(len, starts)))
+    return np.concatenate(hashes), np.repeat(np.arange(len(words)), words), first
 
 
 def by_line(hashes: np.ndarray, line: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

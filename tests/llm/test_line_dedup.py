@@ -1,6 +1,8 @@
 import random
 import re
 
+import pyarrow as pa
+
 from foulee.llm import line_dedup
 
 SCHEMA = "doc_id long, text string"
@@ -95,3 +97,29 @@ def test_tasks_that_read_ids_in_any_order(spark):
     assert got(spark.createDataFrame(sorted(rows, reverse=True), SCHEMA).coalesce(2)) == want
     rng.shuffle(rows)
     assert got(spark.createDataFrame(rows, SCHEMA).coalesce(2), paired=2) == want
+
+
+def test_entries_of_a_list_in_any_order():
+    names = ["word", "tile", *line_dedup._ENTRY]
+    # Sets 1 and 2 of ten words under two words, met by several tasks; the last has no document id. Word 7 ^ 3 is a tile of 7.
+    rows = [(5, 0, 1, 10, 0, 0, 30, 1, 0), (5, 0, 1, 10, 0, 0, 9, 1, 0), (5, 0, 2, 10, 0, 0, 20, 1, 0), (5, 0, 2, 10, 0, 0, None, 1, 0)]
+    rows += [(7, 3, 1, 10, 0, 0, None, 1, 0), (7, 3, 2, 10, 0, 0, None, 1, 1 << 32), (7, 0, 1, 10, 0, 0, 1, 1, 0)]
+    rng = random.Random(2)
+    for _ in range(10):
+        rng.shuffle(rows)
+        own = sorted(rows, key=lambda row: row[0] ^ row[1])
+        batch = pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in zip(*own)], names)
+        found = [tuple(row.values()) for made in line_dedup._candidates(0.8, 4)([batch]) for row in made.to_pylist()]
+        assert sorted(found, key=str) == [
+            (2, 0, 20, 1, 0, 1, 0, 9, 1, 0, 0, None), (2, 0, None, 1, 1, 1, 0, None, 1, 0, 0, None),
+        ]
+
+
+def test_only_words_of_long_lists_are_dealt(spark):
+    df = spark.createDataFrame([(i, f"common rare{i // 2}") for i in range(20)], SCHEMA).repartition(4)
+    counts = spark.sparkContext.broadcast(line_dedup.sketch(df, "text"))
+    lines = line_dedup.lines_of(df, "doc_id", "text", 0.1, counts, 10)
+    entries = {name: line_dedup._entries(lines, name, places) for name, places in (("words", "places"), ("often", "often_places"))}
+    assert entries["words"].select("word").distinct().count() == 10 and entries["often"].select("word").distinct().count() == 1
+    words = entries["often"].select("word").distinct().localCheckpoint()
+    assert sorted(line_dedup._entries_under(lines, words).collect()) == sorted(entries["often"].collect())
