@@ -43,7 +43,7 @@ from pyspark.sql import types as T
 
 from foulee.llm import bloom
 from foulee.llm.frames import col, fresh, map_arrow, read, ship_package, slices
-from foulee.llm.line_words import by_line, mix, tokens
+from foulee.llm.line_words import MANY, by_line, mix, tokens
 from foulee.llm.tiles import deal
 from foulee.operators.lookup import left_lookup
 from foulee.session import staged
@@ -162,14 +162,15 @@ def _place(row: np.ndarray, number: np.ndarray) -> np.ndarray:
 
 
 _SET = "h1 long, h2 int"
-_LISTS = "words array<long>, places array<int>, often array<long>, often_places array<int>"
+_LISTS = "first_place int, words array<long>, often array<long>"
 _LINE = f"row long, line int, {_SET}, size int, signature long, signature_2 long, {_LISTS}"
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str, threshold: float, counts, tile: int) -> DataFrame:
     """A row for each line with words: doc_id, row, line, the set's name, size and signature, and the prefix words with
-    their places; ``often`` has those whose lists may have more than ``tile`` entries. Sets that a task has met at an
-    earlier position have no prefix words: one entry is enough. ``counts`` is the sketch, as a broadcast."""
+    the place of the first, ``words`` and then ``often``: those whose lists may have more than ``tile`` entries. Sets that a
+    task has met at an earlier position have no prefix words: one entry is enough. ``counts`` is the sketch, as a broadcast."""
+    crowd = min(tile, MANY - 1)  # from MANY on words are not in order of their counters
     docs = _keyed(docs, id_col, text_col)
     schema = T.StructType([docs.schema["doc_id"], *T.DataType.fromDDL(_LINE)])
 
@@ -194,11 +195,11 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str, threshold: float, coun
             place = np.arange(len(found.words)) - found.starts[line]
             prefix = found.sizes - np.ceil(threshold * found.sizes - 1e-9).astype(int) + 1
             listed = (place < prefix[line]) & (found.often > 1) & new[line]
-            lists = []
-            for some in (listed & (found.often <= tile), listed & (found.often > tile)):
+            # Words are in order of rarity: first those that are in no other line, then the listed ones, the frequent ones last.
+            lists = [pa.array(np.bincount(line[found.often <= 1], minlength=len(h1)).astype(np.int32))]
+            for some in (listed & (found.often <= crowd), listed & (found.often > crowd)):
                 offsets = np.concatenate(([0], np.cumsum(np.bincount(line[some], minlength=len(h1)))))
-                for values in (found.words[some].view(np.int64), place[some].astype(np.int32)):
-                    lists.append(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values)))
+                lists.append(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(found.words[some].view(np.int64))))
             yield pa.RecordBatch.from_arrays(
                 [
                     doc_id, row, pa.array(found.number.astype(np.int32)), pa.array(h1), pa.array(h2),
@@ -227,35 +228,34 @@ def _two(high: str, low: str) -> Column:
     return F.shiftleft(F.col(high).cast("long"), 32).bitwiseOR(F.col(low).cast("long"))
 
 
-def _entries(lines: DataFrame, words: str, places: str) -> DataFrame:
+def _entries(lines: DataFrame, words: str) -> DataFrame:
     """Rows of the lists of these words."""
-    spread = lines.filter(F.size(words) > 0).select(
-        F.inline(F.arrays_zip(F.col(words).alias("word"), F.col(places).alias("place"))),
-        "h1", _two("h2", "size").alias("h2_size"), "signature", "signature_2", "doc_id", "row", "line",
-    )
-    return spread.select("word", *_ENTRY[:6], _two("line", "place").alias("line_place"))
+    before = F.col("first_place") if words == "words" else F.col("first_place") + F.size("words")
+    sets = [before.alias("before"), "h1", _two("h2", "size").alias("h2_size"), "signature", "signature_2", "doc_id", "row", "line"]
+    spread = lines.filter(F.size(words) > 0).select(F.posexplode(words).alias("nth", "word"), *sets)
+    return spread.withColumn("place", F.col("before") + F.col("nth")).select("word", *_ENTRY[:6], _two("line", "place").alias("line_place"))
 
 
 def _entries_under(lines: DataFrame, words: DataFrame) -> DataFrame:
     """Rows of the lists of ``words``, a written table of distinct ones."""
     bitmaps = lines.sparkSession.sparkContext.broadcast(_filter_of(words, "word", words.count()))
-    lists = [F.concat("words", "often").alias("words"), F.concat("places", "often_places").alias("places")]
-    narrow = lines.select(*lists, "line", "h1", _two("h2", "size").alias("h2_size"), "signature", "signature_2", "doc_id", "row")
+    listed = lines.select(F.concat("words", "often").alias("words"), *[name for name in lines.columns if name not in ("words", "often")])
+    narrow = listed.select("words", "first_place", "line", "h1", _two("h2", "size").alias("h2_size"), "signature", "signature_2", "doc_id", "row")
     names = ["word", *_ENTRY]
     kinds = {"doc_id": lines.schema["doc_id"].dataType}
     schema = T.StructType([T.StructField(name, kinds.get(name, T.LongType())) for name in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            word, place = (batch.column(i).flatten().to_numpy() for i in (0, 1))
+            word, sizes = batch.column(0).flatten().to_numpy(), batch.column(0).value_lengths().to_numpy()
             some = np.flatnonzero(_among(word, bitmaps.value))
             if not len(some):
                 continue
-            at = np.repeat(np.arange(batch.num_rows), batch.column(0).value_lengths().to_numpy())[some]
-            line = batch.column(2).to_numpy()[at].astype(np.int64)
+            at = np.repeat(np.arange(batch.num_rows), sizes)[some]
+            first, line = (batch.column(i).to_numpy()[at].astype(np.int64) for i in (1, 2))
+            place = first + some - (np.cumsum(sizes) - sizes)[at]
             columns = [column.take(pa.array(at)) for column in batch.columns[3:]]
-            line_place = pa.array(line << 32 | place[some].astype(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(word[some]), *columns, line_place], names)
+            yield pa.RecordBatch.from_arrays([pa.array(word[some]), *columns, pa.array(line << 32 | place)], names)
 
     return map_arrow(narrow, run, schema).join(words, "word", "left_semi")
 
@@ -540,8 +540,8 @@ def removed_lines(
     """doc_id, row (hash of id and text) and the numbers of the lines that go, for documents that lose lines."""
     counts = docs.sparkSession.sparkContext.broadcast(sketch(docs, text_col))
     lines = staged(lines_of(docs, id_col, text_col, threshold, counts, tile), "lines")
-    entries = _entries(lines, "words", "places").withColumn("tile", F.lit(0).cast("long"))
-    entries = entries.unionByName(_dealt(_entries(lines, "often", "often_places"), tile))
+    entries = _entries(lines, "words").withColumn("tile", F.lit(0).cast("long"))
+    entries = entries.unionByName(_dealt(_entries(lines, "often"), tile))
     met = staged(candidates(entries, threshold, paired), "candidates")
     first = met.groupBy("h1", "h2").agg(F.min(position()).alias("at"), F.min(F.struct("apart", *_position_first("e_"))).alias("e"))
     first = first.select("h1", "h2", "at.doc_id", "at.row", "at.line", *[F.col(f"e.{name}").alias(f"e_{name}") for name in _X])

@@ -14,6 +14,8 @@ import numpy as np
 import xxhash
 
 LONG = 1024
+#: Counts from which on words are in order of their hashes only.
+MANY = (1 << 20) - 1
 _WINDOW = 1 << 18
 #: Where a window's last word must end, unless it comes alone.
 _SPAN = 2 * _WINDOW
@@ -97,15 +99,15 @@ def by_line(hashes: np.ndarray, line: np.ndarray, often: np.ndarray) -> tuple[np
     """The distinct words of each line, rarest first, then by hash: hashes, lines, and how often they occur."""
     n_lines = int(line.max(initial=0)) + 1
     if n_lines <= 1 << 20:
-        rarity = np.minimum(often, (1 << 20) - 1).astype(np.uint64)
+        rarity = np.minimum(often, MANY).astype(np.uint64)
         key = line.astype(np.uint64) << np.uint64(44) | rarity << np.uint64(24) | hashes >> np.uint64(40)
         order = np.argsort(key)
         sorted_key, h = key[order], hashes[order]
         same = sorted_key[1:] == sorted_key[:-1]
         if not (same & (h[1:] != h[:-1])).any():
-            keep = order[np.concatenate(([True], ~same))[: len(order)]]
-            return hashes[keep], line[keep], often[keep]
-    rarity = np.minimum(often, (1 << 20) - 1)
+            keep = np.concatenate(([True], ~same))[: len(order)]
+            return h[keep], (sorted_key[keep] >> np.uint64(44)).astype(line.dtype), often[order[keep]]
+    rarity = np.minimum(often, MANY)
     order = np.lexsort((hashes, rarity, line))
     h, own = hashes[order], line[order]
     keep = order[np.concatenate(([True], (h[1:] != h[:-1]) | (own[1:] != own[:-1])))[: len(order)]]

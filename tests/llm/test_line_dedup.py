@@ -119,7 +119,9 @@ def test_only_words_of_long_lists_are_dealt(spark):
     df = spark.createDataFrame([(i, f"common rare{i // 2}") for i in range(20)], SCHEMA).repartition(4)
     counts = spark.sparkContext.broadcast(line_dedup.sketch(df, "text"))
     lines = line_dedup.lines_of(df, "doc_id", "text", 0.1, counts, 10)
-    entries = {name: line_dedup._entries(lines, name, places) for name, places in (("words", "places"), ("often", "often_places"))}
+    entries = {name: line_dedup._entries(lines, name) for name in ("words", "often")}
+    assert {r.line_place & 0xFFFFFFFF for r in entries["words"].collect()} == {0}
+    assert {r.line_place & 0xFFFFFFFF for r in entries["often"].collect()} == {1}
     assert entries["words"].select("word").distinct().count() == 10 and entries["often"].select("word").distinct().count() == 1
     words = entries["often"].select("word").distinct().localCheckpoint()
     assert sorted(line_dedup._entries_under(lines, words).collect()) == sorted(entries["often"].collect())
